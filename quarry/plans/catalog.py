@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators import lookup, relational, text
+from quarry.operators import graph, lookup, relational, text
 from quarry.sources import load_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,3 +123,82 @@ def popular_items_top10(spark, sf_dir):
 
 
 FLAGSHIP = "popular_items_named"
+
+
+# --- graph: adjacency text derived from the tables ---------------------------
+#
+# Nodes are parts (id = p_partkey) and suppliers (id = -1 - s_suppkey, so the
+# two key spaces never collide).  Every lineitem row contributes the line
+# "<part> <supplier>" and the line "<supplier> <part>", and every part a bare
+# line "<part>" (degree 0 unless it is sold).  The text is linear in the
+# tables: no line lists all members of an order, so no group's pairs are
+# ever enumerated.
+
+BFS_START = 1          # part 1
+BFS_TARGET = -4        # supplier 3
+MAX_ROUNDS = 10
+
+
+def supplier_node(c):
+    return F.lit(-1) - F.col(c)
+
+
+def graph_lines(spark, sf_dir) -> DataFrame:
+    li = _t(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey")
+    pairs = li.select(F.explode(F.array(
+        F.concat_ws(" ", F.col("l_partkey").cast("string"), supplier_node("l_suppkey").cast("string")),
+        F.concat_ws(" ", supplier_node("l_suppkey").cast("string"), F.col("l_partkey").cast("string")),
+    )).alias("value"))
+    bare = _t(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("value"))
+    return pairs.unionByName(bare)
+
+
+def graph_names(spark, sf_dir) -> DataFrame:
+    parts = _t(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"),
+                                             F.col("p_name").alias("name"))
+    supps = _t(spark, sf_dir, "supplier").select(supplier_node("s_suppkey").alias("id"),
+                                                 F.col("s_name").alias("name"))
+    return parts.unionByName(supps)
+
+
+@query
+def adjacency_parse(spark, sf_dir):
+    return graph.edges(graph_lines(spark, sf_dir))
+
+
+@query
+def degree_by_node(spark, sf_dir):
+    return graph.degree(graph_lines(spark, sf_dir))
+
+
+@query
+def most_connected(spark, sf_dir):
+    top = graph.most_connected(graph.degree(graph_lines(spark, sf_dir)))
+    return lookup.attach_name(top, graph_names(spark, sf_dir), "id", "id", "name",
+                              small_side_rows=1)
+
+
+@query
+def least_connected(spark, sf_dir):
+    low = graph.least_connected(graph.degree(graph_lines(spark, sf_dir)))
+    return (lookup.attach_name(low, graph_names(spark, sf_dir), "id", "id", "name")
+            .orderBy("id"))
+
+
+@query
+def bfs_distances(spark, sf_dir):
+    levels, _ = graph.bfs(graph.edges(graph_lines(spark, sf_dir)), BFS_START,
+                          max_rounds=MAX_ROUNDS)
+    return levels
+
+
+@query
+def bfs_hit(spark, sf_dir):
+    _, hit = graph.bfs(graph.edges(graph_lines(spark, sf_dir)), BFS_START,
+                       target=BFS_TARGET, max_rounds=MAX_ROUNDS)
+    return graph.hit_frame(spark, BFS_START, BFS_TARGET, hit)
+
+
+@query
+def merge_node_state(spark, sf_dir):
+    return graph.bfs_round_states(graph_lines(spark, sf_dir), BFS_START)

@@ -5,6 +5,20 @@ Exactness rules shared with the Spark side: money sums run over
 by the count; temperatures use FLOAT (32-bit) arithmetic like the Spark code.
 """
 
+_EDGE_ROWS = """SELECT l_partkey AS src, -1 - l_suppkey AS dst FROM lineitem
+                UNION ALL SELECT -1 - l_suppkey, l_partkey FROM lineitem"""
+_EDGES = f"SELECT src, dst, count(*) AS n FROM ({_EDGE_ROWS}) GROUP BY src, dst"
+_DEGREE = """SELECT id, CAST(sum(d) AS BIGINT) AS degree FROM (
+          SELECT l_partkey AS id, 1 AS d FROM lineitem
+          UNION ALL SELECT -1 - l_suppkey, 1 FROM lineitem
+          UNION ALL SELECT p_partkey, 0 FROM part) GROUP BY id"""
+_NAMES = """SELECT p_partkey AS id, p_name AS name FROM part
+            UNION ALL SELECT -1 - s_suppkey, s_name FROM supplier"""
+_BFS_LEVELS = f"""e AS (SELECT DISTINCT src, dst FROM ({_EDGE_ROWS})),
+        b(id, d) AS (SELECT CAST(1 AS BIGINT), 0
+                     UNION SELECT e.dst, b.d + 1 FROM b JOIN e ON e.src = b.id WHERE b.d < 10),
+        lv AS (SELECT id, CAST(min(d) AS INTEGER) AS distance FROM b GROUP BY id)"""
+
 ORACLE_SQL: dict[str, str] = {
     "select_columns": "SELECT c_custkey, c_name FROM customer",
     "add_constant": "SELECT p_partkey, p_size + 10 AS size_plus_10 FROM part",
@@ -50,4 +64,47 @@ ORACLE_SQL: dict[str, str] = {
     "popular_items_top10": """
         SELECT l_partkey, count(*) AS "count" FROM lineitem GROUP BY l_partkey
         ORDER BY "count" DESC, l_partkey LIMIT 10""",
+
+    # graph: the same edges, built relationally instead of through text
+    "adjacency_parse": f"""
+        SELECT src, dst, count(*) AS n FROM ({_EDGE_ROWS}) GROUP BY src, dst""",
+    "degree_by_node": """
+        SELECT id, CAST(sum(d) AS BIGINT) AS degree FROM (
+          SELECT l_partkey AS id, 1 AS d FROM lineitem
+          UNION ALL SELECT -1 - l_suppkey, 1 FROM lineitem
+          UNION ALL SELECT p_partkey, 0 FROM part) GROUP BY id""",
+    "most_connected": f"""
+        WITH d AS ({_DEGREE})
+        SELECT d.id, d.degree, n.name FROM d LEFT JOIN ({_NAMES}) n ON d.id = n.id
+        ORDER BY d.degree DESC, d.id LIMIT 1""",
+    "least_connected": f"""
+        WITH d AS ({_DEGREE})
+        SELECT d.id, d.degree, n.name FROM d LEFT JOIN ({_NAMES}) n ON d.id = n.id
+        WHERE d.degree = (SELECT min(degree) FROM d) ORDER BY d.id""",
+    "bfs_distances": f"""
+        WITH RECURSIVE {_BFS_LEVELS}
+        SELECT id, distance,
+               CASE WHEN distance < 10 THEN 'BLACK' ELSE 'GRAY' END AS color
+        FROM lv""",
+    "bfs_hit": f"""
+        WITH RECURSIVE {_BFS_LEVELS},
+        h AS (SELECT e.src, e.n, lv.distance + 1 AS hop
+              FROM ({_EDGES}) e JOIN lv ON e.src = lv.id
+              WHERE e.dst = -4 AND lv.distance < 10)
+        SELECT CAST(1 AS BIGINT) AS start, CAST(-4 AS BIGINT) AS target, hop AS hops,
+               count(*) AS parents, CAST(sum(n) AS BIGINT) AS edge_hits
+        FROM h WHERE hop = (SELECT min(hop) FROM h) GROUP BY hop""",
+    "merge_node_state": """
+        WITH l AS (
+          SELECT l_partkey AS id, -1 - l_suppkey AS nbr FROM lineitem
+          UNION ALL SELECT -1 - l_suppkey, l_partkey FROM lineitem
+          UNION ALL SELECT p_partkey, NULL FROM part),
+        s AS (
+          SELECT id, CASE WHEN nbr IS NULL THEN 0 ELSE 1 END AS c,
+                 CASE WHEN id = 1 THEN 0 ELSE 9999 END AS d,
+                 CASE WHEN id = 1 THEN 2 ELSE 0 END AS r FROM l
+          UNION ALL SELECT nbr, 0, 1, 1 FROM l WHERE id = 1 AND nbr IS NOT NULL)
+        SELECT id, CAST(sum(c) AS BIGINT) AS n_connections, min(d) AS distance,
+               CASE max(r) WHEN 2 THEN 'BLACK' WHEN 1 THEN 'GRAY' ELSE 'WHITE' END AS color
+        FROM s GROUP BY id""",
 }
