@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators import graph, lookup, relational, text
+from quarry.operators import graph, lookup, recommend, relational, similarity, splits, text
 from quarry.sources import load_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -202,3 +202,101 @@ def bfs_hit(spark, sf_dir):
 @query
 def merge_node_state(spark, sf_dir):
     return graph.bfs_round_states(graph_lines(spark, sf_dir), BFS_START)
+
+
+# --- item similarity: user = customer, item = supplier, rating = mean quantity
+
+SIMILAR_TO = 1
+MIN_SCORE, MIN_STRENGTH, TOP_K = 0.5, 150, 10
+SCORE_DIGITS = 6
+
+
+def supplier_ratings(spark, sf_dir) -> DataFrame:
+    """One rating per (customer, supplier): the mean quantity of their lines."""
+    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity")
+    od = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return (li.join(od, li["l_orderkey"] == od["o_orderkey"])
+              .groupBy(F.col("o_custkey").alias("user"), F.col("l_suppkey").alias("item"))
+              .agg(F.avg("l_quantity").alias("rating")))
+
+
+@query
+def item_pair_similarity(spark, sf_dir):
+    pairs = similarity.item_pairs(supplier_ratings(spark, sf_dir))
+    return pairs.withColumn("score", F.round("score", SCORE_DIGITS))
+
+
+def _similar(spark, sf_dir, literal):
+    top = similarity.similar_items(supplier_ratings(spark, sf_dir), SIMILAR_TO, MIN_SCORE,
+                                   MIN_STRENGTH, TOP_K, literal_precedence=literal,
+                                   score_digits=SCORE_DIGITS)
+    return (lookup.attach_name(top, _t(spark, sf_dir, "supplier"), "item", "s_suppkey",
+                               "s_name", small_side_rows=TOP_K)
+            .orderBy(F.desc("score"), F.desc("strength"), "item"))
+
+
+@query
+def similar_items(spark, sf_dir):
+    return _similar(spark, sf_dir, literal=False)
+
+
+@query
+def similar_items_literal(spark, sf_dir):
+    return _similar(spark, sf_dir, literal=True)
+
+
+# --- splits ----------------------------------------------------------------
+
+FOLDS = 5
+HOLDOUT_START, HOLDOUT_STOP = 1, 10
+
+
+@query
+def contiguous_folds(spark, sf_dir):
+    od = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return splits.contiguous_folds(od, ["o_orderkey"], FOLDS)
+
+
+@query
+def per_user_holdout(spark, sf_dir):
+    ev = _t(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    return (splits.per_user_holdout(ev, "user_id", ["ts", "event_id"], "event_id",
+                                    HOLDOUT_START, HOLDOUT_STOP)
+            .select("event_id", "user_id", "split"))
+
+
+# --- ALS recommendations: user = customer, item = part ------------------------
+
+def part_ratings(spark, sf_dir) -> DataFrame:
+    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    od = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return (li.join(od, li["l_orderkey"] == od["o_orderkey"])
+              .groupBy(F.col("o_custkey").cast("int").alias("userID"),
+                       F.col("l_partkey").cast("int").alias("movieID"))
+              .agg(F.avg("l_quantity").cast("float").alias("rating")))
+
+
+@query
+def als_recommend(spark, sf_dir):
+    ratings = part_ratings(spark, sf_dir)
+    model = recommend.fit_als(ratings, "userID", "movieID", "rating")
+    requested = ratings.agg(F.min("userID").alias("userID"))
+    recs = recommend.recommend(model, requested, recommend.TOP_N)
+    return lookup.attach_name(recs, _t(spark, sf_dir, "part"), "movieID", "p_partkey", "p_name",
+                              small_side_rows=recommend.TOP_N)
+
+
+# --- delimited reader round trip ----------------------------------------------
+
+@query
+def delimited_roundtrip(spark, sf_dir):
+    """Write ``customer`` as header-less, pipe-separated Latin-1 text into the
+    shared scratch folder, read it back with an explicit schema."""
+    import uuid
+    from quarry.session import checkpoint_dir
+    from quarry.sources import read_delimited
+    src = _t(spark, sf_dir, "customer")
+    path = f"{checkpoint_dir(spark).rstrip('/')}/roundtrip-{uuid.uuid4().hex}"
+    (src.write.mode("overwrite").option("sep", "|").option("encoding", "ISO-8859-1")
+        .option("header", "false").csv(path))
+    return read_delimited(spark, path, src.schema, sep="|", encoding="ISO-8859-1")

@@ -19,6 +19,15 @@ _BFS_LEVELS = f"""e AS (SELECT DISTINCT src, dst FROM ({_EDGE_ROWS})),
                      UNION SELECT e.dst, b.d + 1 FROM b JOIN e ON e.src = b.id WHERE b.d < 10),
         lv AS (SELECT id, CAST(min(d) AS INTEGER) AS distance FROM b GROUP BY id)"""
 
+_PAIRS = """WITH r AS (SELECT o_custkey AS u, l_suppkey AS i, avg(l_quantity) AS v
+                   FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2),
+        p AS (SELECT a.i AS item1, b.i AS item2,
+                     CASE WHEN sqrt(sum(a.v * a.v)) * sqrt(sum(b.v * b.v)) <> 0
+                          THEN sum(a.v * b.v) / (sqrt(sum(a.v * a.v)) * sqrt(sum(b.v * b.v)))
+                          ELSE 0.0 END AS score,
+                     count(*) AS strength
+              FROM r a JOIN r b ON a.u = b.u AND a.i < b.i GROUP BY 1, 2)"""
+
 ORACLE_SQL: dict[str, str] = {
     "select_columns": "SELECT c_custkey, c_name FROM customer",
     "add_constant": "SELECT p_partkey, p_size + 10 AS size_plus_10 FROM part",
@@ -107,4 +116,35 @@ ORACLE_SQL: dict[str, str] = {
         SELECT id, CAST(sum(c) AS BIGINT) AS n_connections, min(d) AS distance,
                CASE max(r) WHEN 2 THEN 'BLACK' WHEN 1 THEN 'GRAY' ELSE 'WHITE' END AS color
         FROM s GROUP BY id""",
+
+    "item_pair_similarity": f"""
+        {_PAIRS}
+        SELECT item1, item2, round(score, 6) AS score, strength FROM p""",
+    "similar_items": f"""
+        {_PAIRS},
+        c AS (SELECT CASE WHEN item1 = 1 THEN item2 ELSE item1 END AS item,
+                     round(score, 6) AS score, strength, item1, item2 FROM p
+              WHERE (item1 = 1 OR item2 = 1))
+        SELECT c.item, c.score, c.strength, s.s_name FROM c LEFT JOIN supplier s ON c.item = s.s_suppkey
+        WHERE c.score > 0.5 AND c.strength > 150
+        ORDER BY c.score DESC, c.strength DESC, c.item LIMIT 10""",
+    "similar_items_literal": f"""
+        {_PAIRS},
+        c AS (SELECT CASE WHEN item1 = 1 THEN item2 ELSE item1 END AS item,
+                     round(score, 6) AS score, strength, item1, item2 FROM p
+              WHERE item1 = 1 OR (item2 = 1 AND round(score, 6) > 0.5 AND strength > 150))
+        SELECT c.item, c.score, c.strength, s.s_name FROM c LEFT JOIN supplier s ON c.item = s.s_suppkey
+        ORDER BY c.score DESC, c.strength DESC, c.item LIMIT 10""",
+
+    "contiguous_folds": """
+        SELECT o_orderkey, o_custkey,
+               CAST((row_number() OVER (ORDER BY o_orderkey) - 1)
+                    // CAST(ceil(count(*) OVER () / 5.0) AS BIGINT) + 1 AS INTEGER) AS fold
+        FROM orders""",
+    "per_user_holdout": """
+        SELECT event_id, user_id,
+               CASE WHEN row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id)
+                         BETWEEN 1 AND 10 THEN 'test' ELSE 'base' END AS split
+        FROM events""",
+    "delimited_roundtrip": "SELECT * FROM customer",
 }
