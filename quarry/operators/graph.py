@@ -12,29 +12,41 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import adjacency_tokens
-from quarry.operators.lineage import cut
 
 # Node colours of the breadth-first search, lightest to darkest.
 WHITE, GRAY, BLACK = "WHITE", "GRAY", "BLACK"
 UNREACHED = 9999
 
 
-def _id(c) -> F.Column:
-    return F.expr(f"try_cast({c} AS BIGINT)") if isinstance(c, str) else c.try_cast("bigint")
+def _first_token(c: str, trim: bool) -> F.Column:
+    """The first token of the line, computed without splitting the line, so a
+    filter on it that the optimiser pushes down stays cheap."""
+    if trim:
+        return F.regexp_extract(F.trim(F.col(c)), r"^(\S*)", 1)
+    return F.substring_index(F.col(c), " ", 1)
 
 
 def parse_lines(lines: DataFrame, col: str = "value", trim: bool = True) -> DataFrame:
-    """One row per line: ``id`` (bigint, lines without a numeric id dropped),
-    ``nbrs`` (array<bigint>, a non-numeric token becomes null) and ``n_tokens``
-    (neighbour tokens on the line, nulls included)."""
-    toks = adjacency_tokens(col, trim)
-    parsed = lines.select(toks.alias("_t")).select(
-        F.get("_t", 0).try_cast("bigint").alias("id"),
-        F.slice("_t", 2, F.greatest(F.size("_t") - 1, F.lit(1))).alias("_nb"),
-        (F.size("_t") - 1).alias("n_tokens"),
-    )
-    return parsed.where(F.col("id").isNotNull()).select(
-        "id", F.transform("_nb", lambda x: x.try_cast("bigint")).alias("nbrs"), "n_tokens")
+    """One row per line: ``id`` (bigint; lines without a numeric id dropped)
+    and ``n_tokens`` (neighbour tokens on the line, non-numeric ones included)."""
+    return (lines.select(_first_token(col, trim).try_cast("bigint").alias("id"),
+                         (F.size(adjacency_tokens(col, trim)) - 1).alias("n_tokens"))
+                 .where(F.col("id").isNotNull()))
+
+
+def occurrences(lines: DataFrame, col: str = "value", trim: bool = True) -> DataFrame:
+    """One row per neighbour token: ``src, dst`` (non-numeric tokens dropped).
+
+    The token array is built once per line and exploded with an outer
+    generator followed by explicit filters; this keeps the optimiser from
+    re-evaluating the split inside an inferred pre-filter."""
+    toks = lines.select(_first_token(col, trim).alias("_id"),
+                        adjacency_tokens(col, trim).alias("_t"))
+    return (toks.select("_id", F.posexplode_outer("_t").alias("_pos", "_tok"))
+                .where(F.col("_pos") > 0)
+                .select(F.col("_id").try_cast("bigint").alias("src"),
+                        F.col("_tok").try_cast("bigint").alias("dst"))
+                .where(F.col("src").isNotNull() & F.col("dst").isNotNull()))
 
 
 def edges(lines: DataFrame, col: str = "value", trim: bool = True) -> DataFrame:
@@ -42,10 +54,8 @@ def edges(lines: DataFrame, col: str = "value", trim: bool = True) -> DataFrame:
 
     Partial aggregation combines repeated edges before the shuffle on
     ``(src, dst)``, which also spreads a hub's edges over many partitions."""
-    parsed = parse_lines(lines, col, trim)
-    occ = parsed.select(F.col("id").alias("src"), F.explode("nbrs").alias("dst"))
-    return (occ.where(F.col("dst").isNotNull())
-               .groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n")))
+    return (occurrences(lines, col, trim)
+            .groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n")))
 
 
 def degree(lines: DataFrame, col: str = "value", trim: bool = True) -> DataFrame:
@@ -86,43 +96,56 @@ def bfs(edge_table: DataFrame, start: int, target: int | None = None,
     only through such an edge, never as zero hops.
 
     Each round: frontier ⋈ edges on ``src`` → per-``dst`` candidate counts
-    (combined map-side) → anti join with the visited levels.  Edges are
-    hash-partitioned by ``src`` and checkpointed once, so a round shuffles
-    only the frontier (or broadcasts it when AQE measures it small).  Every
-    round's output is a reliable checkpoint, so lineage stays one round long.
+    (combined map-side) → anti join with the visited levels.  The edge table
+    is hash-partitioned by ``src`` and persisted (its lineage is short and
+    fixed), so a round shuffles only the frontier, or broadcasts it when AQE
+    measures it small.  Each round's candidates and new level are written
+    as tables in the shared checkpoint folder, so lineage stays one round
+    long and a lost executor never replays earlier rounds.
     """
+    from pyspark import StorageLevel
+    from quarry.operators.lineage import write_table
+
     spark = edge_table.sparkSession
-    e = cut(edge_table.select("src", "dst", "n").repartition("src"))
-    level0 = cut(_start_frame(spark, start))
-    levels = [level0]
-    frontier = level0.select("id")
-    hit = None
-    rounds = 0
-    for r in range(1, max_rounds + 1):
-        rounds = r
-        cand = cut(frontier.join(e, frontier["id"] == e["src"])
-                   .groupBy("dst")
-                   .agg(F.count(F.lit(1)).alias("parents"), F.sum("n").alias("edge_hits")))
-        if target is not None:
-            row = cand.where(F.col("dst") == F.lit(target)).first()
-            if row is not None:
-                hit = {"hops": r, "parents": row["parents"], "edge_hits": row["edge_hits"]}
-        visited = levels[0]
-        for lv in levels[1:]:
-            visited = visited.unionByName(lv)
-        new = cut(cand.select(F.col("dst").alias("id"))
-                  .join(visited.select("id"), "id", "left_anti")
-                  .withColumn("distance", F.lit(r)))
-        if hit is not None:
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    e = edge_table.select("src", "dst", "n").repartition(parts, "src") \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        levels = [write_table(_start_frame(spark, start), "bfs-level")]
+        hit = None
+        rounds = 0
+        for r in range(1, max_rounds + 1):
+            rounds = r
+            frontier = levels[-1].select("id")
+            reached = frontier.join(e, frontier["id"] == e["src"])
+            visited = levels[0].select("id")
+            for lv in levels[1:]:
+                visited = visited.unionByName(lv.select("id"))
+            # New nodes carry their own hit counts; a target that is already
+            # visited can only be the start (any other target would have hit
+            # in the round that reached it), which is looked up separately.
+            new = write_table(
+                reached.groupBy(F.col("dst").alias("id"))
+                .agg(F.count(F.lit(1)).alias("parents"), F.sum("n").alias("edge_hits"))
+                .join(visited, "id", "left_anti")
+                .withColumn("distance", F.lit(r)), "bfs-level")
+            if target is not None:
+                src = reached.where(F.col("dst") == F.lit(target)).agg(
+                    F.count(F.lit(1)).alias("parents"), F.sum("n").alias("edge_hits")) \
+                    if target == start else new.where(F.col("id") == F.lit(target))
+                row = src.first()
+                if row is not None and row["parents"]:
+                    hit = {"hops": r, "parents": row["parents"], "edge_hits": row["edge_hits"]}
+            if new.isEmpty():
+                break
             levels.append(new)
-            break
-        if new.isEmpty():
-            break
-        levels.append(new)
-        frontier = new.select("id")
+            if hit is not None:
+                break
+    finally:
+        e.unpersist()
     out = levels[0]
     for lv in levels[1:]:
-        out = out.unionByName(lv)
+        out = out.unionByName(lv.select("id", "distance"))
     color = F.when(F.col("distance") < F.lit(rounds), F.lit(BLACK)).otherwise(F.lit(GRAY))
     return out.withColumn("color", color), hit
 
@@ -145,16 +168,13 @@ def bfs_round_states(lines: DataFrame, start: int, col: str = "value",
     distance and the darkest colour (WHITE < GRAY < BLACK) — the per-node
     reduce of the state-passing BFS, without concatenating neighbour lists.
     """
-    parsed = parse_lines(lines, col, trim)
     is_start = F.col("id") == F.lit(start)
-    own = parsed.select(
+    own = parse_lines(lines, col, trim).select(
         "id", F.col("n_tokens").cast("bigint").alias("n_connections"),
         F.when(is_start, 0).otherwise(UNREACHED).alias("distance"),
         F.when(is_start, 2).otherwise(0).alias("_rank"))
-    spawned = (parsed.where(is_start)
-               .select(F.explode("nbrs").alias("id"))
-               .where(F.col("id").isNotNull())
-               .select("id", F.lit(0).cast("bigint").alias("n_connections"),
+    spawned = (occurrences(lines, col, trim).where(F.col("src") == F.lit(start))
+               .select(F.col("dst").alias("id"), F.lit(0).cast("bigint").alias("n_connections"),
                        F.lit(1).alias("distance"), F.lit(1).alias("_rank")))
     return merge_node_states(own.unionByName(spawned))
 

@@ -1,18 +1,38 @@
 """Lineage cuts for iterative jobs.
 
 Iterative plans grow by one join per round and, without a cut, re-run every
-earlier round.  ``cut`` writes a reliable checkpoint into the shared folder
-named by ``spark.checkpoint.dir`` so a lost executor re-reads files instead
-of recomputing (a local checkpoint would die with the executor).
+earlier round.  A cut writes the round's result as a parquet table into the
+shared folder named by ``spark.checkpoint.dir`` and reads it back: a lost
+executor then re-reads files instead of recomputing earlier rounds (a local
+checkpoint would die with the executor).  Parquet is columnar and
+compressed, and the table read back carries size statistics that let the
+planner choose a broadcast for small results.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
 from quarry.session import checkpoint_dir
 
 
+def scratch_path(df_or_spark, name: str) -> str:
+    spark = getattr(df_or_spark, "sparkSession", df_or_spark)
+    return f"{checkpoint_dir(spark).rstrip('/')}/quarry-tables/{name}-{uuid.uuid4().hex}"
+
+
+def write_table(df: DataFrame, name: str) -> DataFrame:
+    """Materialise ``df`` as a parquet table in the shared folder; return the
+    table read back (lineage = one file scan)."""
+    path = scratch_path(df, name)
+    df.write.mode("error").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def cut(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into ``spark.checkpoint.dir`` (keeps the physical
+    partitioning of ``df``)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)

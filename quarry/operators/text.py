@@ -22,5 +22,7 @@ def word_count(df: DataFrame, text_col: str = "value", keep_empty: bool = False)
         lines = df.select(F.explode(F.split(F.col(text_col), "\n")).alias("_line"))
         words = lines.select(F.explode(line_tokens_jvm("_line")).alias("_w"))
     else:
-        words = df.select(F.explode(word_tokens(text_col)).alias("_w"))
+        # explode all tokens, then drop empties: cheaper than an array filter
+        words = (df.select(F.explode(word_tokens(text_col, keep_empty=True)).alias("_w"))
+                   .where(F.col("_w") != F.lit("")))
     return words.groupBy(F.lower("_w").alias("word")).count()

@@ -280,7 +280,8 @@ def part_ratings(spark, sf_dir) -> DataFrame:
 def als_recommend(spark, sf_dir):
     ratings = part_ratings(spark, sf_dir)
     model = recommend.fit_als(ratings, "userID", "movieID", "rating")
-    requested = ratings.agg(F.min("userID").alias("userID"))
+    # the requested user: the lowest customer key that has orders
+    requested = _t(spark, sf_dir, "orders").agg(F.min("o_custkey").cast("int").alias("userID"))
     recs = recommend.recommend(model, requested, recommend.TOP_N)
     return lookup.attach_name(recs, _t(spark, sf_dir, "part"), "movieID", "p_partkey", "p_name",
                               small_side_rows=recommend.TOP_N)
