@@ -111,7 +111,7 @@ def bfs(edge_table: DataFrame, start: int, target: int | None = None,
     e = edge_table.select("src", "dst", "n").repartition(parts, "src") \
         .persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        levels = [write_table(_start_frame(spark, start), "bfs-level")]
+        levels = [_start_frame(spark, start)]
         hit = None
         rounds = 0
         for r in range(1, max_rounds + 1):
@@ -150,6 +150,16 @@ def bfs(edge_table: DataFrame, start: int, target: int | None = None,
     return out.withColumn("color", color), hit
 
 
+def with_unreached(levels: DataFrame, lines: DataFrame, col: str = "value",
+                   trim: bool = True) -> DataFrame:
+    """Add every node that has a line but was not reached, with distance 9999
+    and colour WHITE (the full node table of the state-passing search)."""
+    nodes = parse_lines(lines, col, trim).select("id").distinct()
+    missing = (nodes.join(levels.select("id"), "id", "left_anti")
+                    .select("id", F.lit(UNREACHED).alias("distance"), F.lit(WHITE).alias("color")))
+    return levels.unionByName(missing)
+
+
 def hit_frame(spark, start: int, target: int, hit: dict | None) -> DataFrame:
     """The BFS hit report as a one-row DataFrame (no row when not reached)."""
     schema = "start bigint, target bigint, hops int, parents bigint, edge_hits bigint"

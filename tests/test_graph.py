@@ -71,3 +71,16 @@ def test_round_states_merge(lines):
     assert got[1] == (3, 0, "BLACK")
     assert got[2] == (2, 1, "GRAY") and got[4] == (1, 1, "GRAY")
     assert got[5] == (3, 9999, "WHITE") and got[7] == (0, 9999, "WHITE")
+
+
+def test_bfs_with_unreached(lines):
+    levels, _ = graph.bfs(graph.edges(lines), 1)
+    got = {r.id: (r.distance, r.color) for r in graph.with_unreached(levels, lines).collect()}
+    assert got[7] == (9999, "WHITE") and got[6] == (3, "BLACK") and got[1] == (0, "BLACK")
+    assert len(got) == 7
+
+
+def test_bfs_round_cap_leaves_last_level_gray(lines):
+    levels, _ = graph.bfs(graph.edges(lines), 1, max_rounds=1)
+    got = {r.id: (r.distance, r.color) for r in levels.collect()}
+    assert got == {1: (0, "BLACK"), 2: (1, "GRAY"), 3: (1, "GRAY"), 4: (1, "GRAY")}

@@ -59,3 +59,18 @@ def test_top_k_is_ordered_limit(spark):
     top = lookup.top_k(df, [F.desc("c"), F.asc("id")], 3)
     assert [r.id for r in top.collect()] == [2, 5, 8]
     assert "TakeOrderedAndProject" in top._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pipe_dimension_skips_short_lines_and_dedupes(spark, write_text):
+    from quarry.sources import read_dimension
+    raw = b"1|Caf\xe9|x\n2\n3|Three|y\nbad|Name\n3|Three again|z\n"
+    df = read_dimension(spark, write_text(raw, "dim.txt"), sep="|", encoding="ISO-8859-1")
+    assert sorted(tuple(r) for r in df.collect()) == [(1, "Café"), (3, "Three again")]
+
+
+def test_min_converted_label_format(spark):
+    from quarry.operators import relational
+    df = spark.createDataFrame([("S1", -148.0), ("S1", 0.0)], "s string, t double")
+    out = relational.min_then_convert(df, "s", "t").withColumn(
+        "label", F.format_string("%.2f F", F.col("temperature")))
+    assert out.first().label == "5.36 F"
