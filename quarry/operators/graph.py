@@ -84,7 +84,8 @@ def _start_frame(spark, start: int) -> DataFrame:
 
 
 def bfs(edge_table: DataFrame, start: int, target: int | None = None,
-        max_rounds: int = 10) -> tuple[DataFrame, dict | None]:
+        max_rounds: int = 10, hot_share: float = 0.001, hot_min_edges: int = 100_000,
+        buckets: int = 16) -> tuple[DataFrame, dict | None]:
     """Breadth-first search from ``start`` for at most ``max_rounds`` rounds.
 
     Returns ``(levels, hit)``.  ``levels`` has ``id, distance, color`` for
@@ -95,29 +96,38 @@ def bfs(edge_table: DataFrame, start: int, target: int | None = None,
     occurrences (parallel edges counted).  Reaching ``start`` itself counts
     only through such an edge, never as zero hops.
 
-    Each round: frontier ⋈ edges on ``src`` → per-``dst`` candidate counts
-    (combined map-side) → anti join with the visited levels.  The edge table
-    is hash-partitioned by ``src`` and persisted (its lineage is short and
-    fixed), so a round shuffles only the frontier, or broadcasts it when AQE
-    measures it small.  Each round's candidates and new level are written
-    as tables in the shared checkpoint folder, so lineage stays one round
-    long and a lost executor never replays earlier rounds.
+    Each round: frontier ⋈ edges on ``src`` → per-``dst`` counts (combined
+    map-side) → anti join with the visited levels.  The edge table is
+    partitioned once by ``(src, salt)`` and persisted (its lineage is short
+    and fixed): ordinary sources have salt 0, hub sources (≥ ``hot_share`` of
+    the edges and ≥ ``hot_min_edges``) spread their edges over ``buckets``
+    salts by destination, and only hub ids of the frontier are repeated per
+    salt.  A round therefore shuffles only the frontier (or broadcasts it
+    when AQE measures it small) and no hub's edges sit in one task.  Each
+    round's level is written as a table in the shared checkpoint folder, so
+    lineage stays one round long and a lost executor never replays earlier
+    rounds.
     """
     from pyspark import StorageLevel
     from quarry.operators.lineage import write_table
+    from quarry.operators.skew import hot_keys, salt_tags
 
     spark = edge_table.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    e = edge_table.select("src", "dst", "n").repartition(parts, "src") \
+    e0 = edge_table.select("src", "dst", "n")
+    hubs = hot_keys(e0, "src", hot_share, hot_min_edges).withColumnRenamed("src", "id") \
         .persist(StorageLevel.MEMORY_AND_DISK)
+    salted, _ = salt_tags(e0, "src", hubs.withColumnRenamed("id", "src"), buckets, F.col("dst"))
+    e = salted.repartition(parts, "src", "_salt").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         levels = [_start_frame(spark, start)]
         hit = None
         rounds = 0
         for r in range(1, max_rounds + 1):
             rounds = r
-            frontier = levels[-1].select("id")
-            reached = frontier.join(e, frontier["id"] == e["src"])
+            _, frontier = salt_tags(levels[-1].select("id"), "id", hubs, buckets, F.col("id"))
+            reached = frontier.join(e, (frontier["id"] == e["src"])
+                                    & (frontier["_salt"] == e["_salt"]))
             visited = levels[0].select("id")
             for lv in levels[1:]:
                 visited = visited.unionByName(lv.select("id"))
@@ -143,6 +153,7 @@ def bfs(edge_table: DataFrame, start: int, target: int | None = None,
                 break
     finally:
         e.unpersist()
+        hubs.unpersist()
     out = levels[0]
     for lv in levels[1:]:
         out = out.unionByName(lv.select("id", "distance"))
