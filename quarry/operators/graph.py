@@ -114,11 +114,13 @@ def bfs(edge_table: DataFrame, start: int, target: int | None = None,
 
     spark = edge_table.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    e0 = edge_table.select("src", "dst", "n")
+    # one materialisation of the edges; hub detection and the salted copy read it
+    e0 = write_table(edge_table.select("src", "dst", "n"), "bfs-edges")
     hubs = hot_keys(e0, "src", hot_share, hot_min_edges).withColumnRenamed("src", "id") \
         .persist(StorageLevel.MEMORY_AND_DISK)
     salted, _ = salt_tags(e0, "src", hubs.withColumnRenamed("id", "src"), buckets, F.col("dst"))
-    e = salted.repartition(parts, "src", "_salt").persist(StorageLevel.MEMORY_AND_DISK)
+    e = (salted.repartition(parts, "src", "_salt").sortWithinPartitions("src", "_salt")
+         .persist(StorageLevel.MEMORY_AND_DISK))
     try:
         levels = [_start_frame(spark, start)]
         hit = None
