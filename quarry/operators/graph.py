@@ -141,14 +141,22 @@ def bfs(edge_table: DataFrame, start: int, target: int | None = None,
                 .agg(F.count(F.lit(1)).alias("parents"), F.sum("n").alias("edge_hits"))
                 .join(visited, "id", "left_anti")
                 .withColumn("distance", F.lit(r)), "bfs-level")
+            # one small job over the new level: its size and the target's row
+            probe = new.agg(
+                F.count(F.lit(1)).alias("size"),
+                F.max(F.when(F.col("id") == F.lit(target), F.col("parents"))).alias("parents"),
+                F.max(F.when(F.col("id") == F.lit(target), F.col("edge_hits"))).alias("hits"),
+            ).first()
             if target is not None:
-                src = reached.where(F.col("dst") == F.lit(target)).agg(
-                    F.count(F.lit(1)).alias("parents"), F.sum("n").alias("edge_hits")) \
-                    if target == start else new.where(F.col("id") == F.lit(target))
-                row = src.first()
-                if row is not None and row["parents"]:
-                    hit = {"hops": r, "parents": row["parents"], "edge_hits": row["edge_hits"]}
-            if new.isEmpty():
+                if target == start:
+                    row = reached.where(F.col("dst") == F.lit(target)).agg(
+                        F.count(F.lit(1)).alias("parents"),
+                        F.sum("n").alias("hits")).first()
+                else:
+                    row = probe
+                if row["parents"]:
+                    hit = {"hops": r, "parents": row["parents"], "edge_hits": row["hits"]}
+            if probe["size"] == 0:
                 break
             levels.append(new)
             if hit is not None:
