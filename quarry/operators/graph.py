@@ -79,8 +79,9 @@ def least_connected(deg: DataFrame) -> DataFrame:
 
 
 def _start_frame(spark, start: int) -> DataFrame:
-    return spark.range(1).select(F.lit(start).cast("bigint").alias("id"),
-                                 F.lit(0).alias("distance"))
+    # a range row, not a literal: a literal id would be constant-folded into
+    # the join conditions and turn the equi-joins into nested-loop joins
+    return spark.range(start, start + 1).select("id", F.lit(0).alias("distance"))
 
 
 def bfs(edge_table: DataFrame, start: int, target: int | None = None,

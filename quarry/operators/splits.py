@@ -55,7 +55,8 @@ def per_user_holdout(df: DataFrame, user: str, order_cols: Sequence[str], row_ke
                      alias: str = "split") -> DataFrame:
     """Per user, the ``start``-th … ``stop``-th rows (in ``order_cols`` order)
     go to ``test``, all others to ``base``; ``max_test > 0`` caps the test set
-    at its first ``max_test`` rows in that order.
+    at its first ``max_test`` rows in that order (ranked with ``row_index``, so
+    a large cap never gathers in one task).
 
     ``row_number() ≤ stop`` lets Spark insert a partial window group limit
     before the shuffle, so a user with a third of all rows sends at most
@@ -67,7 +68,9 @@ def per_user_holdout(df: DataFrame, user: str, order_cols: Sequence[str], row_ke
                 .where(F.col("_rn") <= F.lit(stop)))
     test = ranked.where(F.col("_rn") >= F.lit(start))
     if max_test > 0:
-        test = test.orderBy(*order_cols, row_key).limit(max_test)
+        # rank the test rows globally without a single-task top-k merge
+        test = (row_index(test, [*order_cols, row_key], "_g")
+                .where(F.col("_g") <= F.lit(max_test)))
     flags = test.select(row_key, F.lit("test").alias("_t"))
     return (df.join(flags, row_key, "left")
               .withColumn(alias, F.coalesce(F.col("_t"), F.lit("base"))).drop("_t"))
