@@ -64,3 +64,29 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def scale_settings(input_bytes: int, total_cores: int,
+                   partition_bytes: int = 512 << 20, max_partitions: int = 200_000) -> dict[str, str]:
+    """Session settings sized for a job that reads ``input_bytes``.
+
+    Shuffle partitions are sized so one partition holds about
+    ``partition_bytes`` of the input (at least two waves of ``total_cores``,
+    at most ``max_partitions`` to keep the driver's task bookkeeping sane);
+    AQE starts from that count, coalesces small partitions towards half of
+    that size and splits skewed join partitions.  File splits stay at
+    ``partition_bytes`` or less so a scan task's batch fits executor memory.
+    Apply with ``SparkSession.builder.config(map=...)`` before the session
+    starts, or ``spark.conf.set`` for the runtime (SQL) entries.
+    """
+    import math
+    shuffle = min(max(2 * total_cores, math.ceil(input_bytes / partition_bytes)), max_partitions)
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(min(partition_bytes, 512 << 20)),
+    }

@@ -53,3 +53,14 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["l_partkey", "count", "p_name"]
     assert df.count() > 0
+
+
+def test_no_nested_loop_cartesian_or_python_udf(spark):
+    """Every registered plan stays equi-join and JVM-side; the only allowed
+    cartesian is MLlib's blocked top-n scoring inside ALS recommendations."""
+    for name, fn in E.queries().items():
+        plan = fn(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan, name
+        assert "PythonUDF" not in plan and "EvalPython" not in plan, name
+        if name != "als_recommend":
+            assert "Cartesian" not in plan, name

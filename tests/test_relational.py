@@ -80,3 +80,12 @@ def test_float32_conversion_matches_java(spark):
     f = np.float32
     expect = f(-148) * f(0.1) * f(9.0 / 5.0) + f(32.0)
     assert np.float32(v) == expect
+
+
+def test_scale_settings_bounds():
+    from quarry.session import scale_settings
+    big = scale_settings(100 * 2**40, 8000)
+    assert big["spark.sql.shuffle.partitions"] == "200000"
+    small = scale_settings(40 * 2**20, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    assert int(big["spark.sql.files.maxPartitionBytes"]) <= 512 << 20
