@@ -199,6 +199,14 @@ def bfs_hit(spark, sf_dir):
     return graph.hit_frame(spark, BFS_START, BFS_TARGET, hit)
 
 
+@query
+def bfs_hit_self(spark, sf_dir):
+    """Start = target: found only through a frontier edge back to the start."""
+    _, hit = graph.bfs(graph.edges(graph_lines(spark, sf_dir)), BFS_START,
+                       target=BFS_START, max_rounds=MAX_ROUNDS)
+    return graph.hit_frame(spark, BFS_START, BFS_START, hit)
+
+
 @query
 def merge_node_state(spark, sf_dir):
     return graph.bfs_round_states(graph_lines(spark, sf_dir), BFS_START)
@@ -265,6 +273,16 @@ def per_user_holdout(spark, sf_dir):
             .select("event_id", "user_id", "split"))
 
 
+@query
+def per_user_holdout_second(spark, sf_dir):
+    """The second hold-out of the original scripts: rows 11-20 per user,
+    test set capped at 100,000 rows in time order."""
+    ev = _t(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    return (splits.per_user_holdout(ev, "user_id", ["ts", "event_id"], "event_id",
+                                    11, 20, max_test=100_000)
+            .select("event_id", "user_id", "split"))
+
+
 # --- ALS recommendations: user = customer, item = part ------------------------
 
 def part_ratings(spark, sf_dir) -> DataFrame:

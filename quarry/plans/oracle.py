@@ -147,4 +147,21 @@ ORACLE_SQL: dict[str, str] = {
                          BETWEEN 1 AND 10 THEN 'test' ELSE 'base' END AS split
         FROM events""",
     "delimited_roundtrip": "SELECT * FROM customer",
+    "per_user_holdout_second": """
+        WITH r AS (SELECT event_id, user_id, ts,
+                          row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn
+                   FROM events),
+        q AS (SELECT event_id, row_number() OVER (ORDER BY ts, event_id) AS g
+              FROM r WHERE rn BETWEEN 11 AND 20)
+        SELECT r.event_id, r.user_id,
+               CASE WHEN q.g <= 100000 THEN 'test' ELSE 'base' END AS split
+        FROM r LEFT JOIN q ON r.event_id = q.event_id""",
+    "bfs_hit_self": f"""
+        WITH RECURSIVE {_BFS_LEVELS},
+        h AS (SELECT e.src, e.n, lv.distance + 1 AS hop
+              FROM ({_EDGES}) e JOIN lv ON e.src = lv.id
+              WHERE e.dst = 1 AND lv.distance < 10)
+        SELECT CAST(1 AS BIGINT) AS start, CAST(1 AS BIGINT) AS target, hop AS hops,
+               count(*) AS parents, CAST(sum(n) AS BIGINT) AS edge_hits
+        FROM h WHERE hop = (SELECT min(hop) FROM h) GROUP BY hop""",
 }
