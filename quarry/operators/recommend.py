@@ -37,3 +37,34 @@ def recommend(model: ALSModel, users: DataFrame, n: int = TOP_N) -> DataFrame:
     return flat.select(user_col, (F.col("_pos") + 1).alias("rank"),
                        F.col(f"_rec.{item_col}").alias(item_col),
                        F.col("_rec.rating").alias("rating"))
+
+
+def dense_index(ratings: DataFrame, col: str, alias: str) -> DataFrame:
+    """``col → alias``: a dense 0-based int for every distinct value of ``col``.
+
+    MLlib needs 32-bit ids; keys of large tables exceed that range while
+    their number of distinct values may not.  The numbering uses
+    ``splits.row_index`` (range sort + per-partition offsets, no single-task
+    window).  More than 2^31 distinct values fail loudly on the ANSI cast
+    instead of wrapping around."""
+    from quarry.operators.splits import row_index
+    ids = ratings.select(col).distinct()
+    return row_index(ids, [col], "_dense").select(
+        col, (F.col("_dense") - 1).cast("int").alias(alias))
+
+
+def recommend_any_ids(ratings: DataFrame, users: DataFrame, user: str, item: str,
+                      rating: str, n: int = TOP_N, seed: int = 42) -> DataFrame:
+    """Train ALS and recommend for ``users`` when ids are not 32-bit ints:
+    ids are densely re-indexed for MLlib and mapped back.  Returns
+    ``user, rank, item, rating`` with the original ids."""
+    uidx = dense_index(ratings, user, "_u")
+    iidx = dense_index(ratings, item, "_i")
+    indexed = (ratings.join(uidx, user).join(iidx, item)
+                      .select("_u", "_i", F.col(rating).cast("float").alias("_r")))
+    model = fit_als(indexed, "_u", "_i", "_r", seed=seed)
+    wanted = users.select(user).join(uidx, user).select("_u")
+    recs = recommend(model, wanted, n)
+    # recs holds n rows per requested user: the bounded side of both joins
+    return (F.broadcast(recs).join(uidx, "_u").join(iidx, "_i")
+            .select(user, "rank", item, "rating"))

@@ -286,21 +286,23 @@ def per_user_holdout_second(spark, sf_dir):
 # --- ALS recommendations: user = customer, item = part ------------------------
 
 def part_ratings(spark, sf_dir) -> DataFrame:
+    """One rating per (customer, part): the mean quantity, as float."""
     li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     od = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return (li.join(od, li["l_orderkey"] == od["o_orderkey"])
-              .groupBy(F.col("o_custkey").cast("int").alias("userID"),
-                       F.col("l_partkey").cast("int").alias("movieID"))
+              .groupBy(F.col("o_custkey").alias("userID"), F.col("l_partkey").alias("movieID"))
               .agg(F.avg("l_quantity").cast("float").alias("rating")))
 
 
 @query
 def als_recommend(spark, sf_dir):
+    """Keys are bigint and outgrow 32 bits at scale, so they are densely
+    re-indexed for MLlib and mapped back (``recommend_any_ids``)."""
     ratings = part_ratings(spark, sf_dir)
-    model = recommend.fit_als(ratings, "userID", "movieID", "rating")
     # the requested user: the lowest customer key that has orders
-    requested = _t(spark, sf_dir, "orders").agg(F.min("o_custkey").cast("int").alias("userID"))
-    recs = recommend.recommend(model, requested, recommend.TOP_N)
+    requested = _t(spark, sf_dir, "orders").agg(F.min("o_custkey").alias("userID"))
+    recs = recommend.recommend_any_ids(ratings, requested, "userID", "movieID", "rating",
+                                       recommend.TOP_N)
     return lookup.attach_name(recs, _t(spark, sf_dir, "part"), "movieID", "p_partkey", "p_name",
                               small_side_rows=recommend.TOP_N)
 

@@ -93,3 +93,23 @@ def test_als_invariants(spark):
     again = recommend.recommend(recommend.fit_als(ratings, "userID", "movieID", "rating", seed=7),
                                 users, 10).collect()
     assert [r.movieID for r in again] == [r.movieID for r in recs]
+
+
+def test_als_with_ids_beyond_int_range(spark):
+    big = 10**12
+    rows = [(big + u, 5 * big + (u * 7 + j * 3) % 40, float((u + j) % 5 + 1))
+            for u in range(30) for j in range(15)]
+    ratings = spark.createDataFrame(rows, "user long, item long, rating float").dropDuplicates(
+        ["user", "item"])
+    users = spark.createDataFrame([(big + 3,), (big + 999,)], "user long")
+    recs = recommend.recommend_any_ids(ratings, users, "user", "item", "rating", 10).collect()
+    assert {r.user for r in recs} == {big + 3}
+    assert sorted(r["rank"] for r in recs) == list(range(1, 11))
+    items = {r.item for r in ratings.select("item").distinct().collect()}
+    assert {r.item for r in recs} <= items
+
+
+def test_dense_index_is_dense_and_ordered(spark):
+    df = spark.createDataFrame([(k,) for k in (50, 7, 7, 10**12, 3)], "k long")
+    got = sorted(tuple(r) for r in recommend.dense_index(df, "k", "i").collect())
+    assert got == [(3, 0), (7, 1), (50, 2), (10**12, 3)]
