@@ -99,12 +99,13 @@ def bfs(edge_table: DataFrame, start: int, target: int | None = None,
 
     Each round: frontier ⋈ edges on ``src`` → per-``dst`` counts (combined
     map-side) → anti join with the visited levels.  The edge table is
-    partitioned once by ``(src, salt)`` and persisted (its lineage is short
-    and fixed): ordinary sources have salt 0, hub sources (≥ ``hot_share`` of
-    the edges and ≥ ``hot_min_edges``) spread their edges over ``buckets``
-    salts by destination, and only hub ids of the frontier are repeated per
-    salt.  A round therefore shuffles only the frontier (or broadcasts it
-    when AQE measures it small) and no hub's edges sit in one task.  Each
+    partitioned once by ``src`` and persisted (its lineage is short and
+    fixed).  When hub sources exist (≥ ``hot_share`` of the edges and
+    ≥ ``hot_min_edges``) it is partitioned by ``(src, salt)`` instead: hub
+    edges spread over ``buckets`` salts by destination, other sources keep
+    salt 0, and only hub ids of the frontier are repeated per salt.  A round
+    therefore shuffles and sorts only the frontier (or broadcasts it when AQE
+    measures it small) and no hub's edges sit in one task.  Each
     round's level is written as a table in the shared checkpoint folder, so
     lineage stays one round long and a lost executor never replays earlier
     rounds.
@@ -115,22 +116,33 @@ def bfs(edge_table: DataFrame, start: int, target: int | None = None,
 
     spark = edge_table.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # one materialisation of the edges; hub detection and the salted copy read it
-    e0 = write_table(edge_table.select("src", "dst", "n"), "bfs-edges")
+    # the parsed edges are computed once; their lineage is short and fixed,
+    # so a lost cached partition is recomputed from the text
+    e0 = edge_table.select("src", "dst", "n").persist(StorageLevel.MEMORY_AND_DISK)
     hubs = hot_keys(e0, "src", hot_share, hot_min_edges).withColumnRenamed("src", "id") \
         .persist(StorageLevel.MEMORY_AND_DISK)
-    salted, _ = salt_tags(e0, "src", hubs.withColumnRenamed("id", "src"), buckets, F.col("dst"))
-    e = (salted.repartition(parts, "src", "_salt").sortWithinPartitions("src", "_salt")
-         .persist(StorageLevel.MEMORY_AND_DISK))
+    salted = not hubs.isEmpty()
+    if salted:
+        tagged, _ = salt_tags(e0, "src", hubs.withColumnRenamed("id", "src"), buckets,
+                              F.col("dst"))
+        e = tagged.repartition(parts, "src", "_salt").sortWithinPartitions("src", "_salt")
+    else:
+        e = e0.repartition(parts, "src").sortWithinPartitions("src")
+    e = e.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         levels = [_start_frame(spark, start)]
         hit = None
         rounds = 0
         for r in range(1, max_rounds + 1):
             rounds = r
-            _, frontier = salt_tags(levels[-1].select("id"), "id", hubs, buckets, F.col("id"))
-            reached = frontier.join(e, (frontier["id"] == e["src"])
-                                    & (frontier["_salt"] == e["_salt"]))
+            if salted:
+                _, frontier = salt_tags(levels[-1].select("id"), "id", hubs, buckets,
+                                        F.col("id"))
+                reached = frontier.join(e, (frontier["id"] == e["src"])
+                                        & (frontier["_salt"] == e["_salt"]))
+            else:
+                frontier = levels[-1].select("id")
+                reached = frontier.join(e, frontier["id"] == e["src"])
             visited = levels[0].select("id")
             for lv in levels[1:]:
                 visited = visited.unionByName(lv.select("id"))
@@ -165,6 +177,7 @@ def bfs(edge_table: DataFrame, start: int, target: int | None = None,
     finally:
         e.unpersist()
         hubs.unpersist()
+        e0.unpersist()
     out = levels[0]
     for lv in levels[1:]:
         out = out.unionByName(lv.select("id", "distance"))
