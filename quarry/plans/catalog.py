@@ -116,6 +116,15 @@ def popular_items_named(spark, sf_dir):
     return named.orderBy(F.desc("count"), "l_partkey")
 
 
+@query
+def popular_items_unmatched(spark, sf_dir):
+    """Strict lookup check: rated items that found no name (one row)."""
+    counts = lookup.popularity(_t(spark, sf_dir, "lineitem"), "l_partkey")
+    named = lookup.attach_name(counts, _t(spark, sf_dir, "part"), "l_partkey", "p_partkey",
+                               "p_name")
+    return lookup.count_unmatched(named, "p_name")
+
+
 @query
 def popular_items_top10(spark, sf_dir):
     counts = lookup.popularity(_t(spark, sf_dir, "lineitem"), "l_partkey")

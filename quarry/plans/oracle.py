@@ -164,4 +164,8 @@ ORACLE_SQL: dict[str, str] = {
         SELECT CAST(1 AS BIGINT) AS start, CAST(1 AS BIGINT) AS target, hop AS hops,
                count(*) AS parents, CAST(sum(n) AS BIGINT) AS edge_hits
         FROM h WHERE hop = (SELECT min(hop) FROM h) GROUP BY hop""",
+    "popular_items_unmatched": """
+        SELECT CAST(count(*) FILTER (WHERE p.p_partkey IS NULL) AS BIGINT) AS unmatched
+        FROM (SELECT DISTINCT l_partkey FROM lineitem) c
+        LEFT JOIN part p ON c.l_partkey = p.p_partkey""",
 }
