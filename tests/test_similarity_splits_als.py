@@ -113,3 +113,13 @@ def test_dense_index_is_dense_and_ordered(spark):
     df = spark.createDataFrame([(k,) for k in (50, 7, 7, 10**12, 3)], "k long")
     got = sorted(tuple(r) for r in recommend.dense_index(df, "k", "i").collect())
     assert got == [(3, 0), (7, 1), (50, 2), (10**12, 3)]
+
+
+def test_als_small_bigint_ids_take_cast_path(spark):
+    rows = [(u, (u * 7 + j * 3) % 40, float((u + j) % 5 + 1)) for u in range(30) for j in range(15)]
+    ratings = spark.createDataFrame(rows, "user long, item long, rating float").dropDuplicates(
+        ["user", "item"])
+    users = spark.createDataFrame([(3,)], "user long")
+    recs = recommend.recommend_any_ids(ratings, users, "user", "item", "rating", 10)
+    assert recs.schema["item"].dataType.simpleString() == "bigint"
+    assert sorted(r["rank"] for r in recs.collect()) == list(range(1, 11))
