@@ -101,7 +101,7 @@ def _names(spark, path):
     return read_delimited(spark, path, NAME_SCHEMA, sep=" ", encoding="ISO-8859-1")
 
 
-def hero_popularity(spark: SparkSession, graph_path: str, names_path: str | None = None,
+def node_popularity(spark: SparkSession, graph_path: str, names_path: str | None = None,
                     trim: bool = True) -> dict[str, DataFrame]:
     """The most connected node and every least connected node."""
     deg = graph.degree(read_lines(spark, graph_path), trim=trim)
@@ -175,7 +175,7 @@ JOBS = {
     "min-temperatures": min_temperatures,
     "word-count": word_counts,
     "popular-movies": popular_movies,
-    "hero-popularity": hero_popularity,
+    "node-popularity": node_popularity,
     "degrees-of-separation": degrees_of_separation,
     "movie-similarities": movie_similarities,
     "movie-recommendations": movie_recommendations,
