@@ -79,6 +79,6 @@ def recommend_any_ids(ratings: DataFrame, users: DataFrame, user: str, item: str
     model = fit_als(indexed, "_u", "_i", "_r", seed=seed)
     wanted = users.select(user).join(uidx, user).select("_u")
     recs = recommend(model, wanted, n)
-    # recs holds n rows per requested user: the bounded side of both joins
-    return (F.broadcast(recs).join(uidx, "_u").join(iidx, "_i")
-            .select(user, "rank", item, "rating"))
+    # n rows per requested user: no hint, the requested set may be large;
+    # Spark's size check / AQE broadcasts it when it is small
+    return recs.join(uidx, "_u").join(iidx, "_i").select(user, "rank", item, "rating")
