@@ -91,3 +91,8 @@ def test_bfs_with_salted_hubs_same_result(lines):
     salted = graph.bfs(graph.edges(lines), 1, target=6, hot_share=0.2, hot_min_edges=0, buckets=3)
     assert salted[1] == base[1]
     assert sorted(tuple(r) for r in salted[0].collect()) == sorted(tuple(r) for r in base[0].collect())
+
+
+def test_integer_ids_merge_zero_padded_lines(spark, write_text):
+    lines = read_lines(spark, write_text(["007 1", "7 2", "", "x 1"]))
+    assert {r.id: r.degree for r in graph.degree(lines).collect()} == {7: 2}

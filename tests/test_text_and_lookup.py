@@ -74,3 +74,11 @@ def test_min_converted_label_format(spark):
     out = relational.min_then_convert(df, "s", "t").withColumn(
         "label", F.format_string("%.2f F", F.col("temperature")))
     assert out.first().label == "5.36 F"
+
+
+def test_dimension_read_as_utf8_replaces_malformed_bytes(spark, write_text):
+    """Reading Latin-1 bytes with the UTF-8 decoder replaces the bad byte
+    with U+FFFD, as the replacing loader of one original program did."""
+    from quarry.sources import read_dimension
+    df = read_dimension(spark, write_text(b"1|Caf\xe9|x\n", "dim8.txt"), sep="|", encoding="UTF-8")
+    assert [tuple(r) for r in df.collect()] == [(1, "Caf�")]
