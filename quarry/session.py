@@ -15,7 +15,8 @@ _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "quarry") -> SparkSession:
+                app_name: str = "quarry", extra_conf: dict[str, str] | None = None
+                ) -> SparkSession:
     """Return the active session, or build a local one for tests and benches.
 
     On a cluster the caller's session is returned untouched; settings below
@@ -27,8 +28,11 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     cores = os.cpu_count() or 8
     master = master or f"local[{cores}]"
     parts = shuffle_partitions or max(8, cores)
+    builder = SparkSession.builder
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     spark = (
-        SparkSession.builder.master(master)
+        builder.master(master)
         .appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
