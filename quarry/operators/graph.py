@@ -169,6 +169,9 @@ def bfs(edge_table: DataFrame, start: int, target: int | None = None,
                     row = probe
                 if row["parents"]:
                     hit = {"hops": r, "parents": row["parents"], "edge_hits": row["hits"]}
+            if r == 1:
+                # the partitioned copy is materialised now; drop the raw one
+                e0.unpersist()
             if probe["size"] == 0:
                 break
             levels.append(new)
