@@ -18,16 +18,27 @@ def row_index(df: DataFrame, order_cols: Sequence[str], alias: str = "row_index"
     """1-based position of each row in the total order ``order_cols``.
 
     A global ``row_number()`` window would move every row into one task.
-    Instead: range-partitioned sort; each row's position inside its sorted
-    partition; one count per partition; a running sum over those counts (one
-    row per partition, so the small window and its broadcast are bounded by
-    the partition count).  Both branches read the same sort exchange, and a
-    unique order makes a recomputed partition identical.
+    Instead: range partitioning into a fixed number of partitions, sorted
+    within each; each row's position inside its partition; one count per
+    partition; a running sum over those counts (one row per partition, so the
+    small window and its broadcast are bounded by the partition count).
+
+    The numbered rows are written once as a table in the shared checkpoint
+    folder and both the counts and the final numbers are read from it.  Two
+    independent evaluations of the sort could disagree: the range
+    partitioner re-samples unbalanced inputs with a seed tied to the
+    evaluation, so partition boundaries, and with them partition ids, may
+    differ between plan branches.  The table fixes them once (this call
+    therefore runs a job).
     """
-    tagged = (df.orderBy(*order_cols)
-                .withColumn("_pid", F.spark_partition_id())
-                .withColumn("_local", F.monotonically_increasing_id()
-                            - F.shiftleft(F.spark_partition_id().cast("bigint"), _LOCAL_BITS)))
+    from quarry.operators.lineage import write_table
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tagged = write_table(
+        df.repartitionByRange(parts, *order_cols).sortWithinPartitions(*order_cols)
+          .withColumn("_pid", F.spark_partition_id())
+          .withColumn("_local", F.monotonically_increasing_id()
+                      - F.shiftleft(F.spark_partition_id().cast("bigint"), _LOCAL_BITS)),
+        "row-index")
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = counts.select(
         "_pid", (F.sum("_cnt").over(Window.orderBy("_pid")) - F.col("_cnt")).alias("_off"))
@@ -64,12 +75,13 @@ def per_user_holdout(df: DataFrame, user: str, order_cols: Sequence[str], row_ke
     ``row_key``.
     """
     w = Window.partitionBy(user).orderBy(*order_cols)
-    ranked = (df.select(row_key, user, *order_cols, F.row_number().over(w).alias("_rn"))
+    keep = list(dict.fromkeys([row_key, user, *order_cols]))
+    ranked = (df.select(*keep, F.row_number().over(w).alias("_rn"))
                 .where(F.col("_rn") <= F.lit(stop)))
     test = ranked.where(F.col("_rn") >= F.lit(start))
     if max_test > 0:
         # rank the test rows globally without a single-task top-k merge
-        test = (row_index(test, [*order_cols, row_key], "_g")
+        test = (row_index(test, list(dict.fromkeys([*order_cols, row_key])), "_g")
                 .where(F.col("_g") <= F.lit(max_test)))
     flags = test.select(row_key, F.lit("test").alias("_t"))
     return (df.join(flags, row_key, "left")

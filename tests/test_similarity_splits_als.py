@@ -123,3 +123,18 @@ def test_als_small_bigint_ids_take_cast_path(spark):
     recs = recommend.recommend_any_ids(ratings, users, "user", "item", "rating", 10)
     assert recs.schema["item"].dataType.simpleString() == "bigint"
     assert sorted(r["rank"] for r in recs.collect()) == list(range(1, 11))
+
+
+def test_row_index_with_extra_columns_on_unbalanced_input(spark):
+    """Regression: with a payload column the plan has two readers of the
+    sorted data; numbering must still equal the rank (the numbered rows are
+    materialised once, so both see the same partitions)."""
+    import os
+    path = "/root/testdata/sf0.1/orders.parquet"
+    if not os.path.exists(path):
+        import pytest
+        pytest.skip("driver tables absent")
+    od = spark.read.parquet(path).select("o_orderkey", "o_custkey")
+    got = splits.row_index(od, ["o_orderkey"], "rn").select("o_orderkey", "rn").toPandas()
+    got = got.sort_values("o_orderkey").reset_index(drop=True)
+    assert (got["rn"].values == range(1, len(got) + 1)).all()
