@@ -28,23 +28,22 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     cores = os.cpu_count() or 8
     master = master or f"local[{cores}]"
     parts = shuffle_partitions or max(8, cores)
-    builder = SparkSession.builder
-    for k, v in (extra_conf or {}).items():
+    conf = {
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.driver.memory": os.environ.get("QUARRY_DRIVER_MEMORY", "8g"),
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+        **(extra_conf or {}),
+    }
+    builder = SparkSession.builder.master(master).appName(app_name)
+    for k, v in conf.items():
         builder = builder.config(k, v)
-    spark = (
-        builder.master(master)
-        .appName(app_name)
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(parts))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", os.environ.get("QUARRY_DRIVER_MEMORY", "8g"))
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .getOrCreate()
-    )
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
