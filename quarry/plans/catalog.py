@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators import graph, lookup, recommend, relational, similarity, splits, text
-from quarry.sources import load_table
+from quarry.operators.lineage import scratch_path
+from quarry.sources import load_table, read_delimited
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -322,11 +323,8 @@ def als_recommend(spark, sf_dir):
 def delimited_roundtrip(spark, sf_dir):
     """Write ``customer`` as header-less, pipe-separated Latin-1 text into the
     shared scratch folder, read it back with an explicit schema."""
-    import uuid
-    from quarry.session import checkpoint_dir
-    from quarry.sources import read_delimited
     src = _t(spark, sf_dir, "customer")
-    path = f"{checkpoint_dir(spark).rstrip('/')}/roundtrip-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "roundtrip")
     (src.write.mode("overwrite").option("sep", "|").option("encoding", "ISO-8859-1")
         .option("header", "false").csv(path))
     return read_delimited(spark, path, src.schema, sep="|", encoding="ISO-8859-1")
