@@ -328,3 +328,23 @@ def delimited_roundtrip(spark, sf_dir):
     (src.write.mode("overwrite").option("sep", "|").option("encoding", "ISO-8859-1")
         .option("header", "false").csv(path))
     return read_delimited(spark, path, src.schema, sep="|", encoding="ISO-8859-1")
+
+
+@query
+def delimited_roundtrip_tsv(spark, sf_dir):
+    """``part`` as tab-separated text with a header line, read back with the
+    header skipped and an explicit schema."""
+    src = _t(spark, sf_dir, "part")
+    path = scratch_path(spark, "roundtrip-tsv")
+    src.write.mode("overwrite").option("sep", "\t").option("header", "true").csv(path)
+    return read_delimited(spark, path, src.schema, sep="\t", header=True)
+
+
+@query
+def delimited_roundtrip_quoted(spark, sf_dir):
+    """Part ids and names as space-separated text: names that contain spaces
+    are written quoted and must come back whole."""
+    src = _t(spark, sf_dir, "part").select("p_partkey", "p_name")
+    path = scratch_path(spark, "roundtrip-space")
+    src.write.mode("overwrite").option("sep", " ").csv(path)
+    return read_delimited(spark, path, src.schema, sep=" ")

@@ -168,4 +168,6 @@ ORACLE_SQL: dict[str, str] = {
         SELECT CAST(count(*) FILTER (WHERE p.p_partkey IS NULL) AS BIGINT) AS unmatched
         FROM (SELECT DISTINCT l_partkey FROM lineitem) c
         LEFT JOIN part p ON c.l_partkey = p.p_partkey""",
+    "delimited_roundtrip_tsv": "SELECT * FROM part",
+    "delimited_roundtrip_quoted": "SELECT p_partkey, p_name FROM part",
 }
