@@ -348,3 +348,14 @@ def delimited_roundtrip_quoted(spark, sf_dir):
     path = scratch_path(spark, "roundtrip-space")
     src.write.mode("overwrite").option("sep", " ").csv(path)
     return read_delimited(spark, path, src.schema, sep=" ")
+
+
+@query
+def delimited_roundtrip_inferred(spark, sf_dir):
+    """``part`` as CSV with a header, read back with the header and schema
+    inference (one extra pass over the file): keys that fit 32 bits come
+    back as int, prices as double."""
+    src = _t(spark, sf_dir, "part")
+    path = scratch_path(spark, "roundtrip-inferred")
+    src.write.mode("overwrite").option("header", "true").csv(path)
+    return read_delimited(spark, path, header=True, infer_schema=True)

@@ -170,4 +170,8 @@ ORACLE_SQL: dict[str, str] = {
         LEFT JOIN part p ON c.l_partkey = p.p_partkey""",
     "delimited_roundtrip_tsv": "SELECT * FROM part",
     "delimited_roundtrip_quoted": "SELECT p_partkey, p_name FROM part",
+    "delimited_roundtrip_inferred": """
+        SELECT CAST(p_partkey AS INTEGER) AS p_partkey, p_name, p_brand, p_type, p_size,
+               p_retailprice
+        FROM part""",
 }
