@@ -96,3 +96,8 @@ def test_bfs_with_salted_hubs_same_result(lines):
 def test_integer_ids_merge_zero_padded_lines(spark, write_text):
     lines = read_lines(spark, write_text(["007 1", "7 2", "", "x 1"]))
     assert {r.id: r.degree for r in graph.degree(lines).collect()} == {7: 2}
+
+
+def test_most_connected_tie_goes_to_smallest_id(spark, write_text):
+    lines = read_lines(spark, write_text(["9 1 2", "4 1 2", "6 1"]))
+    assert tuple(graph.most_connected(graph.degree(lines)).first()) == (4, 2)

@@ -89,3 +89,12 @@ def test_scale_settings_bounds():
     small = scale_settings(40 * 2**20, 8)
     assert small["spark.sql.shuffle.partitions"] == "16"
     assert int(big["spark.sql.files.maxPartitionBytes"]) <= 512 << 20
+
+
+def test_money_sums_are_exact_decimals(spark):
+    # binary doubles: 0.1 + 0.2 = 0.30000000000000004; the decimal sum is exact
+    df = spark.createDataFrame([(1, 0.1), (1, 0.2), (2, 1.005)], "k int, amt double")
+    got = {r.k: r.total_spent for r in relational.rounded_total_by_key(df, "k", "amt").collect()}
+    assert got[1] == 0.3
+    avg = relational.average_by_key(df, "k", "amt", alias="a", exact_scale=2)
+    assert {r.k: r.a for r in avg.collect()}[1] == 0.15

@@ -138,3 +138,11 @@ def test_row_index_with_extra_columns_on_unbalanced_input(spark):
     got = splits.row_index(od, ["o_orderkey"], "rn").select("o_orderkey", "rn").toPandas()
     got = got.sort_values("o_orderkey").reset_index(drop=True)
     assert (got["rn"].values == range(1, len(got) + 1)).all()
+
+
+def test_thresholds_are_strict(spark):
+    # pair (10, 30) has score 1.0 and strength 1: equal to the thresholds, so it fails
+    out = similarity.similar_items(_ratings(spark), 10, 1.0, 0)
+    assert [r.item for r in out.collect()] == []
+    out = similarity.similar_items(_ratings(spark), 10, 0.99, 0)
+    assert [r.item for r in out.collect()] == [30]
