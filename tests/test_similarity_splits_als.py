@@ -146,3 +146,14 @@ def test_thresholds_are_strict(spark):
     assert [r.item for r in out.collect()] == []
     out = similarity.similar_items(_ratings(spark), 10, 0.99, 0)
     assert [r.item for r in out.collect()] == [30]
+
+
+def test_hot_keys_detects_heavy_key_within_bound(spark):
+    from quarry.operators.skew import hot_keys
+    # user 0 holds a third of the rows, the other 200 users one row each... x2
+    rows = [(0, i) for i in range(200)] + [(u, 0) for u in range(1, 201)] * 2
+    df = spark.createDataFrame(rows, "u int, i int")
+    assert [r.u for r in hot_keys(df, "u", 0.1).collect()] == [0]
+    assert hot_keys(df, "u", 0.1, min_rows=1000).count() == 0
+    share = 0.002
+    assert hot_keys(df, "u", share).count() <= 1 / share
