@@ -64,6 +64,15 @@ def adjacency_tokens(line: Column | str, trim: bool = True) -> Column:
     return F.split(F.trim(c), r"\s+") if trim else F.split(c, " ")
 
 
+def adjacency_neighbour_count(line: Column | str, trim: bool = True) -> Column:
+    """``size(adjacency_tokens(line, trim)) - 1`` without building the array:
+    a split yields one piece more than there are separator matches."""
+    c = F.col(line) if isinstance(line, str) else line
+    if trim:
+        return F.regexp_count(F.trim(c), F.lit(r"\s+"))
+    return F.length(c) - F.length(F.replace(c, F.lit(" "), F.lit("")))
+
+
 def cosine_score(sum_xy: Column, sum_xx: Column, sum_yy: Column) -> Column:
     """Cosine from co-rated sums; 0.0 when the denominator is zero."""
     den = F.sqrt(sum_xx) * F.sqrt(sum_yy)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions import adjacency_tokens
+from quarry.functions import adjacency_neighbour_count, adjacency_tokens
 
 # Node colours of the breadth-first search, lightest to darkest.
 WHITE, GRAY, BLACK = "WHITE", "GRAY", "BLACK"
@@ -30,7 +30,7 @@ def parse_lines(lines: DataFrame, col: str = "value", trim: bool = True) -> Data
     """One row per line: ``id`` (bigint; lines without a numeric id dropped)
     and ``n_tokens`` (neighbour tokens on the line, non-numeric ones included)."""
     return (lines.select(_first_token(col, trim).try_cast("bigint").alias("id"),
-                         (F.size(adjacency_tokens(col, trim)) - 1).alias("n_tokens"))
+                         adjacency_neighbour_count(col, trim).alias("n_tokens"))
                  .where(F.col("id").isNotNull()))
 
 

@@ -84,3 +84,13 @@ def test_folds_disjoint_and_covering(spark, n, k, parts):
     rank = {key: i for i, key in enumerate(keys)}
     for r in got:
         assert r.fold == rank[r.key] // size + 1 and 1 <= r.fold <= k
+
+
+@SETTINGS
+@given(st.lists(st.text(alphabet="12 \t", max_size=10), min_size=1, max_size=6), st.booleans())
+def test_neighbour_count_equals_token_count(spark, lines, trim):
+    from quarry.functions import adjacency_neighbour_count, adjacency_tokens
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(lines)], "i int, v string")
+    rows = df.select((F.size(adjacency_tokens("v", trim)) - 1).alias("a"),
+                     adjacency_neighbour_count("v", trim).alias("b")).collect()
+    assert all(r.a == r.b for r in rows)
