@@ -84,17 +84,22 @@ def _titles(spark, path):
 
 
 def popular_movies(spark: SparkSession, ratings: str, items: str | None = None,
-                   top: int | None = None) -> dict[str, DataFrame]:
+                   top: int | None = None, strict: bool = False) -> dict[str, DataFrame]:
     """Ratings per movie, with titles when ``items`` is given, most
-    rated first; ``top`` keeps the first rows (ties by id)."""
+    rated first; ``top`` keeps the first rows (ties by id).  ``strict`` adds
+    the number of rated movies without a title (the original failed on them)."""
     counts = lookup.popularity(_ratings(spark, ratings), "movieID")
     order = [F.desc("count"), F.asc("movieID")]
     if top is not None:
         counts = lookup.top_k(counts, order, top)
+    out = {}
     if items is not None:
         counts = lookup.attach_name(counts, _titles(spark, items), "movieID", "movieID",
                                     "movieTitle", small_side_rows=top)
-    return {"popular": counts.orderBy(*order)}
+        if strict:
+            out["unmatched"] = lookup.count_unmatched(counts, "movieTitle")
+    out["popular"] = counts.orderBy(*order)
+    return out
 
 
 def _names(spark, path):
@@ -114,11 +119,15 @@ def node_popularity(spark: SparkSession, graph_path: str, names_path: str | None
 
 
 def degrees_of_separation(spark: SparkSession, graph_path: str, start: int, target: int,
-                          max_rounds: int = 10) -> dict[str, DataFrame]:
+                          max_rounds: int = 10, include_unreached: bool = False
+                          ) -> dict[str, DataFrame]:
     """BFS from ``start``; the hit report (hops, distinct parents,
-    edge occurrences) and the distances reached until the hit."""
+    edge occurrences) and the distances reached until the hit
+    (``include_unreached``: every other node with a line, 9999 / WHITE)."""
     lines = read_lines(spark, graph_path)
     levels, hit = graph.bfs(graph.edges(lines), start, target=target, max_rounds=max_rounds)
+    if include_unreached:
+        levels = graph.with_unreached(levels, lines)
     return {"hit": graph.hit_frame(spark, start, target, hit), "distances": levels}
 
 

@@ -78,3 +78,14 @@ def test_recommendation_job(spark, write_text):
     recs = J.movie_recommendations(spark, write_text(rows), 3, items)["recommendations"].collect()
     assert [r["rank"] for r in recs] == list(range(1, 11))
     assert all(r.movieTitle == f"Title {r.movieID}" for r in recs)
+
+
+def test_job_options_strict_and_unreached(spark, write_text):
+    ratings = write_text(["1\t10\t4\t1", "2\t10\t3\t2", "1\t99\t5\t3"])
+    titles = write_text(["10|Ten|x"])
+    out = J.popular_movies(spark, ratings, titles, strict=True)
+    assert out["unmatched"].first().unmatched == 1
+    g = write_text(GRAPH)
+    sep = J.degrees_of_separation(spark, g, 1, 6, include_unreached=True)
+    got = {r.id: r.distance for r in sep["distances"].collect()}
+    assert got[7] == 9999 and got[6] == 3
