@@ -320,7 +320,7 @@ def als_recommend(spark, sf_dir):
 # --- delimited reader round trip ----------------------------------------------
 
 @query
-def delimited_roundtrip(spark, sf_dir):
+def read_delimited_roundtrip(spark, sf_dir):
     """Write ``customer`` as header-less, pipe-separated Latin-1 text into the
     shared scratch folder, read it back with an explicit schema."""
     src = _t(spark, sf_dir, "customer")
@@ -331,7 +331,7 @@ def delimited_roundtrip(spark, sf_dir):
 
 
 @query
-def delimited_roundtrip_tsv(spark, sf_dir):
+def read_delimited_roundtrip_tsv(spark, sf_dir):
     """``part`` as tab-separated text with a header line, read back with the
     header skipped and an explicit schema."""
     src = _t(spark, sf_dir, "part")
@@ -341,7 +341,7 @@ def delimited_roundtrip_tsv(spark, sf_dir):
 
 
 @query
-def delimited_roundtrip_quoted(spark, sf_dir):
+def read_delimited_roundtrip_quoted(spark, sf_dir):
     """Part ids and names as space-separated text: names that contain spaces
     are written quoted and must come back whole."""
     src = _t(spark, sf_dir, "part").select("p_partkey", "p_name")
@@ -351,7 +351,7 @@ def delimited_roundtrip_quoted(spark, sf_dir):
 
 
 @query
-def delimited_roundtrip_inferred(spark, sf_dir):
+def read_delimited_roundtrip_inferred(spark, sf_dir):
     """``part`` as CSV with a header, read back with the header and schema
     inference (one extra pass over the file): keys that fit 32 bits come
     back as int, prices as double."""

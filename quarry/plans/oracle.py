@@ -146,7 +146,7 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id)
                          BETWEEN 1 AND 10 THEN 'test' ELSE 'base' END AS split
         FROM events""",
-    "delimited_roundtrip": "SELECT * FROM customer",
+    "read_delimited_roundtrip": "SELECT * FROM customer",
     "per_user_holdout_second": """
         WITH r AS (SELECT event_id, user_id, ts,
                           row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn
@@ -168,9 +168,9 @@ ORACLE_SQL: dict[str, str] = {
         SELECT CAST(count(*) FILTER (WHERE p.p_partkey IS NULL) AS BIGINT) AS unmatched
         FROM (SELECT DISTINCT l_partkey FROM lineitem) c
         LEFT JOIN part p ON c.l_partkey = p.p_partkey""",
-    "delimited_roundtrip_tsv": "SELECT * FROM part",
-    "delimited_roundtrip_quoted": "SELECT p_partkey, p_name FROM part",
-    "delimited_roundtrip_inferred": """
+    "read_delimited_roundtrip_tsv": "SELECT * FROM part",
+    "read_delimited_roundtrip_quoted": "SELECT p_partkey, p_name FROM part",
+    "read_delimited_roundtrip_inferred": """
         SELECT CAST(p_partkey AS INTEGER) AS p_partkey, p_name, p_brand, p_type, p_size,
                p_retailprice
         FROM part""",
