@@ -104,8 +104,10 @@ def bfs(edge_table: DataFrame, start: int, target: int | None = None,
     ≥ ``hot_min_edges``) it is partitioned by ``(src, salt)`` instead: hub
     edges spread over ``buckets`` salts by destination, other sources keep
     salt 0, and only hub ids of the frontier are repeated per salt.  A round
-    therefore shuffles and sorts only the frontier (or broadcasts it when AQE
-    measures it small) and no hub's edges sit in one task.  Each
+    therefore shuffles and sorts only the frontier and merge-joins it with
+    the edge table (hinted: a partition without frontier rows ends without
+    reading its edges, while a broadcast frontier would scan every edge),
+    and no hub's edges sit in one task.  Each
     round's level is written as a table in the shared checkpoint folder, so
     lineage stays one round long and a lost executor never replays earlier
     rounds.
@@ -138,11 +140,11 @@ def bfs(edge_table: DataFrame, start: int, target: int | None = None,
             if salted:
                 _, frontier = salt_tags(levels[-1].select("id"), "id", hubs, buckets,
                                         F.col("id"))
-                reached = frontier.join(e, (frontier["id"] == e["src"])
-                                        & (frontier["_salt"] == e["_salt"]))
+                reached = frontier.hint("merge").join(
+                    e, (frontier["id"] == e["src"]) & (frontier["_salt"] == e["_salt"]))
             else:
                 frontier = levels[-1].select("id")
-                reached = frontier.join(e, frontier["id"] == e["src"])
+                reached = frontier.hint("merge").join(e, frontier["id"] == e["src"])
             visited = levels[0].select("id")
             for lv in levels[1:]:
                 visited = visited.unionByName(lv.select("id"))
