@@ -157,3 +157,15 @@ def test_hot_keys_detects_heavy_key_within_bound(spark):
     assert hot_keys(df, "u", 0.1, min_rows=1000).count() == 0
     share = 0.002
     assert hot_keys(df, "u", share).count() <= 1 / share
+
+
+def test_salt_tags_spread_hot_key_only(spark):
+    from quarry.operators.skew import hot_keys, salt_tags
+    rows = [(0, i) for i in range(300)] + [(u, i) for u in range(1, 101) for i in range(3)]
+    df = spark.createDataFrame(rows, "u int, i int")
+    left, right = salt_tags(df, "u", hot_keys(df, "u", 0.2), 8, F.col("i"))
+    hot_left = {r._salt for r in left.where("u = 0").select("_salt").distinct().collect()}
+    assert len(hot_left) >= 4 and left.where("u = 0").count() == 300
+    assert right.where("u = 0").count() == 300 * 8
+    assert {r._salt for r in left.where("u <> 0").select("_salt").distinct().collect()} == {0}
+    assert right.where("u <> 0").count() == 300
