@@ -265,8 +265,11 @@ def similar_items_literal(spark, sf_dir):
 
 # --- splits ----------------------------------------------------------------
 
+# The splits of the original scripts (5 contiguous folds; per-user
+# rows 1-10, and rows 11-20 with a test cap of 100,000).
 FOLDS = 5
 HOLDOUT_START, HOLDOUT_STOP = 1, 10
+SECOND_START, SECOND_STOP, SECOND_CAP = 11, 20, 100_000
 
 
 @query
@@ -289,7 +292,7 @@ def per_user_holdout_second(spark, sf_dir):
     test set capped at 100,000 rows in time order."""
     ev = _t(spark, sf_dir, "events").select("event_id", "user_id", "ts")
     return (splits.per_user_holdout(ev, "user_id", ["ts", "event_id"], "event_id",
-                                    11, 20, max_test=100_000)
+                                    SECOND_START, SECOND_STOP, max_test=SECOND_CAP)
             .select("event_id", "user_id", "split"))
 
 

@@ -15,11 +15,16 @@ from pyspark.sql import functions as F
 from quarry.operators import graph, lookup, recommend, relational, similarity, splits, text
 from quarry.sources import read_delimited, read_dimension, read_lines
 
-# The input schemas of the programs.
+# The input schemas of the programs and the constants they use.
 ORDER_SCHEMA = "user_id int, item_id int, amt double"
 TEMPERATURE_SCHEMA = "stationID string, date int, measure_type string, temperature float"
 RATING_SCHEMA = "userID int, movieID int, rating int, timestamp bigint"
 NAME_SCHEMA = "id int, name string"
+AGE_LIMIT, AGE_OFFSET, TEEN_MIN, TEEN_MAX = 23, 10, 13, 19
+MINIMUM_TYPE = "TMIN"
+SIMILAR_MIN_SCORE, SIMILAR_MIN_STRENGTH, SIMILAR_TOP = 0.97, 50.0, 10
+BFS_ROUNDS = 10
+FOLD_COUNT, HOLDOUT_FIRST, HOLDOUT_LAST = 5, 1, 10
 
 
 def _people(spark, path):
@@ -30,9 +35,9 @@ def friends_overview(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """Names, people under 23, head count per age, age + 10."""
     people = _people(spark, path)
     return {"names": people.select("name"),
-            "under_23": relational.filter_below(people, "age", 23),
+            "under_23": relational.filter_below(people, "age", AGE_LIMIT),
             "count_by_age": relational.count_by_key(people, "age"),
-            "age_plus_10": relational.with_offset(people, ["name"], "age", 10)}
+            "age_plus_10": relational.with_offset(people, ["name"], "age", AGE_OFFSET)}
 
 
 def friends_by_age(spark: SparkSession, path: str) -> dict[str, DataFrame]:
@@ -44,7 +49,8 @@ def friends_by_age(spark: SparkSession, path: str) -> dict[str, DataFrame]:
 def teenagers(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """SQL over a view of the people file."""
     return {"teenagers": relational.sql_over_view(
-        _people(spark, path), "people", "SELECT * FROM people WHERE age >= 13 AND age <= 19")}
+        _people(spark, path), "people",
+        f"SELECT * FROM people WHERE age >= {TEEN_MIN} AND age <= {TEEN_MAX}")}
 
 
 def customer_spend(spark: SparkSession, path: str) -> dict[str, DataFrame]:
@@ -59,7 +65,7 @@ def min_temperatures(spark: SparkSession, path: str, convert_first: bool = False
     """W05 (minimum, then °F rounded to 2, by temperature) or W06
     (``convert_first``: °F of every row, minimum, by station)."""
     temps = read_delimited(spark, path, TEMPERATURE_SCHEMA)
-    is_min = F.col("measure_type") == "TMIN"
+    is_min = F.col("measure_type") == MINIMUM_TYPE
     if convert_first:
         out = relational.convert_then_min(temps, "stationID", "temperature", where=is_min)
         return {"min_temperature": out.orderBy("stationID", "temperature")}
@@ -119,7 +125,7 @@ def node_popularity(spark: SparkSession, graph_path: str, names_path: str | None
 
 
 def degrees_of_separation(spark: SparkSession, graph_path: str, start: int, target: int,
-                          max_rounds: int = 10, include_unreached: bool = False
+                          max_rounds: int = BFS_ROUNDS, include_unreached: bool = False
                           ) -> dict[str, DataFrame]:
     """BFS from ``start``; the hit report (hops, distinct parents,
     edge occurrences) and the distances reached until the hit
@@ -132,8 +138,8 @@ def degrees_of_separation(spark: SparkSession, graph_path: str, start: int, targ
 
 
 def movie_similarities(spark: SparkSession, ratings: str, movie_id: int | None = None,
-                       items: str | None = None, min_score: float = 0.97,
-                       min_strength: float = 50.0, k: int = 10,
+                       items: str | None = None, min_score: float = SIMILAR_MIN_SCORE,
+                       min_strength: float = SIMILAR_MIN_STRENGTH, k: int = SIMILAR_TOP,
                        literal_precedence: bool = False) -> dict[str, DataFrame]:
     """The item-pair table, and with ``movie_id`` the ``k`` most
     similar movies passing the thresholds."""
@@ -164,8 +170,9 @@ def movie_recommendations(spark: SparkSession, ratings: str, user_id: int,
     return {"recommendations": recs.orderBy("rank")}
 
 
-def rating_splits(spark: SparkSession, ratings: str, folds: int = 5, holdout_start: int = 1,
-                  holdout_stop: int = 10, max_test: int = 0) -> dict[str, DataFrame]:
+def rating_splits(spark: SparkSession, ratings: str, folds: int = FOLD_COUNT,
+                  holdout_start: int = HOLDOUT_FIRST, holdout_stop: int = HOLDOUT_LAST,
+                  max_test: int = 0) -> dict[str, DataFrame]:
     """Contiguous folds and a per-user hold-out.  The input order is
     taken as (timestamp, user, movie): a DataFrame has no file order."""
     r = _ratings(spark, ratings)
