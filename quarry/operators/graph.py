@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 
 from quarry.functions import adjacency_neighbour_count, adjacency_tokens
 
-# Node colours of the breadth-first search, lightest to darkest.
+# Node colours of the breadth-first search, lightest to darkest,
+# the distance of an unreached node and the default round cap.
 WHITE, GRAY, BLACK = "WHITE", "GRAY", "BLACK"
 UNREACHED = 9999
+MAX_ROUNDS = 10
 
 
 def _first_token(c: str, trim: bool) -> F.Column:
@@ -85,7 +87,7 @@ def _start_frame(spark, start: int) -> DataFrame:
 
 
 def bfs(edge_table: DataFrame, start: int, target: int | None = None,
-        max_rounds: int = 10, hot_share: float = 0.001, hot_min_edges: int = 100_000,
+        max_rounds: int = MAX_ROUNDS, hot_share: float = 0.001, hot_min_edges: int = 100_000,
         buckets: int = 16) -> tuple[DataFrame, dict | None]:
     """Breadth-first search from ``start`` for at most ``max_rounds`` rounds.
 
