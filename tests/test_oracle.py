@@ -42,8 +42,10 @@ def test_every_query_has_an_oracle_or_is_iterative():
 
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
-    got = _rows(E.queries()[name](spark, SF_DIR).toPandas())
-    want = _rows(duck.execute(E.oracle_sql()[name]).df())
+    spdf = E.queries()[name](spark, SF_DIR).toPandas()
+    opdf = duck.execute(E.oracle_sql()[name]).df()
+    assert {c: str(t) for c, t in spdf.dtypes.items()} == {c: str(t) for c, t in opdf.dtypes.items()}
+    got, want = _rows(spdf), _rows(opdf)
     assert got[0] == want[0]
     assert len(got[1]) == len(want[1])
     assert got[1] == want[1]
