@@ -52,20 +52,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for reliable checkpoints and scratch tables.
 
     The cluster names it in ``spark.checkpoint.dir``; we read it from the
-    session and only pick our own folder when it is unset (local tests).
+    session and only pick our own folder when it is unset on a local master
+    (tests).  On a cluster an unset value is an error: a machine-local folder
+    would be lost with its executor.
     """
-    conf = spark.sparkContext.getConf()
-    path = spark.conf.get(_CHECKPOINT_KEY, None) or conf.get(_CHECKPOINT_KEY, None)
+    sc = spark.sparkContext
+    path = (spark.conf.get(_CHECKPOINT_KEY, None) or sc.getConf().get(_CHECKPOINT_KEY, None)
+            or sc.getCheckpointDir())
     if not path:
-        if not spark.sparkContext.master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise RuntimeError(
                 "spark.checkpoint.dir is unset; on a cluster it must name a shared "
                 "folder (HDFS/S3/...), a machine-local folder would be lost with "
                 "its executor")
         path = tempfile.mkdtemp(prefix="quarry-ckpt-")
-        spark.conf.set(_CHECKPOINT_KEY, path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+        try:
+            spark.conf.set(_CHECKPOINT_KEY, path)
+        except Exception:  # some sessions refuse runtime changes of core settings
+            pass
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path
 
 
