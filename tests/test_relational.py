@@ -98,3 +98,33 @@ def test_money_sums_are_exact_decimals(spark):
     assert got[1] == 0.3
     avg = relational.average_by_key(df, "k", "amt", alias="a", exact_scale=2)
     assert {r.k: r.a for r in avg.collect()}[1] == 0.15
+
+
+def test_checkpoint_dir_refuses_local_folder_on_a_cluster():
+    import pytest
+    from quarry.session import checkpoint_dir
+
+    class _Conf:
+        def get(self, key, default=None):
+            return default
+
+    class _Context:
+        master = "yarn"
+
+        def getConf(self):
+            return _Conf()
+
+        def getCheckpointDir(self):
+            return None
+
+    class _Session:
+        conf = _Conf()
+        sparkContext = _Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(_Session())
+
+
+def test_checkpoint_dir_reads_the_session_setting(spark):
+    from quarry.session import checkpoint_dir
+    assert checkpoint_dir(spark) == checkpoint_dir(spark)
