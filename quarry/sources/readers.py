@@ -39,10 +39,22 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+_POS = "_file_pos"
+
+
+def _with_position(df: DataFrame) -> DataFrame:
+    """Tag rows straight after the scan with their place in file order: the
+    file name, then the id Spark numbers rows with inside each split (splits
+    follow the file, so it grows with the line position)."""
+    return df.withColumn(_POS, F.struct(F.input_file_name().alias("f"),
+                                        F.monotonically_increasing_id().alias("p")))
+
+
 def _unique_key(dim: DataFrame, id_col: str, name_col: str) -> DataFrame:
     # A name table must have one row per id or a lookup join would multiply
-    # rows.  Duplicates keep the greatest name so the choice is deterministic.
-    return dim.groupBy(id_col).agg(F.max(name_col).alias(name_col))
+    # rows.  As in the original loaders the last line of an id wins; max_by
+    # is an algebraic aggregate, so a frequent id costs one partial row per task.
+    return dim.groupBy(id_col).agg(F.max_by(name_col, _POS).alias(name_col))
 
 
 def read_dimension(spark: SparkSession, path: str, *, sep: str = "|",
@@ -51,13 +63,14 @@ def read_dimension(spark: SparkSession, path: str, *, sep: str = "|",
     """id → name table from a delimited file whose first two fields are id and name.
 
     Lines with fewer than two fields are skipped, ids are cast once here
-    (``try_cast``: a malformed id becomes null and is dropped).
+    (``try_cast``: a malformed id becomes null and is dropped), and for a
+    repeated id the last line in file order wins.
     """
-    raw = read_delimited(spark, path, f"{id_col} string, {name_col} string",
-                         sep=sep, encoding=encoding)
-    dim = (raw.select(F.expr(f"try_cast(trim({id_col}) AS INT)").alias(id_col), name_col)
+    raw = _with_position(read_delimited(spark, path, f"{id_col} string, {name_col} string",
+                                        sep=sep, encoding=encoding))
+    dim = (raw.select(F.expr(f"try_cast(trim({id_col}) AS INT)").alias(id_col), name_col, _POS)
               .where(F.col(id_col).isNotNull() & F.col(name_col).isNotNull()))
-    return _unique_key(dim, id_col, name_col) if dedupe else dim
+    return _unique_key(dim, id_col, name_col) if dedupe else dim.drop(_POS)
 
 
 def read_quoted_dimension(spark: SparkSession, path: str, *, encoding: str = "ISO-8859-1",
@@ -69,12 +82,13 @@ def read_quoted_dimension(spark: SparkSession, path: str, *, encoding: str = "IS
     the quote-splitting loader; otherwise the space-separated CSV reading
     applies and a bare id yields a null name.
     """
-    lines = spark.read.option("encoding", encoding).text(path)
+    lines = _with_position(spark.read.option("encoding", encoding).text(path))
     parts = F.split(F.col("value"), '"')
     dim = lines.select(
         F.expr(f"try_cast(trim(split(value, '\"')[0]) AS INT)").alias(id_col),
         F.when(F.size(parts) > 1, F.get(parts, 1)).alias(name_col),
+        _POS,
     ).where(F.col(id_col).isNotNull())
     if require_quotes:
         dim = dim.where(F.col(name_col).isNotNull())
-    return _unique_key(dim, id_col, name_col) if dedupe else dim
+    return _unique_key(dim, id_col, name_col) if dedupe else dim.drop(_POS)

@@ -82,3 +82,23 @@ def test_dimension_read_as_utf8_replaces_malformed_bytes(spark, write_text):
     from quarry.sources import read_dimension
     df = read_dimension(spark, write_text(b"1|Caf\xe9|x\n", "dim8.txt"), sep="|", encoding="UTF-8")
     assert [tuple(r) for r in df.collect()] == [(1, "Caf�")]
+
+
+def test_dimension_last_line_wins_across_splits(spark, write_text):
+    """A repeated id keeps its last line in file order (not the greatest
+    name), also when the file is read as many splits."""
+    from quarry.sources import read_dimension, read_quoted_dimension
+    filler = [f"{i}|name {i}|x" for i in range(100, 20100)]
+    raw = ("3|Zed|x\n" + "\n".join(filler) + "\n3|Alpha|y\n").encode("latin-1")
+    path = write_text(raw, "big_dim.txt")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        df = read_dimension(spark, path, sep="|")
+        assert spark.read.text(path).rdd.getNumPartitions() > 1
+        got = {r.id: r.name for r in df.where("id = 3 or id = 100").collect()}
+        assert got == {3: "Alpha", 100: "name 100"}
+        q = read_quoted_dimension(spark, write_text(['3 "Zed"', '4 "Four"', '3 "Alpha"']))
+        assert {r.id: r.name for r in q.collect()} == {3: "Alpha", 4: "Four"}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
