@@ -13,13 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators import graph, lookup, recommend, relational, similarity, splits, text
-from quarry.sources import read_delimited, read_dimension, read_lines
+from quarry.sources import read_delimited, read_dimension, read_lines, read_quoted_dimension
 
 # The input schemas of the programs and the constants they use.
 ORDER_SCHEMA = "user_id int, item_id int, amt double"
 TEMPERATURE_SCHEMA = "stationID string, date int, measure_type string, temperature float"
 RATING_SCHEMA = "userID int, movieID int, rating int, timestamp bigint"
-NAME_SCHEMA = "id int, name string"
 AGE_LIMIT, AGE_OFFSET, TEEN_MIN, TEEN_MAX = 23, 10, 13, 19
 MINIMUM_TYPE = "TMIN"
 SIMILAR_MIN_SCORE, SIMILAR_MIN_STRENGTH, SIMILAR_TOP = 0.97, 50.0, 10
@@ -108,19 +107,21 @@ def popular_movies(spark: SparkSession, ratings: str, items: str | None = None,
     return out
 
 
-def _names(spark, path):
-    return read_delimited(spark, path, NAME_SCHEMA, sep=" ", encoding="ISO-8859-1")
-
-
 def node_popularity(spark: SparkSession, graph_path: str, names_path: str | None = None,
                     trim: bool = True) -> dict[str, DataFrame]:
-    """The most connected node and every least connected node."""
+    """The most connected node and every least connected node.
+
+    Names as the two programs read them: space-separated CSV (quoted names,
+    a bare id has no name) for the most connected node, the quote-splitting
+    loader (lines without a quoted name skipped) for the least connected
+    ones; in both a repeated id keeps its last line."""
     deg = graph.degree(read_lines(spark, graph_path), trim=trim)
     most, least = graph.most_connected(deg), graph.least_connected(deg)
     if names_path is not None:
-        names = _names(spark, names_path)
-        most = lookup.attach_name(most, names, "id", "id", "name", small_side_rows=1)
-        least = lookup.attach_name(least, names, "id", "id", "name")
+        csv_names = read_dimension(spark, names_path, sep=" ", encoding="ISO-8859-1")
+        quoted_names = read_quoted_dimension(spark, names_path)
+        most = lookup.attach_name(most, csv_names, "id", "id", "name", small_side_rows=1)
+        least = lookup.attach_name(least, quoted_names, "id", "id", "name")
     return {"degree": deg, "most_connected": most, "least_connected": least.orderBy("id")}
 
 

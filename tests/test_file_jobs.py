@@ -89,3 +89,12 @@ def test_job_options_strict_and_unreached(spark, write_text):
     sep = J.degrees_of_separation(spark, g, 1, 6, include_unreached=True)
     got = {r.id: r.distance for r in sep["distances"].collect()}
     assert got[7] == 9999 and got[6] == 3
+
+
+def test_node_names_as_each_program_read_them(spark, write_text):
+    g = write_text(["1 2 3", "2 1", "3 1", "9 1 2 3 4", "9 5"])
+    names = write_text(['9 NINE', '1 "ONE"', '2 "TWO"', '2 "TWO AGAIN"', '3'])
+    pop = J.node_popularity(spark, g, names)
+    assert tuple(pop["most_connected"].first()) == (9, 5, "NINE")
+    assert [tuple(r) for r in pop["least_connected"].collect()] == [(2, 1, "TWO AGAIN"),
+                                                                    (3, 1, None)]
