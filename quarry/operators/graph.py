@@ -153,10 +153,17 @@ def bfs(edge_table: DataFrame, start: int, target: int | None = None,
             # New nodes carry their own hit counts; a target that is already
             # visited can only be the start (any other target would have hit
             # in the round that reached it), which is looked up separately.
+            # The visited check stays above the per-destination aggregate: as a
+            # left join + IS NULL it is not pushed into the edge scan (an anti
+            # join would be, and at scale would reshuffle every edge by
+            # destination each round); the aggregate's output is already
+            # partitioned by node id, so only the visited ids move.
+            cand = (reached.groupBy(F.col("dst").alias("id"))
+                    .agg(F.count(F.lit(1)).alias("parents"), F.sum("n").alias("edge_hits")))
+            seen = visited.select(F.col("id").alias("_seen"))
             new = write_table(
-                reached.groupBy(F.col("dst").alias("id"))
-                .agg(F.count(F.lit(1)).alias("parents"), F.sum("n").alias("edge_hits"))
-                .join(visited, "id", "left_anti")
+                cand.join(seen, cand["id"] == seen["_seen"], "left")
+                .where(F.col("_seen").isNull()).drop("_seen")
                 .withColumn("distance", F.lit(r)), "bfs-level")
             # one small job over the new level: its size and the target's row
             probe = new.agg(
