@@ -18,16 +18,22 @@ from pyspark.sql import functions as F
 
 def attach_name(df: DataFrame, dim: DataFrame, key: str, dim_key: str,
                 name_col: str, small_side_rows: int | None = None) -> DataFrame:
-    """Left join ``dim[name_col]`` onto ``df`` by ``key = dim_key``.
+    """Left join ``dim[name_col]`` onto ``df`` by ``key = dim_key``; a missing
+    id yields a null name.
 
     ``small_side_rows`` states a proven upper bound on the rows of ``df``
-    (e.g. after ``limit(k)``); only then is ``df`` broadcast and the dimension
-    streamed.  A missing id yields a null name.
+    (e.g. after ``limit(k)``).  A left join cannot broadcast its preserved
+    side, so then the ≤ k keys are broadcast into an inner join that streams
+    the dimension once without shuffling it, and the ≤ k rows are left-joined
+    with their ≤ k names (both sides bounded).
     """
     right = dim.select(F.col(dim_key).alias("_dim_key"), F.col(name_col))
-    left = F.broadcast(df) if small_side_rows is not None else df
-    joined = left.join(right, left[key] == right["_dim_key"], "left")
-    return joined.drop("_dim_key")
+    if small_side_rows is None:
+        return df.join(right, df[key] == right["_dim_key"], "left").drop("_dim_key")
+    keys = df.select(F.col(key).alias("_want")).distinct()
+    names = (right.join(F.broadcast(keys), right["_dim_key"] == keys["_want"])
+                  .select("_dim_key", name_col))
+    return df.join(F.broadcast(names), df[key] == names["_dim_key"], "left").drop("_dim_key")
 
 
 def count_unmatched(df: DataFrame, name_col: str) -> DataFrame:
