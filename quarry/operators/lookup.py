@@ -25,7 +25,8 @@ def attach_name(df: DataFrame, dim: DataFrame, key: str, dim_key: str,
     (e.g. after ``limit(k)``).  A left join cannot broadcast its preserved
     side, so then the ≤ k keys are broadcast into an inner join that streams
     the dimension once without shuffling it, and the ≤ k rows are left-joined
-    with their ≤ k names (both sides bounded).
+    with their ≤ k names (both sides bounded).  ``df`` is read twice then, so
+    it must be deterministic (top-k results here always break ties by id).
     """
     right = dim.select(F.col(dim_key).alias("_dim_key"), F.col(name_col))
     if small_side_rows is None:
