@@ -6,6 +6,7 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from quarry.plans import ORACLE_SQL, QUERIES
 from quarry.sources import TABLES
 
 SF_DIR = os.environ.get("QUARRY_TEST_SF", "/root/testdata/sf0.001")
@@ -36,11 +37,11 @@ def duck():
 
 
 def test_every_query_has_an_oracle_or_is_iterative():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(QUERIES) - set(ORACLE_SQL)
     assert missing == {"als_recommend"}
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_oracle(spark, duck, name):
     spdf = E.queries()[name](spark, SF_DIR).toPandas()
     opdf = duck.execute(E.oracle_sql()[name]).df()
@@ -60,7 +61,7 @@ def test_entry_smoke(spark):
 def test_no_nested_loop_cartesian_or_python_udf(spark):
     """Every registered plan stays equi-join and JVM-side; the only allowed
     cartesian is MLlib's blocked top-n scoring inside ALS recommendations."""
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         plan = fn(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in plan, name
         assert "PythonUDF" not in plan and "EvalPython" not in plan, name
