@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, extraction, mixing, packing, quality
+from quarry.llm import (chat, extraction, linededup, mixing, packing, quality,
+                        substring)
 from quarry.llm.common import scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,6 +64,70 @@ def op2_quality_rules(spark, sf_dir):
         "base_failed", "kept", "posterior", "votes")
 
 
+@query
+def op3_substring_dedup(spark, sf_dir):
+    """Words that 50-word windows of earlier documents repeat, removed from whole texts."""
+    return substring.repeated_spans(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+ORACLE_SQL["op3_substring_dedup"] = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+windows AS (
+  SELECT doc_id, start, sha256(array_to_string(list_slice(words, start, start + 49), ' ')) AS seq
+  FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - 49)) AS start FROM docs)),
+firsts AS (
+  SELECT seq, min(doc_id) AS low FROM windows GROUP BY seq HAVING min(doc_id) < max(doc_id)),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(generate_series(start, start + 49)) AS place
+  FROM windows JOIN firsts USING (seq) WHERE doc_id > low),
+placed AS (
+  SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM docs),
+kept AS (
+  SELECT doc_id, count(*) AS n_words, count(g.place) AS n_removed,
+    string_agg(word, ' ' ORDER BY place) FILTER (WHERE g.place IS NULL) AS rest
+  FROM placed LEFT JOIN gone g USING (doc_id, place) GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n_words, 0) AS BIGINT) AS n_words,
+  CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(rest, '')) AS kept_sha256
+FROM docs d LEFT JOIN kept USING (doc_id)"""
+
+
+@query
+def op6_line_dedup(spark, sf_dir):
+    """Later repeats of runs of three lines, removed from whole texts."""
+    return linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+ORACLE_SQL["op6_line_dedup"] = r"""
+WITH parts AS (
+  SELECT doc_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS place
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)),
+lines AS (
+  SELECT doc_id, part, place, row_number() OVER (PARTITION BY doc_id ORDER BY place) AS line
+  FROM parts WHERE regexp_matches(part, '[^\x20\x09-\x0D]')),
+runs AS (
+  SELECT doc_id, line, part || chr(10) || lead(part) OVER w || chr(10) || lead(part, 2) OVER w AS run
+  FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY place)),
+ranked AS (
+  SELECT doc_id, line, row_number() OVER (PARTITION BY run ORDER BY doc_id, line) AS n
+  FROM runs WHERE run IS NOT NULL),
+gone AS (
+  SELECT DISTINCT doc_id, line + d.x AS line
+  FROM ranked, (SELECT unnest([0, 1, 2]) AS x) d WHERE n > 1),
+flags AS (
+  SELECT p.doc_id, p.part, p.place, l.line IS NOT NULL AS is_line, g.line IS NOT NULL AS is_gone
+  FROM parts p LEFT JOIN lines l USING (doc_id, place) LEFT JOIN gone g
+    ON g.doc_id = p.doc_id AND g.line = l.line)
+SELECT doc_id, CAST(count(*) FILTER (WHERE is_line) AS BIGINT) AS n_lines,
+  CAST(count(*) FILTER (WHERE is_gone) AS BIGINT) AS n_removed,
+  sha256(coalesce(string_agg(part, chr(10) ORDER BY place) FILTER (WHERE NOT is_gone), ''))
+    AS kept_sha256
+FROM flags GROUP BY doc_id"""
+
+
 @query
 def op4_html_extraction(spark, sf_dir):
     return extraction.extract(table(spark, sf_dir, "pages"))
