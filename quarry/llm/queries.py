@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import (chat, extraction, linededup, mixing, packing, quality,
-                        substring)
+from quarry.llm import (chat, extraction, lattice, linededup, mixing, neardup, packing,
+                        quality, substring)
 from quarry.llm.common import scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,11 +133,23 @@ def op4_html_extraction(spark, sf_dir):
     return extraction.extract(table(spark, sf_dir, "pages"))
 
 
+@query
+def op7_lattice_near_dedup(spark, sf_dir):
+    return lattice.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op8_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_ngram_jaccard_join(spark, sf_dir):
+    """Class, links and verdict of every document (five-word shingles, similarity 0.8)."""
+    return neardup.jaccard_classes(table(spark, sf_dir, "documents")).select(
+        "doc_id", "class_id", "n_links", "kept")
+
+
 @query
 def op10_source_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).select(
