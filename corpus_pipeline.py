@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import mixing, packing, quality
+from quarry.llm import linededup, mixing, neardup, packing, quality
 from quarry.llm.common import scratch, table
 
 
@@ -13,6 +13,16 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality.filter_quality(docs)
 
 
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the runs of lines that earlier ones hold; one left empty goes."""
+    return linededup.dedup_documents(docs)
+
+
+def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each class of near duplicates."""
+    return neardup.one_per_class(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the source mix takes them."""
     return mixing.mixed_documents(docs)
@@ -25,6 +35,8 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 STAGES = [
     ("quality_rules", keep_quality),
+    ("line_dedup", drop_repeated_lines),
+    ("ngram_jaccard_join", keep_one_of_near_duplicates),
     ("source_mixing", mix_sources),
     ("best_fit_packing", pack_sequences),
 ]

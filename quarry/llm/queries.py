@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import (chat, extraction, lattice, linededup, mixing, neardup, packing,
-                        quality, substring)
+                        quality, substring, toxicity)
 from quarry.llm.common import scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,6 +94,16 @@ SELECT d.doc_id, CAST(coalesce(n_words, 0) AS BIGINT) AS n_words,
 FROM docs d LEFT JOIN kept USING (doc_id)"""
 
 
+@query
+def op5_toxicity(spark, sf_dir):
+    """Every text's score; labels are learned only where crc32(doc_id) mod 5 is not 0."""
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+                          learnable=fold != 0).select(
+        "doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).cast("int").alias("predicted"))
+
+
 @query
 def op6_line_dedup(spark, sf_dir):
     """Later repeats of runs of three lines, removed from whole texts."""
