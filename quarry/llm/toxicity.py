@@ -32,8 +32,8 @@ from quarry.llm.common import columns_of, map_batches, text_bytes
 from quarry.llm.hashing import _lut, as_bytes, span_hashes, spans
 
 WIDTH, STEP = 24, 12
-SAMPLE_ROWS = 1000
-SAMPLE_WINDOWS = 40
+SAMPLE_ROWS = 700
+SAMPLE_WINDOWS = 30
 HIDDEN, WORD_DIM, CHAR_DIM, ATTEND = 8, 8, 8, 8
 WORDS = 4000
 GRAM_ROWS = 1 << 14
@@ -239,13 +239,11 @@ class Network:
         return out
 
 
-def _telling(texts: np.ndarray, items: np.ndarray, n: int, toxic: np.ndarray) -> np.ndarray:
-    """Chi-square of each item's presence in a text against the text's label (0 for items of
-    fewer than ``LEAST_TEXTS`` texts)."""
-    a = np.bincount(items, toxic[texts], n)
-    both = np.bincount(items, minlength=n).astype(float)
-    total, ones = len(toxic), toxic.sum()
-    off = a * total - both * ones
+def _telling(both: np.ndarray, toxic: np.ndarray, toxic_text: np.ndarray) -> np.ndarray:
+    """Chi-square of each item's presence in a text against the text's label, from the texts
+    and the toxic texts that hold it (0 for items of fewer than ``LEAST_TEXTS`` texts)."""
+    total, ones = float(len(toxic_text)), float(toxic_text.sum())
+    off = toxic * total - both * ones
     spread = both * (total - both) * ones * (total - ones)
     chi = np.where(spread > 0, off * off * total / np.maximum(spread, 1), 0.0)
     return np.where(both >= LEAST_TEXTS, chi, 0.0)
@@ -270,13 +268,19 @@ def train(samples: list[tuple[int, int, bytes]], seed: int = SEED, epochs: int =
     toxic_text[text[label > 0]] = True
     owner = np.repeat(text, counts)
     pairs = np.unique(owner * np.int64(len(hashes)) + index)
-    tells = _telling(pairs // len(hashes), pairs % len(hashes), len(hashes), toxic_text)
+    word = pairs % len(hashes)
+    tells = _telling(np.bincount(word, minlength=len(hashes)).astype(float),
+                     np.bincount(word, toxic_text[pairs // len(hashes)], len(hashes)), toxic_text)
     chosen = np.sort(np.argsort(-tells, kind="stable")[:WORDS])
     chosen = chosen[tells[chosen] >= TELLING]
-    gram_pairs = np.unique((pairs // len(hashes))[:, None] * np.int64(GRAM_ROWS)
-                           + grams[pairs % len(hashes)])
-    known = _telling(gram_pairs // GRAM_ROWS, gram_pairs % GRAM_ROWS, GRAM_ROWS,
-                     toxic_text) >= TELLING
+    holders, toxic_holders = np.zeros(GRAM_ROWS), np.zeros(GRAM_ROWS)
+    edges = np.searchsorted(pairs // len(hashes), np.arange(0, text.max() + 101, 100))
+    for lo, hi in zip(edges[:-1], edges[1:]):  # a hundred texts at a time
+        of, word = pairs[lo:hi] // len(hashes), pairs[lo:hi] % len(hashes)
+        both = np.unique((of[:, None] * np.int64(GRAM_ROWS) + grams[word]).ravel())
+        holders += np.bincount(both % GRAM_ROWS, minlength=GRAM_ROWS)
+        toxic_holders += np.bincount(both % GRAM_ROWS, toxic_text[both // GRAM_ROWS], GRAM_ROWS)
+    known = _telling(holders, toxic_holders, toxic_text) >= TELLING
     known[0] = False
     net = Network(hashes[chosen], known, seed)
     rows, grams = net.rows(hashes), net.learned(grams)
@@ -293,8 +297,8 @@ def train(samples: list[tuple[int, int, bytes]], seed: int = SEED, epochs: int =
         active = np.ones(len(label), dtype=bool)
         if epoch >= 2:  # keep the strongest windows of toxic texts
             x = net.inputs(rows, grams)
-            logit = np.concatenate([net.forward(x, windows[i:i + 8192])
-                                    for i in range(0, len(windows), 8192)])
+            logit = np.concatenate([net.forward(x, windows[i:i + 2048])
+                                    for i in range(0, len(windows), 2048)])
             top = np.full(text.max() + 1, -np.inf)
             np.maximum.at(top, text, logit)
             active = (label == 0) | (logit >= np.minimum(top[text] - 0.5, 2.0))
@@ -374,7 +378,8 @@ def _sample_windows(docs: DataFrame, most: int) -> list[tuple[int, int, bytes]]:
             [pa.array(row, pa.int64()), pa.array(label, pa.int32()), pa.array(words, pa.binary())],
             names=["row", "label", "words"])
     out = map_batches(docs, run, "row long, label int, words binary")
-    return [(r["row"], r["label"], bytes(r["words"])) for r in out.collect()]
+    got = out.toArrow()
+    return list(zip(*(got.column(c).to_pylist() for c in ("row", "label", "words"))))
 
 
 def _scored(docs: DataFrame, net: Network, curve: np.ndarray | None, names: list[str]) -> DataFrame:
