@@ -45,13 +45,17 @@ def line_tokens_jvm(line: Column | str) -> Column:
 
     Java keeps a leading empty token, removes trailing empty tokens, turns an
     empty line into one empty token and an all-separator line into nothing.
-    Spark's ``split`` keeps trailing empties, so: lines made only of
-    separators give null (exploded to nothing), trailing separators are cut,
-    then the line is split.
+    Spark's ``split`` keeps the one trailing empty token that a run of
+    separators leaves, so it is cut off; a line made only of separators (two
+    empty tokens) gives null (exploded to nothing).  One linear split per line.
     """
     c = F.col(line) if isinstance(line, str) else line
-    return F.when(~c.rlike(r"^\W+$"),
-                  F.split(F.regexp_replace(c, r"\W+$", ""), NON_WORD))
+    toks = F.split(c, NON_WORD)
+    n = F.size(toks)
+    ends_empty = (n > 1) & (F.element_at(toks, -1) == "")
+    only_separators = ends_empty & (n == 2) & (F.element_at(toks, 1) == "")
+    return F.when(only_separators, F.lit(None)).when(
+        ends_empty, F.slice(toks, F.lit(1), n - 1)).otherwise(toks)
 
 
 def adjacency_tokens(line: Column | str, trim: bool = True) -> Column:

@@ -17,7 +17,6 @@ from quarry.functions import adjacency_neighbour_count, adjacency_tokens
 # the distance of an unreached node and the default round cap.
 WHITE, GRAY, BLACK = "WHITE", "GRAY", "BLACK"
 UNREACHED = 9999
-MAX_ROUNDS = 10
 
 
 def _first_token(c: str, trim: bool) -> F.Column:
@@ -87,9 +86,10 @@ def _start_frame(spark, start: int) -> DataFrame:
 
 
 def bfs(edge_table: DataFrame, start: int, target: int | None = None,
-        max_rounds: int = MAX_ROUNDS, hot_share: float = 0.001, hot_min_edges: int = 100_000,
-        buckets: int = 16) -> tuple[DataFrame, dict | None]:
-    """Breadth-first search from ``start`` for at most ``max_rounds`` rounds.
+        max_rounds: int | None = None, block_edges: int = 1_000_000
+        ) -> tuple[DataFrame, dict | None]:
+    """Breadth-first search from ``start`` until no new node is reached, or for
+    at most ``max_rounds`` rounds where the caller sets them.
 
     Returns ``(levels, hit)``.  ``levels`` has ``id, distance, color`` for
     every reached node (nodes seen only as neighbours included).  When a
@@ -99,99 +99,66 @@ def bfs(edge_table: DataFrame, start: int, target: int | None = None,
     occurrences (parallel edges counted).  Reaching ``start`` itself counts
     only through such an edge, never as zero hops.
 
-    Each round: frontier ⋈ edges on ``src`` → per-``dst`` counts (combined
-    map-side) → anti join with the visited levels.  The edge table is
-    partitioned once by ``src`` and persisted (its lineage is short and
-    fixed).  When hub sources exist (≥ ``hot_share`` of the edges and
-    ≥ ``hot_min_edges``) it is partitioned by ``(src, salt)`` instead: hub
-    edges spread over ``buckets`` salts by destination, other sources keep
-    salt 0, and only hub ids of the frontier are repeated per salt.  A round
-    therefore shuffles and sorts only the frontier and merge-joins it with
-    the edge table (hinted: a partition without frontier rows ends without
-    reading its edges, while a broadcast frontier would scan every edge),
-    and no hub's edges sit in one task.  Each
-    round's level is written as a table in the shared checkpoint folder, so
-    lineage stays one round long and a lost executor never replays earlier
-    rounds.
+    The edges of a source are cut into blocks of about ``block_edges`` by
+    destination; the edge table is partitioned once by ``(src, block)``, sorted
+    and checkpointed into the shared folder (which keeps the partitioning).
+    Each round: frontier (a hub repeated once per block) ⋈ edges, merge-joined,
+    so only the frontier moves and partitions without frontier rows end without
+    reading their edges → per-``dst`` counts (combined map-side) → check
+    against the visited nodes.  Each round's level is written as a table in the
+    shared folder, so lineage stays one round long and a lost executor never
+    replays earlier rounds.
     """
-    from pyspark import StorageLevel
-    from quarry.operators.lineage import write_table
-    from quarry.operators.skew import hot_keys, salt_tags
+    from quarry.operators.lineage import cut, write_table
+    from quarry.operators.skew import block_counts, block_of
 
     spark = edge_table.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # the parsed edges are computed once; their lineage is short and fixed,
-    # so a lost cached partition is recomputed from the text
-    e0 = edge_table.select("src", "dst", "n").persist(StorageLevel.MEMORY_AND_DISK)
-    hubs = hot_keys(e0, "src", hot_share, hot_min_edges).withColumnRenamed("src", "id") \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    salted = not hubs.isEmpty()
-    if salted:
-        tagged, _ = salt_tags(e0, "src", hubs.withColumnRenamed("id", "src"), buckets,
-                              F.col("dst"))
-        e = tagged.repartition(parts, "src", "_salt").sortWithinPartitions("src", "_salt")
-    else:
-        e = e0.repartition(parts, "src").sortWithinPartitions("src")
-    e = e.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        levels = [_start_frame(spark, start)]
-        hit = None
-        rounds = 0
-        for r in range(1, max_rounds + 1):
-            rounds = r
-            if salted:
-                _, frontier = salt_tags(levels[-1].select("id"), "id", hubs, buckets,
-                                        F.col("id"))
-                reached = frontier.hint("merge").join(
-                    e, (frontier["id"] == e["src"]) & (frontier["_salt"] == e["_salt"]))
-            else:
-                frontier = levels[-1].select("id")
-                reached = frontier.hint("merge").join(e, frontier["id"] == e["src"])
-            visited = levels[0].select("id")
-            for lv in levels[1:]:
-                visited = visited.unionByName(lv.select("id"))
-            # New nodes carry their own hit counts; a target that is already
-            # visited can only be the start (any other target would have hit
-            # in the round that reached it), which is looked up separately.
-            # The visited check stays above the per-destination aggregate: as a
-            # left join + IS NULL it is not pushed into the edge scan (an anti
-            # join would be, and at scale would reshuffle every edge by
-            # destination each round); the aggregate's output is already
-            # partitioned by node id, so only the visited ids move.
-            cand = (reached.groupBy(F.col("dst").alias("id"))
-                    .agg(F.count(F.lit(1)).alias("parents"), F.sum("n").alias("edge_hits")))
-            seen = visited.select(F.col("id").alias("_seen"))
-            new = write_table(
-                cand.join(seen, cand["id"] == seen["_seen"], "left")
-                .where(F.col("_seen").isNull()).drop("_seen")
-                .withColumn("distance", F.lit(r)), "bfs-level")
-            # one small job over the new level: its size and the target's row
-            probe = new.agg(
-                F.count(F.lit(1)).alias("size"),
-                F.max(F.when(F.col("id") == F.lit(target), F.col("parents"))).alias("parents"),
-                F.max(F.when(F.col("id") == F.lit(target), F.col("edge_hits"))).alias("hits"),
-            ).first()
-            if target is not None:
-                if target == start:
-                    row = reached.where(F.col("dst") == F.lit(target)).agg(
-                        F.count(F.lit(1)).alias("parents"),
-                        F.sum("n").alias("hits")).first()
-                else:
-                    row = probe
-                if row["parents"]:
-                    hit = {"hops": r, "parents": row["parents"], "edge_hits": row["hits"]}
-            if r == 1:
-                # the partitioned copy is materialised now; drop the raw one
-                e0.unpersist()
-            if probe["size"] == 0:
-                break
-            levels.append(new)
-            if hit is not None:
-                break
-    finally:
-        e.unpersist()
-        hubs.unpersist()
-        e0.unpersist()
+    raw = write_table(edge_table.select("src", "dst", "n"), "bfs-edges")
+    hubs = write_table(block_counts(raw, "src", block_edges), "bfs-hubs")
+    block = block_of(F.col("dst"), F.coalesce(F.col("_blocks"), F.lit(1)))
+    e = cut(raw.join(hubs, "src", "left").select("src", "dst", "n", block.alias("_block"))
+               .repartition(parts, "src", "_block").sortWithinPartitions("src", "_block"))
+    hubs = hubs.select(F.col("src").alias("_hub"), "_blocks")
+    levels = [_start_frame(spark, start)]
+    hit = None
+    rounds = 0
+    while max_rounds is None or rounds < max_rounds:
+        rounds += 1
+        last = F.coalesce(F.col("_blocks"), F.lit(1)) - 1
+        frontier = (levels[-1].select("id").join(hubs, F.col("id") == F.col("_hub"), "left")
+                    .select("id", F.explode(F.sequence(F.lit(0), last)).alias("_at")))
+        reached = frontier.hint("merge").join(
+            e, (frontier["id"] == e["src"]) & (frontier["_at"] == e["_block"]))
+        visited = levels[0].select("id")
+        for lv in levels[1:]:
+            visited = visited.unionByName(lv.select("id"))
+        # The visited check stays above the per-destination aggregate: as a
+        # left join + IS NULL it is not pushed into the edge scan (an anti
+        # join would be, and at scale would reshuffle every edge by
+        # destination each round); the aggregate's output is already
+        # partitioned by node id, so only the visited ids move.  The target's
+        # row is kept even if visited: it can then only be the start.
+        # A source's blocks are split by destination, so a parent counts once.
+        cand = (reached.groupBy(F.col("dst").alias("id"))
+                .agg(F.count(F.lit(1)).alias("parents"), F.sum("n").alias("edge_hits")))
+        seen = visited.select(F.col("id").alias("_seen"))
+        is_target = F.lit(False) if target is None else F.col("id") == F.lit(target)
+        found = write_table(
+            cand.join(seen, cand["id"] == seen["_seen"], "left")
+            .where(F.col("_seen").isNull() | is_target)
+            .withColumn("distance", F.lit(rounds)), "bfs-level")
+        # one small job over the new level: its size and the target's row
+        row = found.agg(F.count_if(F.col("_seen").isNull()).alias("size"),
+                        F.max(F.when(is_target, F.col("parents"))).alias("parents"),
+                        F.max(F.when(is_target, F.col("edge_hits"))).alias("hits")).first()
+        if row["parents"]:
+            hit = {"hops": rounds, "parents": row["parents"], "edge_hits": row["hits"]}
+        if row["size"] == 0:
+            break
+        levels.append(found.where(F.col("_seen").isNull()).drop("_seen"))
+        if hit is not None:
+            break
     out = levels[0]
     for lv in levels[1:]:
         out = out.unionByName(lv.select("id", "distance"))

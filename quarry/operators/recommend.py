@@ -55,23 +55,10 @@ def dense_index(ratings: DataFrame, col: str, alias: str) -> DataFrame:
 
 def recommend_any_ids(ratings: DataFrame, users: DataFrame, user: str, item: str,
                       rating: str, n: int = TOP_N, seed: int = 42) -> DataFrame:
-    """Train ALS and recommend for ``users`` whatever the id type: ids that
-    all fit a non-negative 32-bit int are cast; otherwise they are densely
-    re-indexed for MLlib and mapped back.  One small aggregate over the
-    ratings decides.  Returns ``user, rank, item, rating`` with the original
-    ids."""
-    lo_u, hi_u, lo_i, hi_i = ratings.agg(F.min(user), F.max(user), F.min(item),
-                                         F.max(item)).first()
-    if all(v is not None and 0 <= v < 2**31 for v in (lo_u, hi_u, lo_i, hi_i)):
-        cast = ratings.select(F.col(user).cast("int").alias(user),
-                              F.col(item).cast("int").alias(item),
-                              F.col(rating).cast("float").alias(rating))
-        model = fit_als(cast, user, item, rating, seed=seed)
-        wanted = users.where(F.col(user).between(0, 2**31 - 1)) \
-            .select(F.col(user).cast("int").alias(user))
-        recs = recommend(model, wanted, n)
-        return recs.select(F.col(user).cast(ratings.schema[user].dataType).alias(user), "rank",
-                           F.col(item).cast(ratings.schema[item].dataType).alias(item), "rating")
+    """Train ALS and recommend for ``users`` whatever the id type: ids are
+    densely re-indexed for MLlib and mapped back, always, so the same ratings
+    train the same model whatever the keys' range.  Returns ``user, rank, item,
+    rating`` with the original ids."""
     uidx = dense_index(ratings, user, "_u")
     iidx = dense_index(ratings, item, "_i")
     indexed = (ratings.join(uidx, user).join(iidx, item)

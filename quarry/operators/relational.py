@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 from quarry.functions import tenths_celsius_to_fahrenheit
 
 
+#: Decimal places kept while amounts are summed.
+GUARD_DIGITS = 10
+
+
 def with_offset(df: DataFrame, keep: Sequence[str], col: str, offset: int,
                 alias: str | None = None) -> DataFrame:
     """Project ``keep`` plus ``col + offset``.
@@ -45,15 +49,15 @@ def average_by_key(df: DataFrame, key: str, value: str, alias: str | None = None
                    exact_scale: int | None = None) -> DataFrame:
     """Mean of ``value`` per ``key``; without alias the column is ``avg(value)``.
 
-    ``exact_scale`` sums as ``decimal(18, scale)`` (exact for money with that
-    many decimals), converts the exact sum to double once and divides by the
+    ``exact_scale`` sums as decimals with that many places, ``GUARD_DIGITS`` at
+    least (exact for money), converts the exact sum to double once and divides by the
     count, so the mean is the correctly rounded quotient whatever the order
     of the partial sums.
     """
     if exact_scale is None:
         mean = F.avg(value)
     else:
-        total = F.sum(F.col(value).cast(f"decimal(18,{exact_scale})")).cast("double")
+        total = F.sum(F.col(value).cast(f"decimal(30,{max(exact_scale, GUARD_DIGITS)})")).cast("double")
         mean = total / F.count(value)
     return df.groupBy(key).agg(mean.alias(alias or f"avg({value})"))
 
@@ -62,10 +66,11 @@ def rounded_total_by_key(df: DataFrame, key: str, value: str, alias: str = "tota
                          scale: int = 2) -> DataFrame:
     """``round(sum(value), scale)`` per key.
 
-    The sum runs over ``decimal(18, scale)`` so it is exact for values with at
-    most ``scale`` decimals and no binary half-way case reaches the rounding.
+    Only the sum is rounded.  It runs over decimals with ``GUARD_DIGITS`` places,
+    so it is exact for values with as many decimals and no binary half-way case
+    reaches the rounding; amounts beyond 1e20 fail loudly (ANSI cast).
     """
-    total = F.sum(F.col(value).cast(f"decimal(18,{scale})"))
+    total = F.sum(F.col(value).cast(f"decimal(30,{GUARD_DIGITS})"))
     return df.groupBy(key).agg(F.round(total, scale).cast("double").alias(alias))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import cosine_score
-from quarry.operators.skew import hot_keys, salt_tags
+from quarry.operators.skew import block_tags
 
 
 def _norm(ratings: DataFrame, user: str, item: str, rating: str) -> DataFrame:
@@ -21,24 +21,21 @@ def _norm(ratings: DataFrame, user: str, item: str, rating: str) -> DataFrame:
 
 
 def item_pairs(ratings: DataFrame, user: str = "user", item: str = "item",
-               rating: str = "rating", hot_share: float = 0.001,
-               hot_min_rows: int = 2000, buckets: int = 16) -> DataFrame:
+               rating: str = "rating", block_rows: int = 2000) -> DataFrame:
     """All pairs ``item1 < item2`` with a common rater: ``item1, item2, score,
     strength``.
 
     One equi self-join on the user with ``a.i < b.i`` inside the join
     condition (half the pairs, no self-pairs), then one aggregation with four
-    algebraic sums, combined map-side.  Users holding at least ``hot_share``
-    of the ratings (and at least ``hot_min_rows``, i.e. millions of pairs)
-    are salted over ``buckets`` tasks (see ``salt_tags``) so a heavy rater
-    never lands in a single task.
+    algebraic sums, combined map-side.  A user's ratings are cut into blocks of
+    about ``block_rows`` and joined block against block (see ``block_tags``), so
+    the pairs of one join key are bounded however many ratings a user has.
     """
     r = _norm(ratings, user, item, rating)
-    left, right = salt_tags(r, "u", hot_keys(r, "u", hot_share, hot_min_rows), buckets,
-                            F.col("i"))
+    left, right = block_tags(r, "u", "i", block_rows)
     a, b = left.alias("a"), right.alias("b")
-    pairs = a.join(b, (F.col("a.u") == F.col("b.u")) & (F.col("a._salt") == F.col("b._salt"))
-                   & (F.col("a.i") < F.col("b.i")))
+    pairs = a.join(b, (F.col("a.u") == F.col("b.u")) & (F.col("a._x") == F.col("b._x"))
+                   & (F.col("a._y") == F.col("b._y")) & (F.col("a.i") < F.col("b.i")))
     x, y = F.col("a.r"), F.col("b.r")
     sums = pairs.groupBy(F.col("a.i").alias("item1"), F.col("b.i").alias("item2")).agg(
         F.sum(x * y).alias("_xy"), F.sum(x * x).alias("_xx"), F.sum(y * y).alias("_yy"),
@@ -71,11 +68,12 @@ def similar_items(ratings: DataFrame, item_id: int, min_score: float, min_streng
         F.sum(x * y).alias("_xy"), F.sum(x * x).alias("_xx"), F.sum(y * y).alias("_yy"),
         F.count(F.lit(1)).alias("strength"))
     score = cosine_score(F.col("_xy"), F.col("_xx"), F.col("_yy"))
-    if score_digits is not None:
-        score = F.round(score, score_digits)
     scored = sums.select("item", score.alias("score"), "strength")
     passes = (F.col("score") > F.lit(min_score)) & (F.col("strength") > F.lit(min_strength))
     if literal_precedence:
         passes = (F.col("item") > F.lit(item_id)) | passes
-    return (scored.where(passes)
-            .orderBy(F.desc("score"), F.desc("strength"), F.asc("item")).limit(k))
+    top = (scored.where(passes)
+           .orderBy(F.desc("score"), F.desc("strength"), F.asc("item")).limit(k))
+    if score_digits is not None:  # thresholds and order hold for the raw score
+        top = top.withColumn("score", F.round("score", score_digits))
+    return top

@@ -1,10 +1,9 @@
-"""Hot-key handling.
+"""Hot keys, split by their size.
 
-A single key may hold a large share of all rows (one user, one node, one
-source).  ``hot_keys`` finds keys above a share of the rows; at most
-``1 / share`` keys can qualify, which is the proven size bound that makes the
-hot-key list safe to broadcast.  ``salted_self_pairs`` then spreads each hot
-key over ``buckets`` tasks instead of one.
+A single key may hold a large share of all rows (one user, one node).  Its rows
+are cut into ``ceil(rows / block_rows)`` blocks, whatever the share, so the work
+of one join key stays bounded as the data grows.  Ordinary keys are one block:
+there is one plan for all of them.
 """
 
 from __future__ import annotations
@@ -13,36 +12,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def hot_keys(df: DataFrame, key: str, share: float, min_rows: int = 0) -> DataFrame:
-    """Keys with at least ``share`` of the rows of ``df`` and at least
-    ``min_rows`` rows; never more than ``1 / share`` keys qualify.
+def block_counts(df: DataFrame, key: str, block_rows: int) -> DataFrame:
+    """``key, _blocks`` for the keys that need more than one block (at most
+    ``rows / block_rows`` of them); the count is combined map-side."""
+    blocks = F.ceil(F.col("_n") / F.lit(block_rows)).cast("int")
+    return (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+              .where(F.col("_n") > F.lit(block_rows)).select(key, blocks.alias("_blocks")))
 
-    ``min_rows`` keeps keys that one task handles easily out of the list on
-    small inputs.  The row total is a scalar subquery of the same plan, so
-    nothing goes through the driver; the per-key count is combined map-side."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.select(F.sum("_n")).scalar()
-    floor = F.greatest(total * F.lit(share), F.lit(min_rows))
-    return counts.where(F.col("_n") >= floor).select(key)
 
+def block_of(spread: Column, blocks: Column) -> Column:
+    return F.pmod(F.xxhash64(spread), blocks).cast("int")
 
-def salt_tags(df: DataFrame, key: str, hot: DataFrame, buckets: int,
-              spread: Column) -> tuple[DataFrame, DataFrame]:
-    """Return ``(left, right)`` copies of ``df`` with a ``_salt`` column.
 
-    Rows of hot keys: the left copy goes to one bucket chosen by ``spread``,
-    the right copy is repeated once per bucket.  Joining left and right on
-    ``(key, _salt)`` then meets every left row with every right row of its
-    key exactly once, but a hot key's work is split over ``buckets`` tasks.
-    Other keys keep ``_salt = 0`` and are not repeated.
+def block_tags(df: DataFrame, key: str, spread: str, block_rows: int
+               ) -> tuple[DataFrame, DataFrame]:
+    """Copies ``(left, right)`` of ``df`` with ``_x, _y`` for a self-join on the key.
+
+    With b blocks per key a left row of block x takes ``(x, 0..b-1)`` and a right
+    row of block y ``(0..b-1, y)``: joining on ``(key, _x, _y)`` every left row
+    meets every right row of its key exactly once, and a join key holds about
+    ``block_rows`` rows on either side.
     """
-    flagged = df.join(F.broadcast(hot.select(key, F.lit(True).alias("_hot"))), key, "left")
-    is_hot = F.coalesce(F.col("_hot"), F.lit(False))
-    left = flagged.withColumn(
-        "_salt", F.when(is_hot, F.pmod(F.xxhash64(spread), F.lit(buckets))).otherwise(F.lit(0))
-    ).drop("_hot")
-    right = flagged.withColumn(
-        "_salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(buckets - 1)))
-                           .otherwise(F.array(F.lit(0))).cast("array<bigint>"))
-    ).drop("_hot")
-    return left, right
+    tagged = df.join(block_counts(df, key, block_rows), key, "left").withColumn(
+        "_b", F.coalesce(F.col("_blocks"), F.lit(1)))
+    own = block_of(F.col(spread), F.col("_b"))
+    every = F.explode(F.sequence(F.lit(0), F.col("_b") - 1))
+    left = tagged.withColumn("_x", own).withColumn("_y", every)
+    right = tagged.withColumn("_y", own).withColumn("_x", every)
+    return left.drop("_blocks", "_b"), right.drop("_blocks", "_b")

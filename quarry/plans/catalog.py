@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from quarry.operators import graph, lookup, recommend, relational, similarity, splits, text
 from quarry.operators.lineage import scratch_path
-from quarry.sources import load_table, read_delimited
+from quarry.sources import (load_table, read_delimited, read_dimension, read_lines,
+                            read_quoted_dimension)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -77,6 +78,74 @@ def total_spend(spark, sf_dir):
             .orderBy("total_spent", "o_custkey"))
 
 
+@query
+def total_revenue(spark, sf_dir):
+    """Rounded totals over amounts with four decimals: discounted line prices
+    per customer; only the sum is rounded."""
+    li = _t(spark, sf_dir, "lineitem").select(
+        "l_orderkey", (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("amount"))
+    od = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    lines = li.join(od, li["l_orderkey"] == od["o_orderkey"])
+    return relational.rounded_total_by_key(lines, "o_custkey", "amount", alias="revenue")
+
+
+@query
+def read_lines_roundtrip(spark, sf_dir):
+    """Document texts written as text and read back as lines: lines by length."""
+    path = scratch_path(spark, "roundtrip-lines")
+    (_t(spark, sf_dir, "documents").select(F.coalesce("text", F.lit("")).alias("value"))
+        .write.mode("overwrite").text(path))
+    lines = read_lines(spark, path)
+    return lines.groupBy(F.length("value").alias("chars")).agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+@query
+def read_narrow_schema(spark, sf_dir):
+    """A file with more fields than the schema: the first two come back."""
+    src = _t(spark, sf_dir, "orders")
+    path = scratch_path(spark, "roundtrip-narrow")
+    src.select("o_orderkey", "o_custkey", "o_totalprice").write.mode("overwrite").csv(path)
+    return read_delimited(spark, path, "o_orderkey bigint, o_custkey bigint")
+
+
+def _name_lines(spark, sf_dir, line) -> str:
+    path = scratch_path(spark, "roundtrip-names")
+    names = _t(spark, sf_dir, "supplier").select(line.alias("value"))
+    names.write.mode("overwrite").option("encoding", "ISO-8859-1").option(
+        "sep", "\u0001").option("quote", "").option("escape", "\u0002").csv(path)
+    return path
+
+
+@query
+def read_dimension_roundtrip(spark, sf_dir):
+    """Pipe-separated Latin-1 names (é added, every fifth empty) through the
+    dimension loader."""
+    name = F.when(F.col("s_suppkey") % 5 == 0, "").otherwise(F.concat("s_name", F.lit(" é")))
+    path = _name_lines(spark, sf_dir, F.concat_ws("|", F.col("s_suppkey").cast("string"), name,
+                                                  F.lit("x")))
+    return read_dimension(spark, path)
+
+
+@query
+def read_quoted_dimension_roundtrip(spark, sf_dir):
+    """Quoted Latin-1 names (é added; every fifth line a bare id) through the
+    quote-splitting loader."""
+    line = F.when(F.col("s_suppkey") % 5 == 0, F.col("s_suppkey").cast("string")).otherwise(
+        F.concat(F.col("s_suppkey").cast("string"), F.lit(' "'), F.col("s_name"), F.lit(' é"')))
+    return read_quoted_dimension(spark, _name_lines(spark, sf_dir, line))
+
+
+@query
+def adjacency_multi(spark, sf_dir):
+    """Adjacency lines with several neighbours, split on single spaces: a line
+    item's part with its supplier and order, and every part alone."""
+    li = _t(spark, sf_dir, "lineitem").select(F.concat_ws(
+        " ", F.col("l_partkey").cast("string"), supplier_node("l_suppkey").cast("string"),
+        F.col("l_orderkey").cast("string")).alias("value"))
+    bare = _t(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("value"))
+    return graph.degree(li.unionByName(bare), trim=False)
+
+
 @query
 def min_converted(spark, sf_dir):
     ev = _t(spark, sf_dir, "events")
@@ -146,7 +215,6 @@ FLAGSHIP = "popular_items_named"
 
 BFS_START = 1          # part 1
 BFS_TARGET = -4        # supplier 3
-MAX_ROUNDS = 10
 
 
 def supplier_node(c):
@@ -197,15 +265,14 @@ def least_connected(spark, sf_dir):
 
 @query
 def bfs_distances(spark, sf_dir):
-    levels, _ = graph.bfs(graph.edges(graph_lines(spark, sf_dir)), BFS_START,
-                          max_rounds=MAX_ROUNDS)
+    levels, _ = graph.bfs(graph.edges(graph_lines(spark, sf_dir)), BFS_START)
     return levels
 
 
 @query
 def bfs_hit(spark, sf_dir):
     _, hit = graph.bfs(graph.edges(graph_lines(spark, sf_dir)), BFS_START,
-                       target=BFS_TARGET, max_rounds=MAX_ROUNDS)
+                       target=BFS_TARGET)
     return graph.hit_frame(spark, BFS_START, BFS_TARGET, hit)
 
 
@@ -213,7 +280,7 @@ def bfs_hit(spark, sf_dir):
 def bfs_hit_self(spark, sf_dir):
     """Start = target: found only through a frontier edge back to the start."""
     _, hit = graph.bfs(graph.edges(graph_lines(spark, sf_dir)), BFS_START,
-                       target=BFS_START, max_rounds=MAX_ROUNDS)
+                       target=BFS_START)
     return graph.hit_frame(spark, BFS_START, BFS_START, hit)
 
 
@@ -266,10 +333,10 @@ def similar_items_literal(spark, sf_dir):
 # --- splits ----------------------------------------------------------------
 
 # The splits of the original scripts (5 contiguous folds; per-user
-# rows 1-10, and rows 11-20 with a test cap of 100,000).
+# rows 1-10, and rows 11-20).
 FOLDS = 5
 HOLDOUT_START, HOLDOUT_STOP = 1, 10
-SECOND_START, SECOND_STOP, SECOND_CAP = 11, 20, 100_000
+SECOND_START, SECOND_STOP = 11, 20
 
 
 @query
@@ -288,11 +355,10 @@ def per_user_holdout(spark, sf_dir):
 
 @query
 def per_user_holdout_second(spark, sf_dir):
-    """The second hold-out of the original scripts: rows 11-20 per user,
-    test set capped at 100,000 rows in time order."""
+    """The second hold-out of the original scripts: rows 11-20 per user."""
     ev = _t(spark, sf_dir, "events").select("event_id", "user_id", "ts")
     return (splits.per_user_holdout(ev, "user_id", ["ts", "event_id"], "event_id",
-                                    SECOND_START, SECOND_STOP, max_test=SECOND_CAP)
+                                    SECOND_START, SECOND_STOP)
             .select("event_id", "user_id", "split"))
 
 
@@ -309,7 +375,7 @@ def part_ratings(spark, sf_dir) -> DataFrame:
 
 @query
 def als_recommend(spark, sf_dir):
-    """Keys are bigint and outgrow 32 bits at scale, so they are densely
+    """Keys are bigint and outgrow 32 bits at scale, so they are always densely
     re-indexed for MLlib and mapped back (``recommend_any_ids``)."""
     ratings = part_ratings(spark, sf_dir)
     # the requested user: the lowest customer key that has orders
@@ -356,9 +422,10 @@ def read_delimited_roundtrip_quoted(spark, sf_dir):
 @query
 def read_delimited_roundtrip_inferred(spark, sf_dir):
     """``part`` as CSV with a header, read back with the header and schema
-    inference (one extra pass over the file): keys that fit 32 bits come
-    back as int, prices as double."""
+    inference (one extra pass over the file), then cast to the source's types:
+    what is inferred depends on the size of the keys."""
     src = _t(spark, sf_dir, "part")
     path = scratch_path(spark, "roundtrip-inferred")
     src.write.mode("overwrite").option("header", "true").csv(path)
-    return read_delimited(spark, path, header=True, infer_schema=True)
+    got = read_delimited(spark, path, header=True, infer_schema=True)
+    return got.select(*(F.col(f.name).cast(f.dataType) for f in src.schema))

@@ -83,9 +83,9 @@ def _ratings(spark, path):
     return read_delimited(spark, path, RATING_SCHEMA, sep="\t")
 
 
-def _titles(spark, path):
+def _titles(spark, path, keep="last"):
     return read_dimension(spark, path, sep="|", encoding="ISO-8859-1",
-                          id_col="movieID", name_col="movieTitle")
+                          id_col="movieID", name_col="movieTitle", keep=keep)
 
 
 def popular_movies(spark: SparkSession, ratings: str, items: str | None = None,
@@ -114,11 +114,13 @@ def node_popularity(spark: SparkSession, graph_path: str, names_path: str | None
     Names as the two programs read them: space-separated CSV (quoted names,
     a bare id has no name) for the most connected node, the quote-splitting
     loader (lines without a quoted name skipped) for the least connected
-    ones; in both a repeated id keeps its last line."""
+    ones; a repeated id keeps its first line for the former, its last for the
+    latter."""
     deg = graph.degree(read_lines(spark, graph_path), trim=trim)
     most, least = graph.most_connected(deg), graph.least_connected(deg)
     if names_path is not None:
-        csv_names = read_dimension(spark, names_path, sep=" ", encoding="ISO-8859-1")
+        csv_names = read_dimension(spark, names_path, sep=" ", encoding="ISO-8859-1",
+                                   quoted=True, keep="first")
         quoted_names = read_quoted_dimension(spark, names_path)
         most = lookup.attach_name(most, csv_names, "id", "id", "name", small_side_rows=1)
         least = lookup.attach_name(least, quoted_names, "id", "id", "name")
@@ -166,7 +168,7 @@ def movie_recommendations(spark: SparkSession, ratings: str, user_id: int,
     users = spark.range(user_id, user_id + 1).select(F.col("id").cast("int").alias("userID"))
     recs = recommend.recommend(model, users, n)
     if items is not None:
-        recs = lookup.attach_name(recs, _titles(spark, items), "movieID", "movieID", "movieTitle",
+        recs = lookup.attach_name(recs, _titles(spark, items, keep="first"), "movieID", "movieID", "movieTitle",
                                   small_side_rows=n)
     return {"recommendations": recs.orderBy("rank")}
 
@@ -178,7 +180,7 @@ def rating_splits(spark: SparkSession, ratings: str, folds: int = FOLD_COUNT,
     taken as (timestamp, user, movie): a DataFrame has no file order."""
     r = _ratings(spark, ratings)
     order = ["timestamp", "userID", "movieID"]
-    keyed = r.withColumn("row_key", F.concat_ws(":", "userID", "movieID", "timestamp"))
+    keyed = splits.row_index(r, order, "row_key")  # unique, also for repeated lines
     return {"folds": splits.contiguous_folds(r, order, folds),
             "holdout": splits.per_user_holdout(keyed, "userID", order, "row_key", holdout_start,
                                                holdout_stop, max_test).drop("row_key")}

@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
@@ -68,20 +69,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
         path = tempfile.mkdtemp(prefix="quarry-ckpt-")
         try:
             spark.conf.set(_CHECKPOINT_KEY, path)
-        except Exception:  # some sessions refuse runtime changes of core settings
-            pass
+        except AnalysisException:  # some sessions refuse runtime changes of core settings
+            sc.setCheckpointDir(path)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
 
 
 def scale_settings(input_bytes: int, total_cores: int,
-                   partition_bytes: int = 512 << 20, max_partitions: int = 200_000) -> dict[str, str]:
+                   partition_bytes: int = 512 << 20, max_partitions: int | None = None) -> dict[str, str]:
     """Session settings sized for a job that reads ``input_bytes``.
 
     Shuffle partitions are sized so one partition holds about
     ``partition_bytes`` of the input (at least two waves of ``total_cores``,
-    at most ``max_partitions`` to keep the driver's task bookkeeping sane);
+    at most ``max_partitions`` if the caller sets it);
     AQE starts from that count, coalesces small partitions towards half of
     that size and splits skewed join partitions.  File splits stay at
     ``partition_bytes`` or less so a scan task's batch fits executor memory.
@@ -89,7 +90,9 @@ def scale_settings(input_bytes: int, total_cores: int,
     starts, or ``spark.conf.set`` for the runtime (SQL) entries.
     """
     import math
-    shuffle = min(max(2 * total_cores, math.ceil(input_bytes / partition_bytes)), max_partitions)
+    shuffle = max(2 * total_cores, math.ceil(input_bytes / partition_bytes))
+    if max_partitions is not None:
+        shuffle = min(shuffle, max_partitions)
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

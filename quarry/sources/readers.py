@@ -7,6 +7,8 @@ and a single ``value`` column of raw text lines that later stages parse.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -50,45 +52,69 @@ def _with_position(df: DataFrame) -> DataFrame:
                                         F.monotonically_increasing_id().alias("p")))
 
 
-def _unique_key(dim: DataFrame, id_col: str, name_col: str) -> DataFrame:
+def _unique_key(dim: DataFrame, id_col: str, name_col: str, keep: str) -> DataFrame:
     # A name table must have one row per id or a lookup join would multiply
-    # rows.  As in the original loaders the last line of an id wins; max_by
-    # is an algebraic aggregate, so a frequent id costs one partial row per task.
-    return dim.groupBy(id_col).agg(F.max_by(name_col, _POS).alias(name_col))
+    # rows.  max_by / min_by are algebraic aggregates, so a frequent id costs
+    # one partial row per task.
+    if keep not in ("first", "last"):
+        raise ValueError(f"keep must be 'first' or 'last', not {keep!r}")
+    pick = F.min_by if keep == "first" else F.max_by
+    return dim.groupBy(id_col).agg(pick(name_col, _POS).alias(name_col))
+
+
+def _decoded_lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
+    # the text source takes bytes as they are, whatever its encoding option says;
+    # malformed UTF-8 is replaced, as the original codecs do
+    value = F.col("value")
+    if encoding.upper().replace("-", "") == "UTF8":
+        value = F.make_valid_utf8(value)
+    else:
+        value = F.decode(value.cast("binary"), encoding)
+    return _with_position(spark.read.text(path)).withColumn("value", value)
 
 
 def read_dimension(spark: SparkSession, path: str, *, sep: str = "|",
                    encoding: str = "ISO-8859-1", id_col: str = "id",
-                   name_col: str = "name", dedupe: bool = True) -> DataFrame:
+                   name_col: str = "name", dedupe: bool = True, quoted: bool = False,
+                   keep: str = "last") -> DataFrame:
     """id → name table from a delimited file whose first two fields are id and name.
 
-    Lines with fewer than two fields are skipped, ids are cast once here
-    (``try_cast``: a malformed id becomes null and is dropped), and for a
-    repeated id the last line in file order wins.
+    Lines with fewer than two fields are skipped, an empty name stays (as ""),
+    ids are cast once here (``try_cast``: a malformed id becomes null and is
+    dropped), and for a repeated id the last (or first, ``keep``) line in file
+    order wins.  ``quoted`` reads the file as CSV with quoted fields instead,
+    where a bare id has no name and its line is skipped.
     """
-    raw = _with_position(read_delimited(spark, path, f"{id_col} string, {name_col} string",
-                                        sep=sep, encoding=encoding))
+    if quoted:
+        raw = _with_position(read_delimited(spark, path, f"{id_col} string, {name_col} string",
+                                            sep=sep, encoding=encoding))
+    else:
+        lines = _decoded_lines(spark, path, encoding)
+        parts = F.split(F.col("value"), re.escape(sep))
+        raw = lines.where(F.size(parts) >= 2).select(
+            F.get(parts, 0).alias(id_col), F.get(parts, 1).alias(name_col), _POS)
     dim = (raw.select(F.expr(f"try_cast(trim({id_col}) AS INT)").alias(id_col), name_col, _POS)
               .where(F.col(id_col).isNotNull() & F.col(name_col).isNotNull()))
-    return _unique_key(dim, id_col, name_col) if dedupe else dim.drop(_POS)
+    return _unique_key(dim, id_col, name_col, keep) if dedupe else dim.drop(_POS)
 
 
 def read_quoted_dimension(spark: SparkSession, path: str, *, encoding: str = "ISO-8859-1",
                           id_col: str = "id", name_col: str = "name",
-                          require_quotes: bool = True, dedupe: bool = True) -> DataFrame:
+                          require_quotes: bool = True, dedupe: bool = True,
+                          keep: str = "last") -> DataFrame:
     """id → name table from lines like ``12 "SOME NAME"``.
 
     ``require_quotes`` keeps only lines that carry a quoted name, the rule of
     the quote-splitting loader; otherwise the space-separated CSV reading
     applies and a bare id yields a null name.
     """
-    lines = _with_position(spark.read.option("encoding", encoding).text(path))
+    lines = _decoded_lines(spark, path, encoding)
     parts = F.split(F.col("value"), '"')
     dim = lines.select(
-        F.expr(f"try_cast(trim(split(value, '\"')[0]) AS INT)").alias(id_col),
+        F.expr("try_cast(trim(split(value, '\"')[0]) AS INT)").alias(id_col),
         F.when(F.size(parts) > 1, F.get(parts, 1)).alias(name_col),
         _POS,
     ).where(F.col(id_col).isNotNull())
     if require_quotes:
         dim = dim.where(F.col(name_col).isNotNull())
-    return _unique_key(dim, id_col, name_col) if dedupe else dim.drop(_POS)
+    return _unique_key(dim, id_col, name_col, keep) if dedupe else dim.drop(_POS)

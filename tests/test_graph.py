@@ -88,7 +88,7 @@ def test_bfs_round_cap_leaves_last_level_gray(lines):
 
 def test_bfs_with_salted_hubs_same_result(lines):
     base = graph.bfs(graph.edges(lines), 1, target=6)
-    salted = graph.bfs(graph.edges(lines), 1, target=6, hot_share=0.2, hot_min_edges=0, buckets=3)
+    salted = graph.bfs(graph.edges(lines), 1, target=6, block_edges=1)
     assert salted[1] == base[1]
     assert sorted(tuple(r) for r in salted[0].collect()) == sorted(tuple(r) for r in base[0].collect())
 

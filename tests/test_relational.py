@@ -85,7 +85,7 @@ def test_float32_conversion_matches_java(spark):
 def test_scale_settings_bounds():
     from quarry.session import scale_settings
     big = scale_settings(100 * 2**40, 8000)
-    assert big["spark.sql.shuffle.partitions"] == "200000"
+    assert big["spark.sql.shuffle.partitions"] == "204800"
     small = scale_settings(40 * 2**20, 8)
     assert small["spark.sql.shuffle.partitions"] == "16"
     assert int(big["spark.sql.files.maxPartitionBytes"]) <= 512 << 20

@@ -25,8 +25,7 @@ def test_item_pairs_salted_hot_user_same_result(spark):
     base = {(r.item1, r.item2): (r.score, r.strength)
             for r in similarity.item_pairs(_ratings(spark)).collect()}
     salted = {(r.item1, r.item2): (r.score, r.strength)
-              for r in similarity.item_pairs(_ratings(spark), hot_share=0.2, hot_min_rows=0,
-                                             buckets=3).collect()}
+              for r in similarity.item_pairs(_ratings(spark), block_rows=1).collect()}
     assert salted.keys() == base.keys()
     for k in base:
         assert math.isclose(salted[k][0], base[k][0]) and salted[k][1] == base[k][1]
@@ -148,24 +147,21 @@ def test_thresholds_are_strict(spark):
     assert [r.item for r in out.collect()] == [30]
 
 
-def test_hot_keys_detects_heavy_key_within_bound(spark):
-    from quarry.operators.skew import hot_keys
-    # user 0 holds a third of the rows, the other 200 users one row each... x2
-    rows = [(0, i) for i in range(200)] + [(u, 0) for u in range(1, 201)] * 2
-    df = spark.createDataFrame(rows, "u int, i int")
-    assert [r.u for r in hot_keys(df, "u", 0.1).collect()] == [0]
-    assert hot_keys(df, "u", 0.1, min_rows=1000).count() == 0
-    share = 0.002
-    assert hot_keys(df, "u", share).count() <= 1 / share
-
-
-def test_salt_tags_spread_hot_key_only(spark):
-    from quarry.operators.skew import hot_keys, salt_tags
-    rows = [(0, i) for i in range(300)] + [(u, i) for u in range(1, 101) for i in range(3)]
-    df = spark.createDataFrame(rows, "u int, i int")
-    left, right = salt_tags(df, "u", hot_keys(df, "u", 0.2), 8, F.col("i"))
-    hot_left = {r._salt for r in left.where("u = 0").select("_salt").distinct().collect()}
-    assert len(hot_left) >= 4 and left.where("u = 0").count() == 300
-    assert right.where("u = 0").count() == 300 * 8
-    assert {r._salt for r in left.where("u <> 0").select("_salt").distinct().collect()} == {0}
-    assert right.where("u <> 0").count() == 300
+def test_block_tags_bound_the_largest_join_key(spark):
+    """One key holds a third of the rows: every pair meets once, no join key is large."""
+    from pyspark.sql import functions as F
+    from quarry.operators.skew import block_counts, block_tags
+    df = spark.range(0, 900).select(
+        F.when(F.col("id") < 300, F.lit(-1)).otherwise(F.col("id") % 100).alias("u"),
+        F.col("id").alias("i"))
+    assert [r.u for r in block_counts(df, "u", 20).collect()] == [-1]
+    left, right = block_tags(df, "u", "i", 20)
+    for side in (left, right):
+        assert side.groupBy("u", "_x", "_y").count().agg(F.max("count")).first()[0] <= 60
+    a, b = left.alias("a"), right.alias("b")
+    met = a.join(b, (F.col("a.u") == F.col("b.u")) & (F.col("a._x") == F.col("b._x"))
+                 & (F.col("a._y") == F.col("b._y")) & (F.col("a.i") < F.col("b.i")))
+    plain = df.alias("a").join(df.alias("b"), (F.col("a.u") == F.col("b.u"))
+                               & (F.col("a.i") < F.col("b.i")))
+    pair = lambda d: sorted((r[0], r[1]) for r in d.select("a.i", "b.i").collect())
+    assert pair(met) == pair(plain)
