@@ -134,10 +134,12 @@ def _filled(turns: Column) -> Column:
 def json_fingerprint(payload: Column) -> Column:
     """Fingerprint of the known paths in a JSON text, row by row (null: not JSON)."""
     top = F.coalesce(F.json_object_keys(payload), F.array().cast("array<string>"))
-    nested = [F.transform(
-        F.coalesce(F.json_object_keys(F.get_json_object(payload, f"$.{field}[0]")),
-                   F.array().cast("array<string>")), lambda k, f=field: F.concat(F.lit(f"{f}."), k))
-        for field in sorted({p.split(".")[0] for p in _KNOWN if "." in p})]
+
+    def inside(field: str) -> Column:
+        keys = F.json_object_keys(F.get_json_object(payload, f"$.{field}[0]"))
+        return F.transform(F.coalesce(keys, F.array().cast("array<string>")),
+                           lambda k: F.concat(F.lit(f"{field}."), k))
+    nested = [inside(f) for f in sorted({p.split(".")[0] for p in _KNOWN if "." in p})]
     known = F.array(*(F.lit(p) for p in _KNOWN))
     paths = F.array_sort(F.array_intersect(F.concat(top, *nested), known))
     return F.when(F.json_object_keys(payload).isNotNull(),

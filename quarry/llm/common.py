@@ -19,7 +19,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 BATCH_ROWS = 512
 
 __all__ = ["WORD", "columns_of", "map_batches", "scratch", "table", "text_bytes",
-           "process_state", "document_key", "n_words"]
+           "process_state", "document_key", "n_words", "packed", "unpacked"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,7 +39,22 @@ def n_words(text: Column) -> Column:
 def document_key(id_col: str, text_col: str) -> Column:
     """Key of a row's content: rows that repeat an id with the same text share it, rows that
     repeat an id with another text do not."""
-    return F.xxhash64(F.col(id_col), F.col(text_col), F.lit("document"))
+    return F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), F.lit("document"))
+
+
+def packed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``_key, _id, _text, _row``: the whole row travels as one struct, so no column of it can
+    clash with the names an operator works with."""
+    return docs.select(document_key(id_col, text_col).alias("_key"),
+                       F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"),
+                       F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"))
+
+
+def unpacked(df: DataFrame, columns: list[str], changed: dict[str, Column] | None = None) -> DataFrame:
+    """The columns of the packed rows, some of them changed."""
+    changed = changed or {}
+    return df.select(*((changed[c] if c in changed else F.col("_row").getField(c)).alias(c)
+                       for c in columns))
 
 
 def text_bytes(column) -> list[bytes]:

@@ -22,7 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import columns_of, document_key, map_batches, scratch, text_bytes
+from quarry.llm.common import (columns_of, document_key, map_batches, packed, scratch,
+                               text_bytes, unpacked)
 from quarry.llm.hashing import NEWLINE, Windows, as_bytes, covered, span_hashes, spans, winnow
 
 GRAM, WINDOW = 2, 2
@@ -105,55 +106,54 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             .groupBy("_key").agg(F.collect_list("start").alias("starts")))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                gram: int = GRAM, window: int = WINDOW) -> DataFrame:
-    """All columns of ``docs`` plus ``n_lines``, ``n_removed`` and ``kept_text``."""
+def _cut_lines(docs: DataFrame, id_col: str, text_col: str, gram: int, window: int) -> DataFrame:
+    """Packed rows with ``n_lines, n_removed, kept_text``."""
     run_lines = gram + window - 1
     found = repeated_lines(docs, id_col, text_col, gram, window)
-    names = docs.columns
-    clash = [c for c in ("n_lines", "n_removed", "kept_text") if c in names]
-    if clash:
-        raise ValueError(f"the result would have two columns of the name {clash}")
-    joined = (docs.withColumn("_key", document_key(id_col, text_col))
-              .join(found, "_key", "left").drop("_key"))
+    joined = packed(docs, id_col, text_col).join(found, "_key", "left").select(
+        "_id", "_text", "_row", "starts")
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = text_bytes(batch.column(batch.schema.get_field_index(text_col)))
-        starts = batch.column(batch.schema.get_field_index("starts"))
+        col = columns_of(batch, ["_id", "_text", "_row", "starts"])
         counts, removed, kept = [], [], []
-        for i, text in enumerate(texts):
+        for i, text in enumerate(text_bytes(col["_text"])):
             parts = split_lines(text)
             n = sum(full for _, full in parts)
-            gone = (covered(np.array(starts[i].values), run_lines, n)
-                    if starts[i].is_valid else np.zeros(n, dtype=bool))
+            gone = (covered(np.array(col["starts"][i].values), run_lines, n)
+                    if col["starts"][i].is_valid else np.zeros(n, dtype=bool))
             counts.append(n)
             removed.append(int(gone.sum()))
             if removed[-1]:
                 flag = iter(gone.tolist())
                 text = b"\n".join(x for x, full in parts if not (full and next(flag)))
             kept.append(text.decode("utf-8", "replace"))
-        arrays = [batch.column(batch.schema.get_field_index(c)) for c in names]
         return pa.RecordBatch.from_arrays(
-            [*arrays, pa.array(counts, pa.int64()), pa.array(removed, pa.int64()),
-             pa.array(kept, pa.string())], names=[*names, "n_lines", "n_removed", "kept_text"])
-    schema = docs.schema.add("n_lines", "long").add("n_removed", "long").add("kept_text", "string")
+            [col["_id"], col["_row"], pa.array(counts, pa.int64()), pa.array(removed, pa.int64()),
+             pa.array(kept, pa.string())],
+            names=["_id", "_row", "n_lines", "n_removed", "kept_text"])
+    schema = (joined.select("_id", "_row").schema.add("n_lines", "long").add("n_removed", "long")
+              .add("kept_text", "string"))
     return map_batches(joined, cut, schema)
 
 
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                gram: int = GRAM, window: int = WINDOW) -> DataFrame:
+    """``id_col, n_lines, n_removed, kept_text``, one row per document row."""
+    slim = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
+    return _cut_lines(slim, id_col, text_col, gram, window).select(
+        F.col("_id").alias(id_col), "n_lines", "n_removed", "kept_text")
+
+
 def dedup_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    length_col: str | None = "n_chars", **options) -> DataFrame:
+                    length_col: str | None = "n_chars", gram: int = GRAM,
+                    window: int = WINDOW) -> DataFrame:
     """Documents with their columns and the shortened text; one of which every line went is
     left out."""
-    rows = dedup_lines(docs, id_col, text_col, **options).where(
+    rows = _cut_lines(docs, id_col, text_col, gram, window).where(
         "n_removed = 0 OR n_removed < n_lines")
-    out = []
-    for c in docs.columns:
-        if c == text_col:
-            out.append(F.when(F.col("n_removed") > 0, F.col("kept_text"))
-                        .otherwise(F.col(c)).alias(c))
-        elif c == length_col:
-            out.append(F.when(F.col("n_removed") > 0, F.length("kept_text"))
-                        .otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c))
-        else:
-            out.append(F.col(f"`{c}`"))
-    return rows.select(*out)
+    cut, row = F.col("n_removed") > 0, F.col("_row")
+    changed = {text_col: F.when(cut, F.col("kept_text")).otherwise(row.getField(text_col))}
+    if length_col in docs.columns:
+        changed[length_col] = (F.when(cut, F.length("kept_text")).otherwise(row.getField(length_col))
+                               .cast(docs.schema[length_col].dataType))
+    return unpacked(rows, docs.columns, changed)

@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import document_key, n_words, scratch
+from quarry.llm.common import document_key, n_words, packed, scratch, unpacked
 from quarry.llm.ranking import running_sum
 
 WEIGHTS = (3, 1, 2)
@@ -72,7 +72,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``taken`` is exact: the words of a source sum to its target rounded down.
     """
     sized = scratch(docs.select(
-        F.col(id_col).alias(id_col), F.col(source_col).alias("source"),
+        F.col(f"`{id_col}`"), F.col(f"`{source_col}`").alias("source"),
         n_words(F.col(text_col)).alias("size"), document_key(id_col, text_col).alias("_key")),
         "sizes")
     targets = source_targets(
@@ -101,7 +101,7 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     per_key = (taken.where("taken > 0").groupBy("_key")
                .agg(F.sum("taken").alias("_taken"), F.first("size").alias("_size"),
                     F.count(F.lit(1)).alias("_rows")))
-    joined = (docs.withColumn("_key", document_key(id_col, text_col)).join(per_key, "_key"))
+    joined = packed(docs, id_col, text_col).join(per_key, "_key")
     # rows that repeat a document share its words evenly, the first ones take what is left
     number = F.row_number().over(Window.partitionBy("_key").orderBy(F.lit(0)))
     single = joined.where("_rows = 1").withColumn("_own", F.col("_taken"))
@@ -115,17 +115,12 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pieces = F.concat(F.array_repeat(F.lit(0).cast("long"), whole),
                       F.when(cut > 0, F.array(cut)).otherwise(F.array().cast("array<bigint>")))
     rows = rows.withColumn("_cut", F.explode(pieces))
-    words = F.array_remove(F.split(F.col(text_col), r"[\x20\x09-\x0D]+"), "")
-    text = F.when(F.col("_cut") == 0, F.col(text_col)).otherwise(
+    words = F.array_remove(F.split(F.col("_text"), r"[\x20\x09-\x0D]+"), "")
+    whole_text, row = F.col("_cut") == 0, F.col("_row")
+    text = F.when(whole_text, F.col("_text")).otherwise(
         F.array_join(F.slice(words, 1, F.greatest(F.col("_cut"), F.lit(1)).cast("int")), " "))
-    rows = rows.withColumn("_new", text)
-    out = []
-    for c in docs.columns:
-        if c == text_col:
-            out.append(F.col("_new").alias(c))
-        elif c == length_col:
-            out.append(F.when(F.col("_cut") == 0, F.col(c))
-                        .otherwise(F.length("_new")).cast(docs.schema[c].dataType).alias(c))
-        else:
-            out.append(F.col(f"`{c}`"))
-    return rows.select(*out)
+    changed = {text_col: text}
+    if length_col in docs.columns:
+        changed[length_col] = (F.when(whole_text, row.getField(length_col)).otherwise(F.length(text))
+                               .cast(docs.schema[length_col].dataType))
+    return unpacked(rows, docs.columns, changed)

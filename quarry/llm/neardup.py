@@ -25,7 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import columns_of, document_key, map_batches, scratch, text_bytes
+from quarry.llm.common import (columns_of, document_key, map_batches, packed, scratch,
+                               text_bytes, unpacked)
 from quarry.llm.graphs import block_pairs, components, local_roots
 from quarry.llm.hashing import Windows, mix, word_hashes
 
@@ -221,7 +222,5 @@ def one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             .groupBy(F.when(F.col("class_id").isNull(), F.concat(F.lit("null "), F.col("_key")))
                      .otherwise(F.col("class_id").cast("string")).alias("_class"))
             .agg(F.min("_key").alias("_key")).select("_key"))
-    once = docs.withColumn("_key", document_key(id_col, text_col)).join(kept, "_key")
-    if docs.columns:
-        once = once.dropDuplicates(["_key"])
-    return once.select(*(F.col(f"`{c}`") for c in docs.columns))
+    once = packed(docs, id_col, text_col).join(kept, "_key").dropDuplicates(["_key"])
+    return unpacked(once, docs.columns)

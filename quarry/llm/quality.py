@@ -20,7 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import columns_of, map_batches, text_bytes
+from quarry.llm.common import (columns_of, map_batches, packed, scratch, text_bytes,
+                               unpacked)
 from quarry.llm.hashing import (SPACE, Windows, _lut, as_bytes, covered, span_hashes, spans)
 
 MIN_WORDS = 20
@@ -183,9 +184,7 @@ def judge(features: DataFrame, threshold: float = 0.5) -> DataFrame:
 def filter_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that the judged rules keep, with their columns unchanged."""
-    from quarry.llm.common import document_key, scratch
-    features = scratch(quality_features(
-        docs.withColumn("_key", document_key(id_col, text_col)), "_key", text_col), "quality")
+    rows = packed(docs, id_col, text_col)
+    features = scratch(quality_features(rows, "_key", "_text"), "quality")
     kept = judge(features, threshold).where("kept").select("_key").distinct()
-    return (docs.withColumn("_key", document_key(id_col, text_col))
-            .join(kept, "_key", "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns)))
+    return unpacked(rows.join(kept, "_key", "left_semi"), docs.columns)
