@@ -119,8 +119,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     first = (anchors.groupBy("print").agg(F.min(F.struct("_id", "_key", "at", "block")).alias("ref"),
                                           F.max("_id").alias("_last"))
              .where(F.col("ref._id") < F.col("_last")).select("print", "ref"))
-    hits = (anchors.select("_key", "at", "print").dropDuplicates(["_key", "at"])
-            .join(first, "print")
+    # stored: a join of two plain tables lets Spark split an anchor that very many documents hold
+    first = scratch(first, "index")
+    hits = (anchors.select("_key", "at", "print").join(first, "print")
             .groupBy("_key").agg(F.collect_list(F.struct(
                 "at", "print", F.col("ref._id").alias("id"), F.col("ref._key").alias("key"),
                 F.col("ref.at").alias("place"), F.col("ref.block").alias("block"))).alias("hits")))
