@@ -53,6 +53,8 @@ def block_pairs(members: DataFrame, group: list[str], spread: str, block_rows: i
     sizes = (members.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
              .select(*(F.col(g).alias(n) for g, n in zip(group, names)),
                      F.ceil(F.col("_n") / block_rows).cast("int").alias("_blocks")))
+    # stored: a join of two plain tables lets Spark split the members of a very large group
+    sizes = scratch(sizes, "sizes")
     same = None
     for g, n in zip(group, names):
         same = F.col(g) == F.col(n) if same is None else same & (F.col(g) == F.col(n))
