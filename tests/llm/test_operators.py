@@ -331,6 +331,14 @@ def test_lattice_links_match_brute_force(spark):
     assert lattice.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_repeated_vector_rows_are_one_vector(spark):
+    rows = [(1, [1.0, 0.5, 0.0]), (1, [1.0, 0.5, 0.0]), (2, [1.0, 0.5, 0.01]), (3, [-1.0, 0.2, 3.0]),
+            (3, [-1.0, 0.2, 3.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = sorted(tuple(r) for r in lattice.near_duplicates(df).collect())
+    assert got == [(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True), (3, 0, 3, True)]
+
+
 # --- packing and mixing ---------------------------------------------------------------------------
 
 def test_packing_round_trip(docs, rows, empty):
