@@ -1,7 +1,9 @@
 """Toxicity scores from a bidirectional gated recurrent network with attention pooling.
 
 A word enters the network twice: as a word (an embedding of the training sample's frequent
-words) and as characters (embeddings of its hashed byte n-grams).  Windows of ``WIDTH`` words,
+words) and as characters (embeddings of its hashed byte n-grams, from its first byte to its
+last).  A run of more than ``LONGEST`` bytes without a break, as in scripts that write no
+spaces, counts as several words, pieces that overlap.  Windows of ``WIDTH`` words,
 each overlapping the next by half, cover a whole text; forward and backward gated units read
 a window, attention pools their states, a logistic unit scores it.  A text's score combines its
 strongest window, the sum of its windows' probabilities and their number by a logistic curve.
@@ -23,6 +25,8 @@ result; extra columns are ignored.  Only texts enter a score.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -37,7 +41,10 @@ SAMPLE_WINDOWS = 30
 HIDDEN, WORD_DIM, CHAR_DIM, ATTEND = 8, 8, 8, 8
 WORDS = 4000
 GRAM_ROWS = 1 << 14
-GRAMS = 16
+#: Bytes of a word; longer runs become pieces of two strides, each sharing one with the next
+#: (a stride less than half of it, as a piece begins up to 3 bytes early, with its character).
+LONGEST, STRIDE = 24, 10
+GRAMS = 6 + LONGEST - 2
 EPOCHS = 8
 #: Words and n-grams of fewer sampled texts than this are not learned.
 LEAST_TEXTS = 5
@@ -48,26 +55,56 @@ SEED = 5
 
 _F = np.float32
 _BREAK = _lut(bytes(b for b in range(128) if not chr(b).isalnum()))
+#: Spaces and punctuation outside ASCII (those that join letters, as U+200D, stay).
+_WIDE_BREAK = re.compile(
+    "[\u0080-\u00a9\u00ab-\u00b4\u00b6-\u00b9\u00bb-\u00bf\u00d7\u00f7\u1680\u2000-\u200b\u2010-\u205f"
+    "\u3000-\u3004\u3008-\u3020\u3030\u303d-\u303f\u30fb\ufe30-\ufe4f\uff01-\uff0f\uff1a-\uff20"
+    "\uff3b-\uff40\uff5b-\uff65]+")
+
+
+def lowered(text: bytes) -> bytes:
+    """Lower case, with every break an ASCII one."""
+    return _WIDE_BREAK.sub(" ", text.decode("utf-8", "replace").lower()).encode("utf-8", "replace")
+
+
+def word_spans(buf: np.ndarray):
+    """Starts and ends of the words; a run above ``LONGEST`` bytes is cut, between characters,
+    into overlapping pieces."""
+    starts, ends = spans(buf, _BREAK)
+    size = ends - starts
+    if not (size > LONGEST).any():
+        return starts, ends
+    count = np.where(size > LONGEST, -(-size // STRIDE) - 1, 1)
+    last = np.cumsum(count)
+    nth = np.arange(last[-1]) - np.repeat(last - count, count)
+    run_start, run_end = np.repeat(starts, count), np.repeat(ends, count)
+    final = nth == np.repeat(count, count) - 1
+
+    def cut(at):
+        for _ in range(3):
+            at = at - ((at > run_start) & (buf[np.minimum(at, len(buf) - 1)] & 0xC0 == 0x80))
+        return at
+    begin = cut(run_start + nth * STRIDE)
+    return begin, np.where(final, run_end, cut(np.minimum(run_start + (nth + 2) * STRIDE, run_end - 1)))
 
 
 def words_of(text: bytes):
-    """Hash and byte n-gram rows of every distinct word of a lower-case text, and the text as
+    """Hash and byte n-gram rows of every distinct word of a ``lowered`` text, and the text as
     indices into them."""
-    text = text.decode("utf-8", "replace").lower().encode("utf-8", "replace")
     buf = as_bytes(text)
-    starts, ends = spans(buf, _BREAK)
+    starts, ends = word_spans(buf)
     hashes = span_hashes(buf, starts, ends)
     distinct, first, index = np.unique(hashes, return_index=True, return_inverse=True)
     return distinct, gram_rows(buf, starts[first], ends[first]), index
 
 
 def gram_rows(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """``GRAMS`` rows of the n-gram table per word: prefixes of 3 to 8 bytes and the first ten
-    trigrams; 0 where the word is too short."""
+    """``GRAMS`` rows of the n-gram table per word of at most ``LONGEST`` bytes: prefixes of 3
+    to 8 bytes and all trigrams; 0 where the word is too short."""
     n = len(starts)
     if not n:
         return np.zeros((0, GRAMS), dtype=np.int32)
-    at = starts[:, None] + np.arange(12)
+    at = starts[:, None] + np.arange(LONGEST)
     inside = at < ends[:, None]
     byte = np.where(inside, buf[np.minimum(at, len(buf) - 1)], 0).astype(np.uint32)
     out = np.zeros((n, GRAMS), dtype=np.int32)
@@ -78,7 +115,7 @@ def gram_rows(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarr
         if k >= 2:
             row = (prefix ^ (prefix >> np.uint32(15))) % np.uint32(GRAM_ROWS - 1) + np.uint32(1)
             out[:, k - 2] = np.where(size > k, row, 0)
-    for k in range(10):
+    for k in range(LONGEST - 2):
         tri = (byte[:, k] | byte[:, k + 1] << np.uint32(8) | byte[:, k + 2] << np.uint32(16))
         tri = tri * np.uint32(0x9E3779B1)
         row = (tri >> np.uint32(12)) % np.uint32(GRAM_ROWS - 1) + np.uint32(1)
@@ -215,9 +252,9 @@ class Network:
     def score_texts(self, texts: list[bytes], chunk: int = 8192) -> np.ndarray:
         """Per text: largest window logit, sum of the windows' probabilities and number of
         windows (0 windows: no word)."""
-        lower = [t.decode("utf-8", "replace").lower().encode("utf-8", "replace") for t in texts]
+        lower = [lowered(t) for t in texts]
         hashes, grams, index = words_of(b"\n".join(lower))
-        counts = [len(spans(as_bytes(t), _BREAK)[0]) for t in lower]
+        counts = [len(word_spans(as_bytes(t))[0]) for t in lower]
         rows, grams = self.rows(hashes), self.learned(grams)
         x = self.inputs(rows, grams)
         speaks = np.append((rows > 0) | (grams > 0).any(axis=1), True)  # padding is last
@@ -364,8 +401,8 @@ def _sample_windows(docs: DataFrame, most: int) -> list[tuple[int, int, bytes]]:
         col = columns_of(batch, ["_row", "_label", "_text"])
         row, label, words = [], [], []
         for i, text in enumerate(text_bytes(col["_text"])):
-            lower = text.decode("utf-8", "replace").lower().encode("utf-8", "replace")
-            starts, ends = spans(as_bytes(lower), _BREAK)
+            lower = lowered(text)
+            starts, ends = word_spans(as_bytes(lower))
             shown = window_index(np.arange(len(starts)))
             if len(shown) > most:
                 shown = shown[np.linspace(0, len(shown) - 1, most).astype(int)]

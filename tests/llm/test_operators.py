@@ -234,6 +234,29 @@ def test_toxicity_learns_words_and_prefixes(spark, empty):
     assert toxicity.score(empty, lab, F.lit(True)).count() == 0
 
 
+def test_toxicity_reads_whole_words_and_texts_without_spaces(spark):
+    r = random.Random(8)
+    for text in ("z" * 25, "日本語" * 30 + "x", "é" * 40 + " kurz " + "a日" * 17, "ab\u00a0cd，ef", "𝒳" * 9):
+        low = toxicity.lowered(text.encode())
+        starts, ends = toxicity.word_spans(np.frombuffer(low, np.uint8))
+        pieces = [low[a:b].decode() for a, b in zip(starts, ends)]  # no character is cut
+        assert all(len(p.encode()) <= toxicity.LONGEST for p in pieces)
+        assert {k for a, b in zip(starts, ends) for k in range(a, b)} == {k for k, c in enumerate(low) if c != 32}
+    buf = np.frombuffer(b"counterrevolutionary counterrevolutionists", np.uint8)
+    rows = toxicity.gram_rows(buf, *toxicity.word_spans(buf))
+    assert (rows[0] != rows[1]).any()
+
+    made, labels = [], []
+    for i in range(400):  # no space anywhere; the telling word stands late
+        text = "".join(chr(0x4E00 + r.randrange(600)) for _ in range(120))
+        made.append((i, text[:60 + i % 50] + ("鬱陶憎悪" if i % 4 == 0 else "") + text[60 + i % 50:]))
+        labels.append((i, int(i % 4 == 0)))
+    got = {x.doc_id: x.score for x in toxicity.score(
+        spark.createDataFrame(made, "doc_id long, text string"),
+        spark.createDataFrame(labels, "doc_id long, toxic int"), F.col("doc_id") % 5 != 0).collect()}
+    assert np.mean([(got[i] >= 0.5) == (i % 4 == 0) for i in range(0, 400, 5)]) >= 0.95
+
+
 def test_toxicity_gradients():
     net = toxicity.Network(np.zeros(0, np.uint64), np.zeros(toxicity.GRAM_ROWS, bool))
     r = np.random.default_rng(0)
