@@ -5,6 +5,8 @@ characters and tags outside links, with a base that grows with the link share of
 and of the whole body.  A node's density sum adds up its children; the node with the largest
 sum roots the main text.  The smallest density on the path from that node to the body is the
 threshold: blocks beside the node belong to the text only where their own branch reaches it.
+Markup only adds to that: the text grows to the outermost article or main element around the
+root, and an article most of whose characters are outside links belongs to it in any case.
 Elements that say what they are (nav, footer, aside, form, adverts, notices, comments, ...)
 are left out of the sums and of the text.
 
@@ -169,7 +171,8 @@ class _Page:
 
 
 def densities(page: _Page):
-    """Composite density and density sum of every node that is not left out."""
+    """Characters, those in links, composite density and density sum of every node that is not
+    left out."""
     n = len(page.tag)
     chars, link_chars, tags, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
     in_link = [False] * n
@@ -201,14 +204,14 @@ def densities(page: _Page):
         density[i] = max(c / t * math.log(c / max(lc, 1) * t / lt) / scale, 0.0)
         if i:
             total[page.parent[i]] += density[i]
-    return chars, density, total, body
+    return chars, link_chars, density, total, body
 
 
 def main_text(source: str) -> str:
     """The main text of one page."""
     page = _Page(source)
     page.finish()
-    chars, density, total, body = densities(page)
+    chars, link_chars, density, total, body = densities(page)
     n = len(page.tag)
     root = max(range(n), key=lambda i: (total[i], -i)) if n else 0
     if not total[root]:
@@ -218,14 +221,7 @@ def main_text(source: str) -> str:
         path.append(page.parent[path[-1]])
     upper = path[:path.index(body) + 1] if body in path else path
     threshold = min(density[i] for i in upper)
-    named = [i for i in path if page.tag[i] in ("article", "main")]
-    if named:
-        root, threshold = named[-1] if page.tag[named[-1]] == "article" else named[0], math.inf
-    else:
-        inner = [i for i in range(n) if page.tag[i] == "article" and not page.out[i]
-                 and 2 * chars[i] >= chars[root]]
-        if inner:
-            root, threshold = inner[0], math.inf
+    root = next((i for i in reversed(path) if page.tag[i] in ("article", "main")), root)
     # within[i]: the node belongs to the text
     on_path = set(path)
     within = [False] * n
@@ -234,6 +230,7 @@ def main_text(source: str) -> str:
             continue
         p = page.parent[i]
         within[i] = (i == root or (p >= 0 and within[p])
+                     or (page.tag[i] == "article" and 2 * link_chars[i] < chars[i])
                      or (p in on_path and i not in on_path and density[i] >= threshold > 0))
     blocks, current = [], []
 

@@ -211,6 +211,19 @@ def test_extraction_takes_the_article_only(spark):
     assert extraction.extract(df.limit(0)).count() == 0
 
 
+def test_extraction_of_pages_without_and_with_several_articles():
+    long = "<p>" + "many words of the first part, " * 20 + "</p>"
+    short = "<p>a second part.</p><p>its end.</p>"
+    links = "<div>" + "".join(f"<a href='{i}'>link {i}</a>" for i in range(9)) + "</div>"
+    two = f"<article>{long * 2}</article><article>{short}</article>"
+    for body in (f"<main>{two}</main>", two, f"<div>{two}</div>{links}",
+                 f"<article>{long}</article><div>{long}</div><article>{short}</article>"):
+        text = extraction.main_text(f"<html><body>{body}</body></html>")
+        assert text.count("first part") == 40 and text.endswith("a second part. its end.") and "link" not in text
+    text = extraction.main_text(f"<html><body><div><h2>Head</h2>{long * 2}</div>{links}</body></html>")
+    assert text.startswith("Head many words") and text.count("first part") == 40 and "link" not in text
+
+
 # --- toxicity -----------------------------------------------------------------------------
 
 def test_toxicity_learns_words_and_prefixes(spark, empty):
