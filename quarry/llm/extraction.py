@@ -8,7 +8,10 @@ threshold: blocks beside the node belong to the text only where their own branch
 Markup only adds to that: the text grows to the outermost article or main element around the
 root, and an article most of whose characters are outside links belongs to it in any case.
 Elements that say what they are (nav, footer, aside, form, adverts, notices, comments, ...)
-are left out of the sums and of the text.
+are left out of the sums and of the text.  A class or id says so only as a whole: every part of
+the name is a known one, so that "site-footer" counts and "has-sidebar" does not.  A named
+element that holds most of the body's characters outside links, without an article or main
+element outside it, is judged by its density like any other.
 
 Defined results: null or empty html gives an empty text; pages of any length and any depth
 are read whole; unclosed, misnested and cut-off markup is repaired as browsers do for
@@ -47,15 +50,21 @@ _ITEM = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td"
          "tbody": {"tr", "td", "th", "thead", "tbody"}, "thead": {"tr", "td", "th", "tbody"},
          "tfoot": {"tr", "td", "th", "thead", "tbody"}}
 _ITEM_SCOPE = frozenset("ul ol menu dl table select article body".split())
-_LEFT_OUT = frozenset("""head nav footer aside form button select dialog menu svg canvas object
-    audio video map math""".split()) | _RAW
+_LEFT_OUT = frozenset("""head nav footer aside form button select menu svg canvas audio
+    video""".split()) | _RAW
 _ROLES = frozenset("""navigation banner contentinfo complementary search form dialog alert
     alertdialog menu menubar toolbar""".split())
 _PARTS = frozenset("""ad ads advert adverts advertisement advertising sponsor sponsored promo
     promotion banner nav navbar navigation menu breadcrumb breadcrumbs sidebar footer header
-    masthead comment comments commentlist reply replies respond disqus discussion notice cookie
+    masthead comment comments commentlist reply replies respond disqus discussion cookie
     cookies consent gdpr popup modal overlay newsletter subscribe subscription signup share
     sharing social related recommended widget toolbar pagination pager""".split())
+#: What may stand beside such a word in a name without changing what it says.
+_BESIDE = frozenset("""area bar block bottom box btn button buttons center col column
+    container desktop form global group holder icon icons inner item items left
+    link links list main message mobile module notice outer page panel placeholder posts primary
+    right row secondary section site slot small sticky tablet thread title top unit wrap wrapper
+    zone""".split())
 
 
 class _Page:
@@ -63,6 +72,7 @@ class _Page:
 
     def __init__(self, source: str):
         self.tag, self.parent, self.out = ["#root"], [-1], [False]
+        self.named = [False]  # a class or id alone leaves it out
         self.has_head = [False]  # holds an article, a main element or a first heading
         self.texts: list[tuple[int, str]] = []
         self._stack, self._open = [0], {"#root": 1}
@@ -72,7 +82,8 @@ class _Page:
         node, parent = len(self.tag), self._stack[-1]
         self.tag.append(tag)
         self.parent.append(parent)
-        self.out.append(tag in _LEFT_OUT or self._named_out(tag, attributes))
+        self.out.append(tag in _LEFT_OUT or self._role_out(tag, attributes))
+        self.named.append(self._named_out(tag, attributes))
         self.has_head.append(False)
         if tag in ("article", "main", "h1"):
             up = parent
@@ -84,15 +95,23 @@ class _Page:
             self._open[tag] = self._open.get(tag, 0) + 1
 
     @staticmethod
-    def _named_out(tag: str, attributes: str) -> bool:
-        if not attributes or tag in ("html", "body", "#root"):
-            return False
-        for name, a, b, c in _ATTRIBUTE.findall(attributes):
-            name, value = name.lower(), a or b or c
-            if name == "role" and value.lower() in _ROLES:
-                return True
-            if name in ("class", "id"):
-                if any(p.lower() in _PARTS for p in _NAME_PART.findall(value)):
+    def _attributes(tag: str, attributes: str):
+        if attributes and tag not in ("html", "body", "#root"):
+            for name, a, b, c in _ATTRIBUTE.findall(attributes):
+                yield name.lower(), a or b or c
+
+    @classmethod
+    def _role_out(cls, tag: str, attributes: str) -> bool:
+        return any(name == "role" and value.lower() in _ROLES
+                   for name, value in cls._attributes(tag, attributes))
+
+    @classmethod
+    def _named_out(cls, tag: str, attributes: str) -> bool:
+        for name, value in cls._attributes(tag, attributes):
+            for token in value.split() if name in ("class", "id") else ():
+                parts = [p.lower() for p in _NAME_PART.findall(token)]
+                parts = [p for p in parts if not p.isdigit()]
+                if any(p in _PARTS for p in parts) and all(p in _PARTS or p in _BESIDE for p in parts):
                     return True
         return False
 
@@ -154,13 +173,35 @@ class _Page:
             self.texts.append((self._stack[-1], source[at:]))
 
     def finish(self) -> None:
-        """Pass the left-out mark down; a name alone never leaves out the page's head piece."""
-        for i in range(1, len(self.tag)):
-            own = self.out[i] and not (self.has_head[i] and self.tag[i] not in _LEFT_OUT)
-            if self.tag[i] == "header" and not self._inside(i, ("article", "main")):
+        """Pass the left-out mark down; a name alone never leaves out the page's head piece, nor
+        most of the page."""
+        n = len(self.tag)
+        plain = self._plain_chars() if any(self.named) else [0] * n
+        pieces = [0] * n  # article and main elements, each with those inside it
+        for i in range(n - 1, 0, -1):
+            pieces[i] += self.tag[i] in ("article", "main")
+            pieces[self.parent[i]] += pieces[i]
+        for i in range(1, n):
+            most = 2 * plain[i] > plain[0] and pieces[i] == pieces[0]
+            own = (self.out[i] or self.named[i] and not most) and not (
+                self.has_head[i] and self.tag[i] not in _LEFT_OUT)
+            if self.tag[i] in ("header", "dialog") and not self._inside(i, ("article", "main")):
                 own = True
             self.out[i] = own or self.out[self.parent[i]]
 
+    def _plain_chars(self) -> list[int]:
+        """Characters outside links and outside elements that their tag or role leaves out."""
+        n = len(self.tag)
+        skip, chars = [False] * n, [0] * n
+        for i in range(1, n):
+            skip[i] = skip[self.parent[i]] or self.out[i] or self.tag[i] == "a"
+        for node, text in self.texts:
+            if node >= 0 and not skip[node]:
+                chars[node] += len("".join(text.split()))
+        for i in range(n - 1, 0, -1):
+            chars[self.parent[i]] += chars[i]
+        return chars
+
     def _inside(self, node: int, tags) -> bool:
         node = self.parent[node]
         while node >= 0:

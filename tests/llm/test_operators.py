@@ -224,6 +224,19 @@ def test_extraction_of_pages_without_and_with_several_articles():
     assert text.startswith("Head many words") and text.count("first part") == 40 and "link" not in text
 
 
+def test_extraction_leaves_out_whole_names_only():
+    text = "<h2>Head</h2>" + "<p>words of the main text, and more of them.</p>" * 5
+    want = "Head" + " words of the main text, and more of them." * 5
+    for name in ("has-sidebar", "content-sidebar-wrap", "post share-enabled", "no-ads", "sidebar"):
+        page = f"<body><div class='{name}'>{text}</div><div class='ad-box'>Buy</div></body>"
+        assert extraction.main_text(page) == want, name
+    page = f"<body><div id='related-work'>{text}</div><div id=siteFooter>us</div><nav>n</nav></body>"
+    assert extraction.main_text(page) == want
+    page = ("<body><article><p>a</p><p class='notice'>b</p><p class='footer-note'>c</p><math><mi>x</mi></math>"
+            "<object>d</object><map>e</map><dialog>f</dialog><div id='comments'>" + "talk " * 99 + "</div></article></body>")
+    assert extraction.main_text(page) == "a b c x d e f"
+
+
 # --- toxicity -----------------------------------------------------------------------------
 
 def test_toxicity_learns_words_and_prefixes(spark, empty):
