@@ -42,11 +42,12 @@ class WordEncoder:
     The pattern that splits a text before BPE never joins a space with what stands before it
     unless that is white space too, so a text whose single spaces follow non-space text can
     be encoded piece by piece (a piece: a space and what follows it) and the pieces cached.
-    Other texts are encoded whole.  The ids equal those of the vocabulary's JSON form, with
-    the strings of special tokens read as ordinary text.
+    Other texts are encoded whole.  The strings of ``added`` become their ids and cut the text,
+    the longest first where several begin; the ids equal those of the vocabulary's JSON form,
+    without ``added`` those with the strings of special tokens read as ordinary text.
     """
 
-    def __init__(self, ranks_path: str):
+    def __init__(self, ranks_path: str, added: dict[str, int] | None = None):
         import base64
         import re
 
@@ -59,12 +60,21 @@ class WordEncoder:
             special_tokens={}).encode_ordinary
         self._after_space = re.compile(r"\s ").search
         self._cache: dict[str, bytes] = {}
+        self._added = {t: np.array([i], dtype="<u4").tobytes() for t, i in (added or {}).items()}
+        self._at_added = re.compile("(" + "|".join(
+            re.escape(t) for t in sorted(self._added, key=len, reverse=True)) + ")").split
 
     def _ids(self, text: str) -> bytes:
         return np.array(self._encode(text), dtype="<u4").tobytes()
 
     def __call__(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
+        if not any(t in text for t in self._added):
+            return self._plain(text)
+        parts = self._at_added(text)  # text, token, text, ...
+        return b"".join(self._added[x] if k % 2 else self._plain(x) for k, x in enumerate(parts))
+
+    def _plain(self, text: str) -> bytes:
         if self._after_space(text):
             return self._ids(text)
         cache, parts = self._cache, text.split(" ")
@@ -84,16 +94,34 @@ def default_ranks() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def added_tokens(json_path: str | None = None) -> dict[str, int]:
+    """String and id of the tokens a vocabulary's JSON form finds in any text."""
+    import json
+
+    import public_tokenizers
+    with open(json_path or public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        tokens = json.load(f)["added_tokens"]
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in tokens):
+        raise ValueError("added tokens that depend on the text around them are not supported")
+    return {t["content"]: t["id"] for t in tokens}
+
+
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
            ranks_path: str | None = None, capacity: int = CAPACITY,
-           with_ids: bool = False) -> DataFrame:
-    """One row per piece: ``id_col, piece, start, length, ids_crc32`` and, if wanted, ``ids``."""
+           with_ids: bool = False, added: dict[str, int] | None = None) -> DataFrame:
+    """One row per piece: ``id_col, piece, start, length, ids_crc32`` and, if wanted, ``ids``.
+
+    ``added``: strings that are one token wherever they stand; by default the vocabulary's, none
+    for other ranks."""
+    if added is None:
+        added = {} if ranks_path else added_tokens()
     ranks_path = ranks_path or default_ranks()
     end = np.array([END_ID], dtype="<u4").tobytes()
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        encode = process_state(f"encoder {ranks_path}", lambda: WordEncoder(ranks_path))
+        encode = process_state(f"encoder {ranks_path} {sorted(added.items())}",
+                               lambda: WordEncoder(ranks_path, added))
         col = columns_of(batch, ["_id", "_text"])
         row, number, start, length, crc, ids = [], [], [], [], [], []
         for i, text in enumerate(text_bytes(col["_text"])):

@@ -423,6 +423,20 @@ def test_encoder_equals_the_tokenizer_on_odd_spacing():
         assert np.frombuffer(encode(t), "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_added_tokens_are_read_as_the_tokenizer_does(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    r = random.Random(4)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>  y", "<|endoftext|"]
+    texts += ["".join(r.choice([" ", "  ", "\n", "a", "Bc", "1", "é", "'s", "<|", "<|endoftext|>"])
+                      for _ in range(r.randrange(30))) for _ in range(100)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.doc_id: np.frombuffer(x.ids, "<u4").tolist() for x in packing.pack_documents(df, with_ids=True).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == tok.encode(t, add_special_tokens=False).ids + [0], repr(t)
+
+
 def test_large_item_matching_keeps_every_piece():
     r = random.Random(9)
     for _ in range(30):
