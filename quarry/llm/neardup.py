@@ -2,10 +2,10 @@
 
 A document is its set of ``shingle``-word windows (of all its words if it has fewer).  Texts
 with the same word sequence form one representative with a multiplicity.  Each of ``trees``
-sorted prefix tries indexes the representatives by their own MinHash values; a node of a
-trie is a prefix.  Matching starts from the longest prefix and is shortened until the forest
-finds a pair at the similarity threshold with the target recall; documents that meet in a
-node of that depth are candidates.  A node of any size gives a star of candidate edges to its
+trees indexes the representatives by their own MinHash values; a node of a tree is a prefix.
+The forest is read at one fixed depth, the longest prefix at which it finds a pair at the
+similarity threshold with the target recall (``prefix_depth``, the same for all data);
+documents that meet in a node of that depth are candidates.  A node of any size gives a star of candidate edges to its
 smallest member, never all its pairs.  The stars' components gather what can be linked, and
 inside each component every pair of representatives is verified exactly, block against
 block, by intersection counts; only counts and a spanning forest of the links leave a task.
