@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import (chat, extraction, lattice, linededup, mixing, neardup, packing,
-                        quality, substring, toxicity)
+from quarry.llm import (chat, extraction, fingerprints, lattice, linededup, manifest, mixing,
+                        neardup, packing, quality, resampling, substring, toxicity)
 from quarry.llm.common import scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,3 +165,129 @@ def op9_ngram_jaccard_join(spark, sf_dir):
 def op10_source_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "source", "size", "source_size", "target", "taken")
+
+
+@query
+def op11_merkle_manifest(spark, sf_dir):
+    """Every document's proof in the manifest; a third of the rows are found tampered with."""
+    third = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    return manifest.manifest(table(spark, sf_dir, "documents"), third,
+                             F.translate("text", ascii_uppercase, ascii_lowercase))
+
+
+def _crc32(codes: str) -> str:
+    """CRC-32 of a list of byte values, bit by bit: eight steps a byte, the first takes it in."""
+    return f"""xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform({codes},
+      lambda b: [b::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+      lambda c, b: xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1))), 4294967295)"""
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value})::VARCHAR || ':' || {value}, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_field(v) for v in (
+        "doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text)) + ")"
+
+
+_DIGITS = _crc32("list_transform(string_split(doc_id::VARCHAR, ''), lambda d: ascii(d))")
+_UP = """lvl + 1, tree, place // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY place))
+  FROM {0} WHERE n > 1 GROUP BY lvl, tree, place // 8, (n + 7) // 8"""
+_BESIDE = """SELECT a.lvl, a.tree, a.place,
+    coalesce(string_agg(b.digest, '' ORDER BY b.place) FILTER (WHERE b.place < a.place), '') AS l,
+    coalesce(string_agg(b.digest, '' ORDER BY b.place) FILTER (WHERE b.place > a.place), '') AS r
+  FROM {0} a LEFT JOIN {0} b ON a.lvl = b.lvl AND a.tree = b.tree AND a.place // 8 = b.place // 8
+    AND a.place <> b.place WHERE a.n > 1 GROUP BY a.lvl, a.tree, a.place"""
+_WALK = """SELECT w.row, w.lvl + 1, w.tree, w.place // 8, sha256(s.l || w.acc || s.r),
+    w.sibs || s.l || s.r FROM {0} w JOIN {1} s USING (lvl, tree, place)"""
+ORACLE_SQL["op11_merkle_manifest"] = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, lang, {_leaf('text')} AS leaf,
+    CASE WHEN {_DIGITS} % 3 = 0
+         THEN {_leaf(f"translate(text, '{ascii_uppercase}', '{ascii_lowercase}')")}
+         ELSE {_leaf('text')} END AS found FROM documents),
+placed AS (
+  SELECT *, row_number() OVER (ORDER BY lang NULLS FIRST, doc_id NULLS FIRST, leaf) AS row,
+    dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+    count(*) OVER (PARTITION BY lang) AS n FROM leaves),
+nodes(lvl, tree, place, n, digest) AS (
+  SELECT 0, tree, place, n, leaf FROM placed UNION ALL SELECT {_UP.format('nodes')}),
+subroots AS (SELECT tree, digest FROM nodes WHERE n = 1),
+last(lvl, tree, place, n, digest) AS (
+  SELECT 0, 0, tree, count(*) OVER (), digest FROM subroots UNION ALL SELECT {_UP.format('last')}),
+beside AS ({_BESIDE.format('nodes')}),
+beside_last AS ({_BESIDE.format('last')}),
+walk(row, lvl, tree, place, acc, sibs) AS (
+  SELECT row, 0, tree, place, found, '' FROM placed UNION ALL {_WALK.format('walk', 'beside')}),
+reached AS (SELECT row, arg_max(acc, lvl) AS acc, arg_max(sibs, lvl) AS sibs FROM walk GROUP BY row),
+climb(row, lvl, tree, place, acc, sibs) AS (
+  SELECT row, 0, 0, tree, reached.acc, reached.sibs FROM reached JOIN placed USING (row)
+  UNION ALL {_WALK.format('climb', 'beside_last')}),
+done AS (SELECT row, arg_max(acc, lvl) AS acc, arg_max(sibs, lvl) AS sibs FROM climb GROUP BY row)
+SELECT doc_id, leaf, s.digest AS subroot, r.digest AS root, sha256(done.sibs) AS proof_sha256,
+  done.acc AS folded_root, done.acc = r.digest AS verified
+FROM placed JOIN done USING (row) JOIN subroots s USING (tree), (SELECT digest FROM last WHERE n = 1) r"""
+
+
+@query
+def op12_document_fingerprints(spark, sf_dir):
+    """Merkle fingerprints of every whole text and of its edit with the next document."""
+    return fingerprints.edit_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_importance_resampling(spark, sf_dir):
+    """A tenth of the documents, drawn towards the word distribution of the benchmark texts."""
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_HEX = "instr('0123456789ABCDEF', substr(hex(word), i::INT, 1)) - 1"
+_BYTES = (f"list_transform(generate_series(1, length(hex(word)), 2), lambda i: 16 * ({_HEX}) + "
+          + _HEX.replace("i::INT", "i::INT + 1") + ")")
+
+
+def _words(name: str) -> str:
+    lower = f"translate(coalesce(text, ''), '{ascii_uppercase}', '{ascii_lowercase}')"
+    return (f"SELECT *, unnest(regexp_extract_all({lower}, "
+            rf"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM {name}")
+
+
+ORACLE_SQL["op13_importance_resampling"] = f"""
+WITH docs AS (SELECT doc_id, text, row_number() OVER () AS row FROM documents),
+source AS (SELECT row, word, count(*) AS c FROM ({_words('docs')}) GROUP BY row, word),
+aim AS (SELECT word, count(*) AS c FROM ({_words('benchmark')}) GROUP BY word),
+hashed AS (
+  SELECT word, {_crc32(_BYTES)} % 10000 AS bucket
+  FROM (SELECT word FROM source UNION SELECT word FROM aim)),
+s AS (SELECT bucket, sum(c) AS s FROM source JOIN hashed USING (word) GROUP BY bucket),
+t AS (SELECT bucket, sum(c) AS t FROM aim JOIN hashed USING (word) GROUP BY bucket),
+gains AS (
+  SELECT h.bucket, CAST(floor(1000 * ln(
+      (coalesce(t, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(s), 0) FROM s) + 10000)::DOUBLE
+      / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(t), 0) FROM t) + 10000)::DOUBLE))) AS BIGINT) AS gain
+  FROM (SELECT DISTINCT bucket FROM hashed) h LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket)),
+weighed AS (
+  SELECT row, CAST(sum(c) AS BIGINT) AS n, CAST(sum(c * gain) AS BIGINT) AS total
+  FROM source JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY row),
+drawn AS (
+  SELECT doc_id, coalesce(n, 0) AS n_features,
+    CASE WHEN n IS NULL THEN 0
+         ELSE total // n - CASE WHEN total < 0 AND total % n <> 0 AND total // n * n > total THEN 1 ELSE 0 END
+         END AS weight,
+    sha256('2024:' || coalesce(doc_id::VARCHAR, '')) AS digest
+  FROM docs LEFT JOIN weighed USING (row)),
+h AS (
+  SELECT *, list_reduce(list_transform(generate_series(1, 8), lambda i:
+      instr('0123456789abcdef', substr(digest, i::INT, 1))::BIGINT - 1), lambda a, b: 16 * a + b) AS h
+  FROM drawn),
+scored AS (
+  SELECT doc_id, n_features, CAST(weight AS BIGINT) AS weight,
+    CAST(weight + floor(-1000 * ln(-ln((h + 0.5) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM h),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+    count(*) FILTER (WHERE n_features >= 20) OVER () * 10 // 100 AS most FROM scored)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN n_features >= 20 AND place <= most THEN place END AS rank
+FROM ranked"""
