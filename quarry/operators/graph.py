@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import adjacency_neighbour_count, adjacency_tokens
+from quarry.operators.lineage import write_bucketed, write_table
+from quarry.operators.skew import block_counts, block_of
 
 # Node colours of the breadth-first search, lightest to darkest,
 # the distance of an unreached node and the default round cap.
@@ -85,6 +87,66 @@ def _start_frame(spark, start: int) -> DataFrame:
     return spark.range(start, start + 1).select("id", F.lit(0).alias("distance"))
 
 
+def _buckets(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _edge_table(edge_table: DataFrame, block_edges: int) -> tuple[DataFrame, DataFrame]:
+    """Edges as a table bucketed by ``(src, block)``, and the sources of more than
+    one block (``_hub, _blocks``).
+
+    One write: a source's edge count and its edges come from the same aggregate, whose
+    exchange Spark reuses within the plan.  A source with more than ``block_edges`` edges is
+    cut into blocks by destination before anything is gathered by source."""
+    raw = edge_table.select("src", "dst", "n")
+    blocks = F.coalesce(F.col("_blocks"), F.lit(1))
+    e = write_bucketed(
+        raw.join(block_counts(raw, "src", block_edges), "src", "left")
+        .select("src", "dst", "n", blocks.alias("_blocks"), block_of(F.col("dst"), blocks).alias("_block")),
+        "bfs-edges", ["src", "_block"], _buckets(raw))
+    hubs = write_table(e.where("_blocks > 1").select(F.col("src").alias("_hub"), "_blocks").distinct(),
+                       "bfs-hubs")
+    return e.drop("_blocks"), hubs
+
+
+def _reach(frontier: DataFrame, e: DataFrame, hubs: DataFrame) -> DataFrame:
+    """The frontier's edges (``src, dst, n``); only the frontier moves, a hub once per block,
+    and the edges stream past its hash tables, unsorted."""
+    last = F.coalesce(F.col("_blocks"), F.lit(1)) - 1
+    asked = (frontier.select("id").join(hubs, F.col("id") == F.col("_hub"), "left")
+             .select("id", F.explode(F.sequence(F.lit(0), last)).alias("_at")))
+    return asked.hint("shuffle_hash").join(e, (asked["id"] == e["src"]) & (asked["_at"] == e["_block"]))
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def _level(reached: DataFrame, levels: list[DataFrame], keep=None) -> DataFrame:
+    """The next level as a table bucketed by node: ``id, parents, edge_hits, _seen``.
+
+    The visited check stays above the per-destination aggregate: as a left join + IS NULL it
+    is not pushed into the edge scan.  Every level stays bucketed by node where it was
+    written, and the union of the visited ones is read in place: neither they nor the
+    aggregate move for the check.  ``keep``: rows that stay although visited."""
+    # a source's blocks are split by destination, so a parent counts once
+    cand = (reached.groupBy(F.col("dst").alias("id"))
+            .agg(F.count(F.lit(1)).alias("parents"), F.sum("n").alias("edge_hits")))
+    seen = _union([lv.select(F.col("id").alias("_seen")) for lv in levels])
+    fresh = F.col("_seen").isNull()
+    return write_bucketed(cand.join(seen, cand["id"] == seen["_seen"], "left")
+                          .where(fresh if keep is None else fresh | keep),
+                          "bfs-level", ["id"], _buckets(reached))
+
+
+def _start_level(spark, node: int) -> DataFrame:
+    start = _start_frame(spark, node).select("id")
+    return write_bucketed(start, "bfs-level", ["id"], _buckets(start))
+
+
 def bfs(edge_table: DataFrame, start: int, target: int | None = None,
         max_rounds: int | None = None, block_edges: int = 1_000_000
         ) -> tuple[DataFrame, dict | None]:
@@ -100,72 +162,93 @@ def bfs(edge_table: DataFrame, start: int, target: int | None = None,
     only through such an edge, never as zero hops.
 
     The edges of a source are cut into blocks of about ``block_edges`` by
-    destination; the edge table is partitioned once by ``(src, block)``, sorted
-    and checkpointed into the shared folder (which keeps the partitioning).
-    Each round: frontier (a hub repeated once per block) ⋈ edges, merge-joined,
-    so only the frontier moves and partitions without frontier rows end without
-    reading their edges → per-``dst`` counts (combined map-side) → check
-    against the visited nodes.  Each round's level is written as a table in the
-    shared folder, so lineage stays one round long and a lost executor never
-    replays earlier rounds.
+    destination; the edges are written once, as a table bucketed by
+    ``(src, block)`` in the shared folder.
+    Each round: frontier (a hub repeated once per block) ⋈ edges, hash-joined in
+    place, so only the frontier moves → per-``dst`` counts (combined map-side) → check
+    against the visited nodes, which stay where they are (``_level``).  Each
+    round's level is a table in the shared folder, so lineage stays one round
+    long and a lost executor never replays earlier rounds.
     """
-    from quarry.operators.lineage import cut, write_table
-    from quarry.operators.skew import block_counts, block_of
-
     spark = edge_table.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    raw = write_table(edge_table.select("src", "dst", "n"), "bfs-edges")
-    hubs = write_table(block_counts(raw, "src", block_edges), "bfs-hubs")
-    block = block_of(F.col("dst"), F.coalesce(F.col("_blocks"), F.lit(1)))
-    e = cut(raw.join(hubs, "src", "left").select("src", "dst", "n", block.alias("_block"))
-               .repartition(parts, "src", "_block").sortWithinPartitions("src", "_block"))
-    hubs = hubs.select(F.col("src").alias("_hub"), "_blocks")
-    levels = [_start_frame(spark, start)]
+    e, hubs = _edge_table(edge_table, block_edges)
+    levels = [_start_level(spark, start)]
     hit = None
     rounds = 0
+    is_target = None if target is None else F.col("id") == F.lit(target)
     while max_rounds is None or rounds < max_rounds:
         rounds += 1
-        last = F.coalesce(F.col("_blocks"), F.lit(1)) - 1
-        frontier = (levels[-1].select("id").join(hubs, F.col("id") == F.col("_hub"), "left")
-                    .select("id", F.explode(F.sequence(F.lit(0), last)).alias("_at")))
-        reached = frontier.hint("merge").join(
-            e, (frontier["id"] == e["src"]) & (frontier["_at"] == e["_block"]))
-        visited = levels[0].select("id")
-        for lv in levels[1:]:
-            visited = visited.unionByName(lv.select("id"))
-        # The visited check stays above the per-destination aggregate: as a
-        # left join + IS NULL it is not pushed into the edge scan (an anti
-        # join would be, and at scale would reshuffle every edge by
-        # destination each round); the aggregate's output is already
-        # partitioned by node id, so only the visited ids move.  The target's
-        # row is kept even if visited: it can then only be the start.
-        # A source's blocks are split by destination, so a parent counts once.
-        cand = (reached.groupBy(F.col("dst").alias("id"))
-                .agg(F.count(F.lit(1)).alias("parents"), F.sum("n").alias("edge_hits")))
-        seen = visited.select(F.col("id").alias("_seen"))
-        is_target = F.lit(False) if target is None else F.col("id") == F.lit(target)
-        found = write_table(
-            cand.join(seen, cand["id"] == seen["_seen"], "left")
-            .where(F.col("_seen").isNull() | is_target)
-            .withColumn("distance", F.lit(rounds)), "bfs-level")
+        # the target's row is kept even if visited: it can then only be the start
+        found = _level(_reach(levels[-1], e, hubs), levels, is_target)
         # one small job over the new level: its size and the target's row
+        at = F.lit(False) if is_target is None else is_target
         row = found.agg(F.count_if(F.col("_seen").isNull()).alias("size"),
-                        F.max(F.when(is_target, F.col("parents"))).alias("parents"),
-                        F.max(F.when(is_target, F.col("edge_hits"))).alias("hits")).first()
+                        F.max(F.when(at, F.col("parents"))).alias("parents"),
+                        F.max(F.when(at, F.col("edge_hits"))).alias("hits")).first()
         if row["parents"]:
             hit = {"hops": rounds, "parents": row["parents"], "edge_hits": row["hits"]}
         if row["size"] == 0:
             break
-        levels.append(found.where(F.col("_seen").isNull()).drop("_seen"))
+        levels.append(found.where(F.col("_seen").isNull()).select("id"))
         if hit is not None:
             break
-    out = levels[0]
-    for lv in levels[1:]:
-        out = out.unionByName(lv.select("id", "distance"))
+    out = _union([lv.withColumn("distance", F.lit(d)) for d, lv in enumerate(levels)])
     color = F.when(F.col("distance") < F.lit(rounds), F.lit(BLACK)).otherwise(F.lit(GRAY))
     return out.withColumn("color", color), hit
 
 
+def bfs_hit(edge_table: DataFrame, start: int, target: int, symmetric: bool = False,
+            max_rounds: int | None = None, block_edges: int = 1_000_000) -> dict | None:
+    """The hit report of ``bfs`` by search from both ends: ``{hops, parents, edge_hits,
+    expanded}`` (``expanded``: frontier nodes whose edges were read), None if not reached.
+
+    The backward search reads the edges by destination, a second table laid out like the
+    first; ``symmetric`` says that every edge also runs the other way, as often, and one table
+    serves both.  Each round expands the smaller frontier.  The first time the two frontiers
+    share a node the path's length is known; from the shared nodes the backward levels lead
+    to those that stand one step before the target on a shortest path, which are the parents.
+    ``start = target`` has no two ends and goes to ``bfs``.
+    """
+    spark = edge_table.sparkSession
+    if start == target:
+        hit = bfs(edge_table, start, target, max_rounds, block_edges)[1]
+        return None if hit is None else hit | {"expanded": None}
+    ahead = _edge_table(edge_table, block_edges)
+    back = ahead if symmetric else _edge_table(
+        edge_table.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n"), block_edges)
+    tables, ends = (ahead, back), (start, target)
+    levels = [[_start_level(spark, node)] for node in ends]
+    sizes, expanded = [1, 1], 0
+    while max_rounds is None or len(levels[0]) + len(levels[1]) - 2 < max_rounds:
+        side = int(sizes[1] < sizes[0])
+        found = _level(_reach(levels[side][-1], *tables[side]), levels[side]).select("id")
+        expanded += sizes[side]
+        other = levels[1 - side][-1].select(F.col("id").alias("_other"))
+        row = found.join(other, found["id"] == other["_other"], "left").agg(
+            F.count(F.lit(1)).alias("size"), F.count("_other").alias("met")).first()
+        if row["size"] == 0:
+            return None
+        levels[side].append(found)
+        sizes[side] = row["size"]
+        if row["met"]:
+            break
+    else:
+        return None
+    forward, backward = levels
+    if len(backward) == 1:
+        parents = forward[-2]
+    else:  # the shared nodes, then step by step along the backward levels
+        parents = forward[-1].join(backward[-1], "id", "left_semi")
+        for level in reversed(backward[1:-1]):
+            steps = _reach(parents, *ahead).select(F.col("dst").alias("id")).distinct()
+            parents = steps.join(level, "id", "left_semi")
+    before = _reach(levels[1][0], *back).select(F.col("dst").alias("id"), "n")
+    row = before.join(parents, "id", "left_semi").agg(
+        F.count(F.lit(1)).alias("parents"), F.sum("n").alias("hits")).first()
+    return {"hops": len(forward) + len(backward) - 2, "parents": row["parents"],
+            "edge_hits": row["hits"], "expanded": expanded}
+
+
 def with_unreached(levels: DataFrame, lines: DataFrame, col: str = "value",
                    trim: bool = True) -> DataFrame:
     """Add every node that has a line but was not reached, with distance 9999
@@ -214,3 +297,22 @@ def merge_node_states(states: DataFrame) -> DataFrame:
     color = (F.when(F.col("_rank") == 2, F.lit(BLACK))
               .when(F.col("_rank") == 1, F.lit(GRAY)).otherwise(F.lit(WHITE)))
     return merged.select("id", "n_connections", "distance", color.alias("color"))
+
+
+def search_states(lines: DataFrame, start: int, col: str = "value", trim: bool = True,
+                  max_rounds: int | None = None) -> DataFrame:
+    """The state-passing search run to its fixed point: ``id, n_connections, distance, color``
+    of every node with a line or reached.
+
+    The original loop passes every node's state through every round's map and reduce, changed
+    or not.  Here the evaluation is semi-naive: only nodes whose state changed in a round
+    expand in the next (``bfs``), and as merging is a minimum, a maximum and a sum, the
+    unchanged states and those of all rounds are merged once, at the end.
+    """
+    levels, _ = bfs(edges(lines, col, trim), start, max_rounds=max_rounds)
+    own = parse_lines(lines, col, trim).select(
+        "id", F.col("n_tokens").cast("bigint").alias("n_connections"),
+        F.lit(UNREACHED).alias("distance"), F.lit(0).alias("_rank"))
+    reached = levels.select("id", F.lit(0).cast("bigint").alias("n_connections"), "distance",
+                            F.when(F.col("color") == BLACK, 2).otherwise(1).alias("_rank"))
+    return merge_node_states(own.unionByName(reached))

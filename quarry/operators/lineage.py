@@ -12,15 +12,45 @@ planner choose a broadcast for small results.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from quarry.session import checkpoint_dir
 
 
 def scratch_path(df_or_spark, name: str) -> str:
     spark = getattr(df_or_spark, "sparkSession", df_or_spark)
-    return f"{checkpoint_dir(spark).rstrip('/')}/quarry-tables/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/quarry-tables/{name}-{uuid.uuid4().hex}"
+    for scope in _scopes:
+        scope.append(path)
+    return path
+
+
+#: Open ``scratch_scope`` blocks, each with the paths handed out inside it.
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Removes the tables written inside the block when it ends, whatever file system the
+    shared folder is on.  Results that still read them must be consumed inside it."""
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield
+    finally:
+        _scopes[:] = [s for s in _scopes if s is not paths]
+        jvm = spark._jvm
+        for path in paths:
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+            spark.sql(f"DROP TABLE IF EXISTS `{_table_name(path)}`")
+
+
+def _table_name(path: str) -> str:
+    return "quarry_" + path.rsplit("-", 1)[-1]
 
 
 def write_table(df: DataFrame, name: str) -> DataFrame:
@@ -31,6 +61,19 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def write_bucketed(df: DataFrame, name: str, cols: Sequence[str], buckets: int) -> DataFrame:
+    """Materialise ``df`` as a table bucketed and sorted by ``cols``, one file per bucket.
+
+    Unlike a checkpoint (whose adaptive plan does not tell its partitioning) the table read
+    back is known to be partitioned by ``cols`` into ``buckets``: a join on these columns reads
+    it in place, and so does one with the union of several such tables."""
+    path = scratch_path(df, name)
+    table = _table_name(path)
+    (df.repartition(buckets, *cols).sortWithinPartitions(*cols).write.bucketBy(buckets, *cols)
+       .sortBy(*cols).option("path", path).saveAsTable(table))
+    return df.sparkSession.table(table)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into ``spark.checkpoint.dir`` (keeps the physical
     partitioning of ``df``)."""

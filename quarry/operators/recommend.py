@@ -1,11 +1,21 @@
-"""Alternating-least-squares recommendations (MLlib)."""
+"""Alternating-least-squares recommendations (MLlib).
+
+Besides training and MLlib's exhaustive top-n this module checks a model against what it must
+satisfy (``normal_equation_residuals``, ``prediction_error``) and finds the exact top-n without
+scoring every item (``recommend_pruned``).
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.operators.lineage import write_table
 from quarry.session import checkpoint_dir
 
 # Fixed values of the original job: explicit feedback, 5 iterations,
@@ -53,19 +63,188 @@ def dense_index(ratings: DataFrame, col: str, alias: str) -> DataFrame:
         col, (F.col("_dense") - 1).cast("int").alias(alias))
 
 
+def dense_ratings(ratings: DataFrame, user: str, item: str, rating: str
+                  ) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(_u, _i, _r)`` ratings on dense ids, and the user and item indexes
+    (``user → _u``, ``item → _i``).  The ratings are stored first: the two
+    indexes and the join read the table, not the jobs behind the ratings."""
+    ratings = write_table(ratings.select(user, item, F.col(rating).cast("float").alias("_r")),
+                          "als-ratings")
+    uidx = write_table(dense_index(ratings, user, "_u"), "als-users")
+    iidx = write_table(dense_index(ratings, item, "_i"), "als-items")
+    indexed = ratings.join(uidx, user).join(iidx, item).select("_u", "_i", "_r")
+    return write_table(indexed, "als-indexed"), uidx, iidx
+
+
 def recommend_any_ids(ratings: DataFrame, users: DataFrame, user: str, item: str,
                       rating: str, n: int = TOP_N, seed: int = 42) -> DataFrame:
     """Train ALS and recommend for ``users`` whatever the id type: ids are
     densely re-indexed for MLlib and mapped back, always, so the same ratings
     train the same model whatever the keys' range.  Returns ``user, rank, item,
     rating`` with the original ids."""
-    uidx = dense_index(ratings, user, "_u")
-    iidx = dense_index(ratings, item, "_i")
-    indexed = (ratings.join(uidx, user).join(iidx, item)
-                      .select("_u", "_i", F.col(rating).cast("float").alias("_r")))
+    indexed, uidx, iidx = dense_ratings(ratings, user, item, rating)
     model = fit_als(indexed, "_u", "_i", "_r", seed=seed)
     wanted = users.select(user).join(uidx, user).select("_u")
     recs = recommend(model, wanted, n)
     # n rows per requested user: no hint, the requested set may be large;
     # Spark's size check / AQE broadcasts it when it is small
     return recs.join(uidx, "_u").join(iidx, "_i").select(user, "rank", item, "rating")
+
+
+# --- evidence about a model ---------------------------------------------------
+
+def normal_equation_residuals(model: ALSModel, ratings: DataFrame, rating: str,
+                              reg_param: float = REG_PARAM) -> DataFrame:
+    """Per user how far the factors are from solving the user's regularised least squares:
+    ``user, n_ratings, residual``.
+
+    ALS ends with the users: given the item factors ``v``, user factors ``x`` solve
+    ``(sum v v' + reg * n * I) x = sum r v`` over the user's n ratings.  Both sums are plain
+    aggregates of products, k (k + 1) / 2 + k of them, combined map-side, so a user with any
+    number of ratings costs one partial row per task.  ``residual`` is the largest component
+    of ``A x - b`` over the largest of ``b``.
+    """
+    user, item, k = model.getUserCol(), model.getItemCol(), model.rank
+    v = model.itemFactors.select(F.col("id").alias("_item"), F.col("features").alias("_v"))
+    rows = ratings.join(v, ratings[item] == v["_item"]).select(
+        F.col(user).alias("_user"), F.col(rating).cast("double").alias("_r"),
+        *(F.col("_v")[j].cast("double").alias(f"_v{j}") for j in range(k)))
+    sums = rows.groupBy("_user").agg(
+        F.count(F.lit(1)).alias("n_ratings"),
+        *(F.sum(F.col(f"_v{j}") * F.col(f"_v{m}")).alias(f"_g{j}_{m}")
+          for j in range(k) for m in range(j, k)),
+        *(F.sum(F.col("_r") * F.col(f"_v{j}")).alias(f"_b{j}") for j in range(k)))
+    x = model.userFactors.select(F.col("id").alias("_id"), F.col("features").alias("_x"))
+    both = sums.join(x, sums["_user"] == x["_id"])
+
+    def component(j: int) -> Column:
+        total = F.lit(reg_param) * F.col("n_ratings") * F.col("_x")[j] - F.col(f"_b{j}")
+        for m in range(k):
+            total = total + F.col(f"_g{min(j, m)}_{max(j, m)}") * F.col("_x")[m]
+        return F.abs(total)
+    off = F.array_max(F.array(*(component(j) for j in range(k))))
+    size = F.array_max(F.array(*(F.abs(F.col(f"_b{j}")) for j in range(k))))
+    return both.select(F.col("_user").alias(user), "n_ratings",
+                       (off / F.greatest(size, F.lit(1e-30))).alias("residual"))
+
+
+def prediction_error(model: ALSModel, held_out: DataFrame, rating: str, mean: float) -> DataFrame:
+    """One row over the held-out ratings whose user and item the model knows: ``n``, ``rmse``
+    of the model and ``rmse_mean`` of always predicting ``mean``."""
+    user, item = model.getUserCol(), model.getItemCol()
+    x = model.userFactors.select(F.col("id").alias(user), F.col("features").alias("_x"))
+    v = model.itemFactors.select(F.col("id").alias(item), F.col("features").alias("_v"))
+    dot = F.aggregate(F.zip_with("_x", "_v", lambda a, b: a.cast("double") * b.cast("double")),
+                      F.lit(0.0), lambda total, p: total + p)
+    r = F.col(rating).cast("double")
+    known = held_out.join(x, user).join(v, item).select(
+        F.pow(dot - r, F.lit(2)).alias("_e"), F.pow(r - F.lit(mean), F.lit(2)).alias("_m"))
+    return known.agg(F.count(F.lit(1)).alias("n"), F.sqrt(F.avg("_e")).alias("rmse"),
+                     F.sqrt(F.avg("_m")).alias("rmse_mean"))
+
+
+# --- exact top-n without scoring every item -------------------------------------
+
+BLOCK_ITEMS = 1024
+CHUNK_USERS = 1024
+#: What float32 dot products may add to the Cauchy-Schwarz bound.
+_SLACK = 1e-4
+
+
+def _norm_of(features: str) -> Column:
+    return F.sqrt(F.aggregate(F.col(features), F.lit(0.0),
+                              lambda total, f: total + f.cast("double") * f.cast("double")))
+
+
+def _user_chunks(users: DataFrame, chunk_users: int) -> DataFrame:
+    """Users with equal ``_last`` packed into rows of about ``chunk_users``: ``_last, members``."""
+    counts = users.groupBy("_last").agg(F.ceil(F.count(F.lit(1)) / chunk_users).alias("_chunks"))
+    return (users.join(counts, "_last")
+            .withColumn("_chunk", F.pmod(F.xxhash64("_user"), F.col("_chunks")))
+            .groupBy("_last", "_chunk").agg(F.collect_list(F.struct("_user", "_x")).alias("members")))
+
+
+def _score_pairs(pairs: DataFrame, n: int) -> DataFrame:
+    """Top ``n`` items of each user among one block, for every (chunk of users, block) row."""
+    def matrix(cell, name):
+        values = cell.values.field(name)
+        return np.asarray(values.flatten(), dtype=np.float32).reshape(len(values), -1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            members = batch.column(batch.schema.get_field_index("members"))
+            items = batch.column(batch.schema.get_field_index("items"))
+            for users, block in zip(members, items):
+                ids = np.asarray(block.values.field("_item"))
+                scores = matrix(users, "_x") @ matrix(block, "_v").T
+                if scores.shape[1] > n:  # ties with the n-th best stay in
+                    row, col = np.nonzero(scores >= np.partition(scores, -n, axis=1)[:, -n, None])
+                else:
+                    row, col = (x.ravel() for x in np.indices(scores.shape))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.asarray(users.values.field("_user"))[row], pa.int32()),
+                     pa.array(ids[col], pa.int32()), pa.array(scores[row, col], pa.float32())],
+                    names=["_user", "_item", "_score"])
+    return pairs.select("members", "items").mapInArrow(run, "_user int, _item int, _score float")
+
+
+def recommend_pruned(model: ALSModel, users: DataFrame, n: int = TOP_N,
+                     block_items: int = BLOCK_ITEMS, chunk_users: int = CHUNK_USERS
+                     ) -> tuple[DataFrame, DataFrame]:
+    """The exact top-``n`` of ``recommend`` (user, rank, item, rating; ties to the smaller
+    item) without the product of all users and items, and a report of what was scored.
+
+    Items are sorted by the length of their factors (``row_index``) and cut into blocks.  Every
+    user first scores the block of the longest items, whose n-th best score is a floor; by
+    Cauchy-Schwarz an item reaches it only if its length times the user's does, so the user
+    needs just the blocks up to the last one whose longest item does.  Users with the same last
+    block are packed into chunks, chunks joined with their blocks by block number, and one
+    task scores one chunk against one block at a time.  The longest length of each block, one
+    number per ``block_items`` items, is the only thing the driver sees.
+
+    The report has one row: ``users``, ``blocks`` (of items), ``pairs`` (user, block) of an
+    exhaustive search and the ``scored`` ones.
+    """
+    from quarry.operators.splits import row_index
+    user_col, item_col = model.getUserCol(), model.getItemCol()
+    lengths = model.itemFactors.select(F.col("id").alias("_item"), F.col("features").alias("_v"),
+                                       (-_norm_of("features")).alias("_down"))
+    placed = row_index(lengths, ["_down", "_item"], "_at")
+    blocks = write_table(
+        placed.withColumn("_block", F.floor((F.col("_at") - 1) / block_items).cast("int"))
+        .groupBy("_block").agg(F.max(-F.col("_down")).alias("longest"),
+                               F.collect_list(F.struct("_item", "_v")).alias("items")), "als-blocks")
+    longest = np.array([r["longest"] for r in
+                        blocks.select("_block", "longest").orderBy("_block").collect()])
+    wanted = users.select(F.col(user_col).alias("_user")).distinct()
+    known = write_table(
+        wanted.join(model.userFactors.select(F.col("id").alias("_user"), F.col("features").alias("_x")),
+                    "_user").withColumn("_last", F.lit(0)), "als-wanted")
+    first = _user_chunks(known, chunk_users).withColumn("_block", F.explode(F.sequence("_last", "_last")))
+    head = write_table(_score_pairs(first.join(blocks, "_block"), n), "als-head")
+    # ties may leave more than n rows, all at the floor
+    floor = head.groupBy("_user").agg(F.min("_score").alias("_floor"), F.count(F.lit(1)).alias("_n"))
+
+    @F.arrow_udf("int")
+    def last_block(floors: pa.Array, norms: pa.Array, counts: pa.Array) -> pa.Array:
+        floors, norms = np.asarray(floors, dtype=np.float64), np.asarray(norms)
+        reach = floors - _SLACK * (np.abs(floors) + norms * (longest[0] if len(longest) else 0.0) * 1e-2)
+        need = np.where((np.asarray(counts) < n) | (reach <= 0), -np.inf,
+                        reach / np.maximum(norms, 1e-30))
+        # blocks are sorted by falling length: count those at least as long as needed
+        return pa.array(len(longest) - np.searchsorted(longest[::-1], need, side="left") - 1, pa.int32())
+    rest = write_table(
+        known.drop("_last").join(floor, "_user")
+        .withColumn("_last", last_block("_floor", _norm_of("_x"), "_n")), "als-limits")
+    more = (_user_chunks(rest.where("_last >= 1"), chunk_users)
+            .withColumn("_block", F.explode(F.sequence(F.lit(1), F.col("_last")))))
+    scored = head.unionByName(_score_pairs(more.join(blocks, "_block"), n))
+    best = Window.partitionBy("_user").orderBy(F.desc("_score"), F.asc("_item"))
+    top = scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= n).select(
+        F.col("_user").alias(user_col), "rank", F.col("_item").alias(item_col),
+        F.col("_score").alias("rating"))
+    report = rest.agg(
+        F.count(F.lit(1)).alias("users"), F.lit(len(longest)).cast("long").alias("blocks"),
+        (F.count(F.lit(1)) * len(longest)).alias("pairs"),
+        F.coalesce(F.sum(F.greatest(F.col("_last"), F.lit(0)) + 1), F.lit(0)).cast("long").alias("scored"))
+    return top, report

@@ -8,10 +8,11 @@ strength is the number of such users.  Ratings must hold one row per
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import cosine_score
+from quarry.operators.lineage import write_table
 from quarry.operators.skew import block_tags
 
 
@@ -45,9 +46,10 @@ def item_pairs(ratings: DataFrame, user: str = "user", item: str = "item",
                        "strength")
 
 
-def similar_items(ratings: DataFrame, item_id: int, min_score: float, min_strength: float,
+def similar_items(ratings: DataFrame, item_id, min_score: float, min_strength: float = 0,
                   k: int = 10, user: str = "user", item: str = "item", rating: str = "rating",
-                  literal_precedence: bool = False, score_digits: int | None = None) -> DataFrame:
+                  literal_precedence: bool = False, score_digits: int | None = None,
+                  min_share: float | None = None) -> DataFrame:
     """The ``k`` items most similar to ``item_id``: ``item, score, strength``.
 
     Only pairs that contain ``item_id`` matter, so instead of the full pair
@@ -57,8 +59,10 @@ def similar_items(ratings: DataFrame, item_id: int, min_score: float, min_streng
     Default rule: ``score > min_score and strength > min_strength`` (strict).
     ``literal_precedence=True`` reproduces ``a == id || b == id && s > t && n > c``:
     when ``item_id`` is the smaller item of the pair every pair passes, the
-    thresholds only apply when it is the larger one.  Ordered by score, then
-    strength (both descending), then item id.
+    thresholds only apply when it is the larger one.  ``min_share`` asks for more than
+    that share of the queried item's raters instead of a fixed strength, so one threshold
+    serves tables of every size.  Ordered by score, then strength (both descending), then
+    item id.
     """
     r = _norm(ratings, user, item, rating)
     raters = r.where(F.col("i") == F.lit(item_id)).select("u", F.col("r").alias("x"))
@@ -69,6 +73,8 @@ def similar_items(ratings: DataFrame, item_id: int, min_score: float, min_streng
         F.count(F.lit(1)).alias("strength"))
     score = cosine_score(F.col("_xy"), F.col("_xx"), F.col("_yy"))
     scored = sums.select("item", score.alias("score"), "strength")
+    if min_share is not None:
+        min_strength = min_share * raters.count()
     passes = (F.col("score") > F.lit(min_score)) & (F.col("strength") > F.lit(min_strength))
     if literal_precedence:
         passes = (F.col("item") > F.lit(item_id)) | passes
@@ -77,3 +83,68 @@ def similar_items(ratings: DataFrame, item_id: int, min_score: float, min_streng
     if score_digits is not None:  # thresholds and order hold for the raw score
         top = top.withColumn("score", F.round("score", score_digits))
     return top
+
+
+def prefix_ratings(ratings: DataFrame, min_strength: float) -> DataFrame:
+    """The ratings whose users can be the rarest common rater of a pair with more than
+    ``min_strength`` of them: ``u, i, n`` (``n``: raters of the item).
+
+    Users are ordered by how many items they rate.  Two items with more than t common raters
+    have one of them outside the t most frequent raters of either item, so only the
+    ``n - t`` rarest raters of an item matter: the most frequent users, who would bring most
+    pairs, drop out of nearly all items, and an item with t raters or fewer drops out whole.
+    The t most frequent raters are a window group limit, cut to t per item in every map task,
+    and come back as one cut-off row per item.
+    """
+    t = int(min_strength)
+    often = ratings.groupBy("u").agg(F.count(F.lit(1)).alias("_f"))
+    size = ratings.groupBy("i").agg(F.count(F.lit(1)).alias("n"))
+    ranked = ratings.select("u", "i").join(often, "u").join(size.where(F.col("n") > t), "i")
+    if t == 0:
+        return ranked.select("u", "i", "n")
+    ranked = write_table(ranked, "prefix-ratings")
+    w = Window.partitionBy("i").orderBy(F.desc("_f"), F.desc("u"))
+    cut = (ranked.withColumn("_p", F.row_number().over(w)).where(F.col("_p") <= t)
+           .groupBy("i").agg(F.min(F.struct("_f", "u")).alias("_cut")))
+    return (ranked.join(cut, "i").where(F.struct("_f", "u") < F.col("_cut"))
+            .select("u", "i", "n"))
+
+
+def pair_candidates(ratings: DataFrame, min_strength: float, user: str = "user",
+                    item: str = "item", rating: str = "rating",
+                    block_rows: int = 2000) -> DataFrame:
+    """Item pairs that may have more than ``min_strength`` common raters: ``item1, item2, n1,
+    n2`` (raters of each).  No such pair is missing; the others share a rare rater."""
+    p = prefix_ratings(_norm(ratings, user, item, rating), min_strength)
+    left, right = block_tags(write_table(p, "prefixes"), "u", "i", block_rows)
+    a, b = left.alias("a"), right.alias("b")
+    return (a.join(b, (F.col("a.u") == F.col("b.u")) & (F.col("a._x") == F.col("b._x"))
+                   & (F.col("a._y") == F.col("b._y")) & (F.col("a.i") < F.col("b.i")))
+            .select(F.col("a.i").alias("item1"), F.col("b.i").alias("item2"),
+                    F.col("a.n").alias("n1"), F.col("b.n").alias("n2")).distinct())
+
+
+def similar_pairs(ratings: DataFrame, min_score: float, min_strength: float, user: str = "user",
+                  item: str = "item", rating: str = "rating", block_rows: int = 2000) -> DataFrame:
+    """All pairs ``item1 < item2`` with ``score > min_score and strength > min_strength``:
+    ``item1, item2, score, strength``, without the table of all pairs.
+
+    Candidates come from the prefixes (``pair_candidates``).  Each is verified exactly: the
+    ratings of its smaller item are looked up among the larger one's, one join on
+    ``(item, user)``, so an item that everybody rates is never read once per pair.
+    """
+    r = write_table(_norm(ratings, user, item, rating), "ratings")
+    pairs = pair_candidates(r, min_strength, "u", "i", "r", block_rows)
+    first = F.col("n1") <= F.col("n2")
+    pairs = pairs.select("item1", "item2", F.when(first, F.col("item1")).otherwise(F.col("item2")).alias("i"),
+                         F.when(first, F.col("item2")).otherwise(F.col("item1")).alias("_other"))
+    small = pairs.join(r, "i").select("item1", "item2", F.col("_other").alias("i"), "u",
+                                      F.col("r").alias("x"))
+    common = small.join(r, ["i", "u"])
+    x, y = F.col("x"), F.col("r")
+    sums = common.groupBy("item1", "item2").agg(
+        F.sum(x * y).alias("_xy"), F.sum(x * x).alias("_xx"), F.sum(y * y).alias("_yy"),
+        F.count(F.lit(1)).alias("strength"))
+    return (sums.select("item1", "item2", cosine_score(F.col("_xy"), F.col("_xx"), F.col("_yy"))
+                        .alias("score"), "strength")
+            .where((F.col("score") > F.lit(min_score)) & (F.col("strength") > F.lit(min_strength))))

@@ -11,11 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.operators import graph, lookup, recommend, relational, similarity, splits, text
-from quarry.operators.lineage import scratch_path
+from quarry.operators.lineage import scratch_path, write_table
 from quarry.sources import (load_table, read_delimited, read_dimension, read_lines,
                             read_quoted_dimension)
 
@@ -271,8 +271,9 @@ def bfs_distances(spark, sf_dir):
 
 @query
 def bfs_hit(spark, sf_dir):
-    _, hit = graph.bfs(graph.edges(graph_lines(spark, sf_dir)), BFS_START,
-                       target=BFS_TARGET)
+    """The hit report by search from both ends (the graph has every edge both ways)."""
+    hit = graph.bfs_hit(graph.edges(graph_lines(spark, sf_dir)), BFS_START, BFS_TARGET,
+                        symmetric=True)
     return graph.hit_frame(spark, BFS_START, BFS_TARGET, hit)
 
 
@@ -289,34 +290,79 @@ def merge_node_state(spark, sf_dir):
     return graph.bfs_round_states(graph_lines(spark, sf_dir), BFS_START)
 
 
-# --- item similarity: user = customer, item = supplier, rating = mean quantity
+@query
+def search_states(spark, sf_dir):
+    """The state-passing search at its fixed point, unreached nodes included."""
+    return graph.search_states(graph_lines(spark, sf_dir), BFS_START)
+
 
-SIMILAR_TO = 1
-MIN_SCORE, MIN_STRENGTH, TOP_K = 0.5, 150, 10
+# --- item similarity ----------------------------------------------------------
+#
+# Items are product lines (brand and type of a part), whose number does not grow
+# with the tables: user = customer, rating = mean quantity.  Thresholded pairs
+# over all items take single parts bought in one order: user = order.
+
+SIMILAR_TO = "Brand#1 LARGE"
+MIN_SCORE, MIN_SHARE, TOP_K = 0.76, 0.22, 10
+PAIR_SCORE, PAIR_STRENGTH = 0.9, 1
 SCORE_DIGITS = 6
 
 
-def supplier_ratings(spark, sf_dir) -> DataFrame:
-    """One rating per (customer, supplier): the mean quantity of their lines."""
-    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity")
+def _line(spark, sf_dir) -> DataFrame:
+    return _t(spark, sf_dir, "part").select(
+        "p_partkey", F.concat_ws(" ", "p_brand", "p_type").alias("item"), "p_name")
+
+
+def line_ratings(spark, sf_dir) -> DataFrame:
+    """One rating per (customer, product line): the mean quantity of their lines."""
+    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     od = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return (li.join(od, li["l_orderkey"] == od["o_orderkey"])
-              .groupBy(F.col("o_custkey").alias("user"), F.col("l_suppkey").alias("item"))
+    part = _line(spark, sf_dir).select("p_partkey", "item")
+    return (li.join(part, li["l_partkey"] == part["p_partkey"])
+              .join(od, li["l_orderkey"] == od["o_orderkey"])
+              .groupBy(F.col("o_custkey").alias("user"), "item")
               .agg(F.avg("l_quantity").alias("rating")))
 
 
+def basket_ratings(spark, sf_dir) -> DataFrame:
+    """One rating per (order, part): the mean quantity of their lines."""
+    return (_t(spark, sf_dir, "lineitem")
+            .groupBy(F.col("l_orderkey").alias("user"), F.col("l_partkey").alias("item"))
+            .agg(F.avg("l_quantity").alias("rating")))
+
+
 @query
 def item_pair_similarity(spark, sf_dir):
-    pairs = similarity.item_pairs(supplier_ratings(spark, sf_dir))
+    pairs = similarity.item_pairs(line_ratings(spark, sf_dir))
+    return pairs.withColumn("score", F.round("score", SCORE_DIGITS))
+
+
+@query
+def similar_item_pairs(spark, sf_dir):
+    """Every pair of parts bought together more than once in like quantities."""
+    pairs = similarity.similar_pairs(basket_ratings(spark, sf_dir), PAIR_SCORE, PAIR_STRENGTH)
     return pairs.withColumn("score", F.round("score", SCORE_DIGITS))
 
 
+@query
+def similar_pair_candidates(spark, sf_dir):
+    """What the prefixes leave of all pairs: items, their pairs, candidates (one row)."""
+    ratings = write_table(basket_ratings(spark, sf_dir), "baskets")
+    found = similarity.pair_candidates(ratings, PAIR_STRENGTH).select(F.lit(1).alias("_c"))
+    items = ratings.select("item").distinct().select(F.lit(0).alias("_c"))
+    n, c = F.count_if(F.col("_c") == 0), F.count_if(F.col("_c") == 1)
+    return items.unionByName(found).agg(
+        n.alias("items"), F.expr("count_if(_c = 0) * (count_if(_c = 0) - 1) div 2").alias("all_pairs"),
+        c.alias("candidates"))
+
+
 def _similar(spark, sf_dir, literal):
-    top = similarity.similar_items(supplier_ratings(spark, sf_dir), SIMILAR_TO, MIN_SCORE,
-                                   MIN_STRENGTH, TOP_K, literal_precedence=literal,
-                                   score_digits=SCORE_DIGITS)
-    return (lookup.attach_name(top, _t(spark, sf_dir, "supplier"), "item", "s_suppkey",
-                               "s_name", small_side_rows=TOP_K)
+    top = similarity.similar_items(line_ratings(spark, sf_dir), SIMILAR_TO, MIN_SCORE,
+                                   k=TOP_K, literal_precedence=literal, score_digits=SCORE_DIGITS,
+                                   min_share=MIN_SHARE)
+    names = (_line(spark, sf_dir).groupBy(F.col("item").alias("line"))
+             .agg(F.min("p_name").alias("first_product")))
+    return (lookup.attach_name(top, names, "item", "line", "first_product", small_side_rows=TOP_K)
             .orderBy(F.desc("score"), F.desc("strength"), "item"))
 
 
@@ -386,6 +432,63 @@ def als_recommend(spark, sf_dir):
                               small_side_rows=recommend.TOP_N)
 
 
+# Ratings with structure, for evidence about training: a part's size less what the customer
+# was granted on it, in tens.  A tenth of them, told by the keys, is held out.
+
+RESIDUAL_BOUND = 1e-3
+
+
+def sized_ratings(spark, sf_dir) -> DataFrame:
+    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_discount")
+    od = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    part = _t(spark, sf_dir, "part").select("p_partkey", "p_size")
+    return (li.join(od, li["l_orderkey"] == od["o_orderkey"])
+              .join(part, li["l_partkey"] == part["p_partkey"])
+              .groupBy(F.col("o_custkey").alias("userID"), F.col("l_partkey").alias("movieID"))
+              .agg((F.avg(F.col("p_size") * (1 - F.col("l_discount"))) / 10).alias("rating"))
+              .withColumn("held_out", (F.col("userID") + F.col("movieID")) % 10 == 0))
+
+
+def _sized_model(spark, sf_dir):
+    rows = write_table(sized_ratings(spark, sf_dir), "sized-ratings")
+    trained = rows.where("NOT held_out")
+    indexed, uidx, iidx = recommend.dense_ratings(trained, "userID", "movieID", "rating")
+    return rows, indexed, uidx, iidx, recommend.fit_als(indexed, "_u", "_i", "_r")
+
+
+@query
+def als_fit_evidence(spark, sf_dir):
+    """What training must satisfy, in one row: every user's factors solve the regularised
+    normal equations, and held-out ratings are predicted better than by the mean."""
+    rows, indexed, uidx, iidx, model = _sized_model(spark, sf_dir)
+    solved = recommend.normal_equation_residuals(model, indexed, "_r").agg(
+        F.count(F.lit(1)).alias("n_users"), F.sum("n_ratings").alias("n_ratings"),
+        (F.max("residual") < RESIDUAL_BOUND).alias("solved"))
+    mean = indexed.agg(F.avg("_r")).first()[0] or 0.0
+    held = rows.where("held_out").join(uidx, "userID").join(iidx, "movieID").select(
+        "_u", "_i", F.col("rating").alias("_r"))
+    error = recommend.prediction_error(model, held, "_r", mean).select(
+        F.col("n").alias("n_held_out"), (F.col("rmse") < F.col("rmse_mean")).alias("beats_mean"))
+    one = F.lit(0).alias("_one")
+    return (solved.select("*", one).unionByName(error.select("*", one), allowMissingColumns=True)
+            .groupBy("_one").agg(*(F.max(c).alias(c) for c in (
+                "n_users", "n_ratings", "solved", "n_held_out", "beats_mean"))).drop("_one"))
+
+
+@query
+def als_top_items(spark, sf_dir):
+    """The exact ten best parts of every customer by pruned inner-product search, described by
+    what is determined: their number, ranks 1 to n, falling scores, parts of the training."""
+    _, _, uidx, iidx, model = _sized_model(spark, sf_dir)
+    top, _ = recommend.recommend_pruned(model, uidx.select("_u"), recommend.TOP_N)
+    named = top.join(iidx.select("_i", F.col("movieID").alias("part")), "_i", "left")
+    before = F.lag("rating").over(Window.partitionBy("_u").orderBy("rank"))
+    return (named.withColumn("_falls", F.coalesce(F.col("rating") <= before, F.lit(True)))
+            .groupBy("_u").agg(F.count("part").alias("n_items"), F.count_distinct("part").alias("n_distinct"),
+                               F.max("rank").cast("long").alias("last_rank"), F.every("_falls").alias("in_order"))
+            .join(uidx, "_u").select("userID", "n_items", "n_distinct", "last_rank", "in_order"))
+
+
 # --- delimited reader round trip ----------------------------------------------
 
 @query

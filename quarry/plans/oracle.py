@@ -21,8 +21,8 @@ _BFS_LEVELS = f"""e AS (SELECT DISTINCT src, dst FROM ({_EDGE_ROWS})),
                 LEFT JOIN recurring.b AS r ON r.id = e.dst WHERE r.id IS NULL),
         lv AS (SELECT id, CAST(d AS INTEGER) AS distance FROM b)"""
 
-_PAIRS = """WITH r AS (SELECT o_custkey AS u, l_suppkey AS i, avg(l_quantity) AS v
-                   FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2),
+def _pairs(ratings: str) -> str:
+    return f"""WITH r AS ({ratings}),
         p AS (SELECT a.i AS item1, b.i AS item2,
                      CASE WHEN sqrt(sum(a.v * a.v)) * sqrt(sum(b.v * b.v)) <> 0
                           THEN sum(a.v * b.v) / (sqrt(sum(a.v * a.v)) * sqrt(sum(b.v * b.v)))
@@ -30,7 +30,33 @@ _PAIRS = """WITH r AS (SELECT o_custkey AS u, l_suppkey AS i, avg(l_quantity) AS
                      count(*) AS strength
               FROM r a JOIN r b ON a.u = b.u AND a.i < b.i GROUP BY 1, 2)"""
 
+
+_PAIRS = _pairs("""SELECT o_custkey AS u, p_brand || ' ' || p_type AS i, avg(l_quantity) AS v
+                   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+                   JOIN part ON l_partkey = p_partkey GROUP BY 1, 2""")
+_BASKETS = "SELECT l_orderkey AS u, l_partkey AS i, avg(l_quantity) AS v FROM lineitem GROUP BY 1, 2"
+_LINE_NAMES = """(SELECT p_brand || ' ' || p_type AS line, min(p_name) AS first_product
+                  FROM part GROUP BY 1)"""
+_SHARE = "CAST(0.22 AS DOUBLE) * (SELECT count(*) FROM r WHERE i = 'Brand#1 LARGE')"
+_BOTH = "item1 = 'Brand#1 LARGE' OR item2 = 'Brand#1 LARGE'"
+
+_SIZED = """WITH p AS (SELECT DISTINCT o_custkey AS u, l_partkey AS i, (o_custkey + l_partkey) % 10 = 0 AS held
+                   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey),
+        t AS (SELECT u, i FROM p WHERE NOT held)"""
+
 ORACLE_SQL: dict[str, str] = {
+    # models are not SQL: what is determined about them is
+    "als_fit_evidence": f"""
+        {_SIZED}
+        SELECT (SELECT count(DISTINCT u) FROM t) AS n_users, (SELECT count(*) FROM t) AS n_ratings,
+               TRUE AS solved,
+               (SELECT count(*) FROM p WHERE held AND u IN (SELECT u FROM t)
+                                       AND i IN (SELECT i FROM t)) AS n_held_out, TRUE AS beats_mean""",
+    "als_top_items": f"""
+        {_SIZED},
+        n AS (SELECT least(10, count(DISTINCT i)) AS n FROM t)
+        SELECT u AS "userID", n AS n_items, n AS n_distinct, n AS last_rank, TRUE AS in_order
+        FROM (SELECT DISTINCT u FROM t), n""",
     "select_columns": "SELECT c_custkey, c_name FROM customer",
     "add_constant": "SELECT p_partkey, p_size + 10 AS size_plus_10 FROM part",
     "filter_less_than": "SELECT * FROM part WHERE p_size < 23",
@@ -124,6 +150,13 @@ ORACLE_SQL: dict[str, str] = {
         SELECT CAST(1 AS BIGINT) AS start, CAST(-4 AS BIGINT) AS target, hop AS hops,
                count(*) AS parents, CAST(sum(n) AS BIGINT) AS edge_hits
         FROM h WHERE hop = (SELECT min(hop) FROM h) GROUP BY hop""",
+    "search_states": f"""
+        WITH RECURSIVE {_BFS_LEVELS},
+        d AS ({_DEGREE})
+        SELECT coalesce(d.id, lv.id) AS id, coalesce(d.degree, 0) AS n_connections,
+               coalesce(lv.distance, 9999) AS distance,
+               CASE WHEN lv.id IS NULL THEN 'WHITE' ELSE 'BLACK' END AS color
+        FROM d FULL JOIN lv ON d.id = lv.id""",
     "merge_node_state": """
         WITH l AS (
           SELECT l_partkey AS id, -1 - l_suppkey AS nbr FROM lineitem
@@ -141,20 +174,36 @@ ORACLE_SQL: dict[str, str] = {
     "item_pair_similarity": f"""
         {_PAIRS}
         SELECT item1, item2, round(score, 6) AS score, strength FROM p""",
+    "similar_item_pairs": f"""
+        {_pairs(_BASKETS)}
+        SELECT item1, item2, round(score, 6) AS score, strength FROM p
+        WHERE score > 0.9 AND strength > 1""",
+    "similar_pair_candidates": f"""
+        WITH r AS ({_BASKETS}),
+        f AS (SELECT u, count(*) AS f FROM r GROUP BY u),
+        x AS (SELECT u, i FROM (
+          SELECT u, i, row_number() OVER (PARTITION BY i ORDER BY f DESC, u DESC) AS place
+          FROM r JOIN f USING (u)) WHERE place > 1),
+        n AS (SELECT count(DISTINCT i) AS items FROM r)
+        SELECT items, items * (items - 1) // 2 AS all_pairs,
+               (SELECT count(*) FROM (SELECT DISTINCT a.i, b.i FROM x a JOIN x b
+                                      ON a.u = b.u AND a.i < b.i)) AS candidates FROM n""",
     "similar_items": f"""
         {_PAIRS},
-        c AS (SELECT CASE WHEN item1 = 1 THEN item2 ELSE item1 END AS item,
-                     score, strength, item1, item2 FROM p
-              WHERE (item1 = 1 OR item2 = 1))
-        SELECT c.item, round(c.score, 6) AS score, c.strength, s.s_name FROM c LEFT JOIN supplier s ON c.item = s.s_suppkey
-        WHERE c.score > 0.5 AND c.strength > 150
+        c AS (SELECT CASE WHEN item1 = 'Brand#1 LARGE' THEN item2 ELSE item1 END AS item,
+                     score, strength FROM p WHERE {_BOTH})
+        SELECT c.item, round(c.score, 6) AS score, c.strength, d.first_product
+        FROM c LEFT JOIN {_LINE_NAMES} d ON c.item = d.line
+        WHERE c.score > 0.76 AND c.strength > {_SHARE}
         ORDER BY c.score DESC, c.strength DESC, c.item LIMIT 10""",
     "similar_items_literal": f"""
         {_PAIRS},
-        c AS (SELECT CASE WHEN item1 = 1 THEN item2 ELSE item1 END AS item,
-                     score, strength, item1, item2 FROM p
-              WHERE item1 = 1 OR (item2 = 1 AND score > 0.5 AND strength > 150))
-        SELECT c.item, round(c.score, 6) AS score, c.strength, s.s_name FROM c LEFT JOIN supplier s ON c.item = s.s_suppkey
+        c AS (SELECT CASE WHEN item1 = 'Brand#1 LARGE' THEN item2 ELSE item1 END AS item,
+                     score, strength FROM p
+              WHERE item1 = 'Brand#1 LARGE'
+                 OR (item2 = 'Brand#1 LARGE' AND score > 0.76 AND strength > {_SHARE}))
+        SELECT c.item, round(c.score, 6) AS score, c.strength, d.first_product
+        FROM c LEFT JOIN {_LINE_NAMES} d ON c.item = d.line
         ORDER BY c.score DESC, c.strength DESC, c.item LIMIT 10""",
 
     "contiguous_folds": """
