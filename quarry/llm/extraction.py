@@ -6,12 +6,15 @@ and of the whole body.  A node's density sum adds up its children; the node with
 sum roots the main text.  The smallest density on the path from that node to the body is the
 threshold: blocks beside the node belong to the text only where their own branch reaches it.
 Markup only adds to that: the text grows to the outermost article or main element around the
-root, and an article most of whose characters are outside links belongs to it in any case.
+root; an article beside the root, most of whose characters are outside links, belongs to it if it
+is the root's sibling or reaches the threshold.
 Elements that say what they are (nav, footer, aside, form, adverts, notices, comments, ...)
 are left out of the sums and of the text.  A class or id says so only as a whole: every part of
-the name is a known one, so that "site-footer" counts and "has-sidebar" does not.  A named
-element that holds most of the body's characters outside links, without an article or main
-element outside it, is judged by its density like any other.
+the name is a known one, so that "site-footer" and "user-comment" count and "has-sidebar" does
+not.  A named element that holds most of the body's characters outside links, without an article
+or main element outside it, is judged by its density like any other, and one that holds an
+article, main element or first heading stays; but what calls itself comments or related posts
+goes with everything in it, articles included.  An author's biography is part of the page's text.
 
 Defined results: null or empty html gives an empty text; pages of any length and any depth
 are read whole; unclosed, misnested and cut-off markup is repaired as browsers do for
@@ -32,9 +35,11 @@ from pyspark.sql import functions as F
 from quarry.llm.common import columns_of, map_batches, text_bytes
 
 _TOKEN = re.compile(
-    r"<!--(?:.*?-->|.*)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<(?=/?[a-zA-Z])[^>]*\Z", re.S)
-_ATTRIBUTE = re.compile(r"([^\s=\"'/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"']+))")
+    r"<!--(?:.*?-->|.*)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+    r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*)>|<(?=/?[a-zA-Z])[^>]*\Z", re.S)
+# a name is taken whole, with or without a value, so nothing is read twice
+_ATTRIBUTE = re.compile(
+    r"([^\s=\"'/]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"']++)))?")
 _NAME_PART = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z]+")
 
 # HTML element names and the words pages use to name their parts.
@@ -67,6 +72,16 @@ _BESIDE = frozenset("""area bar block bottom box btn button buttons center col c
     zone""".split())
 
 
+#: Words for the article and the people around it: they change nothing either, but beside a
+#: word for a header ("post-header") they name the head of the article itself.
+_OF_ARTICLE = frozenset("""account article author avatar blog body children content count date entry
+    footer guest meta name policy post reader story text time user visitor write""".split())
+_HEADERS = frozenset("banner header masthead".split())
+#: What calls itself one of these is never the article, whatever it holds.
+_NOT_ARTICLE = frozenset("""comment comments commentlist disqus related recommended replies
+    reply respond""".split())
+
+
 class _Page:
     """The elements of a page in document order, and its text pieces with their element."""
 
@@ -74,62 +89,58 @@ class _Page:
         self.tag, self.parent, self.out = ["#root"], [-1], [False]
         self.named = [False]  # a class or id alone leaves it out
         self.has_head = [False]  # holds an article, a main element or a first heading
+        self.beside = [False]  # lies in comments or related posts
         self.texts: list[tuple[int, str]] = []
-        self._stack, self._open = [0], {"#root": 1}
+        self._stack, self._open = [0], {"#root": [0]}  # open elements, and their depths by tag
         self._read(source)
 
     def _push(self, tag: str, attributes: str) -> None:
         node, parent = len(self.tag), self._stack[-1]
         self.tag.append(tag)
         self.parent.append(parent)
-        self.out.append(tag in _LEFT_OUT or self._role_out(tag, attributes))
-        self.named.append(self._named_out(tag, attributes))
+        role, named, beside = self._says(tag, attributes)
+        self.out.append(tag in _LEFT_OUT or role)
+        self.named.append(named)
         self.has_head.append(False)
-        if tag in ("article", "main", "h1"):
+        self.beside.append(self.beside[parent] or beside)
+        if tag in ("article", "main", "h1") and not self.beside[node]:
             up = parent
             while up >= 0 and not self.has_head[up]:
                 self.has_head[up] = True
                 up = self.parent[up]
         if tag not in _VOID:
+            self._open.setdefault(tag, []).append(len(self._stack))
             self._stack.append(node)
-            self._open[tag] = self._open.get(tag, 0) + 1
 
     @staticmethod
-    def _attributes(tag: str, attributes: str):
+    def _says(tag: str, attributes: str) -> tuple[bool, bool, bool]:
+        """Whether an element's role leaves it out, its class or id does, and that for being
+        comments or related posts."""
+        role = named = beside = False
         if attributes and tag not in ("html", "body", "#root"):
             for name, a, b, c in _ATTRIBUTE.findall(attributes):
-                yield name.lower(), a or b or c
-
-    @classmethod
-    def _role_out(cls, tag: str, attributes: str) -> bool:
-        return any(name == "role" and value.lower() in _ROLES
-                   for name, value in cls._attributes(tag, attributes))
-
-    @classmethod
-    def _named_out(cls, tag: str, attributes: str) -> bool:
-        for name, value in cls._attributes(tag, attributes):
-            for token in value.split() if name in ("class", "id") else ():
-                parts = [p.lower() for p in _NAME_PART.findall(token)]
-                parts = [p for p in parts if not p.isdigit()]
-                if any(p in _PARTS for p in parts) and all(p in _PARTS or p in _BESIDE for p in parts):
-                    return True
-        return False
+                name, value = name.lower(), a or b or c
+                if name == "role":
+                    role |= value.lower() in _ROLES
+                for token in value.split() if name in ("class", "id") else ():
+                    parts = [p.lower() for p in _NAME_PART.findall(token)]
+                    parts = [p for p in parts if not p.isdigit()]
+                    known = [p for p in parts if p in _PARTS]
+                    plain = _BESIDE if _HEADERS.issuperset(known) else _BESIDE | _OF_ARTICLE
+                    if known and all(p in _PARTS or p in plain for p in parts):
+                        named = True
+                        beside |= not _NOT_ARTICLE.isdisjoint(known)
+        return role, named, beside
 
     def _pop(self) -> None:
-        self._open[self.tag[self._stack.pop()]] -= 1
+        self._open[self.tag[self._stack.pop()]].pop()
 
     def _pop_to(self, tags, scope=frozenset()) -> None:
         """Close the nearest open element of ``tags``, unless a ``scope`` element is nearer."""
-        if not any(self._open.get(t) for t in tags):
-            return
-        for depth in range(len(self._stack) - 1, 0, -1):
-            tag = self.tag[self._stack[depth]]
-            if tag in tags:
-                while len(self._stack) > depth:
-                    self._pop()
-                return
-            if tag in scope:
-                return
+        depth = max((self._open[t][-1] for t in tags if self._open.get(t)), default=0)
+        if depth > max((self._open[t][-1] for t in scope if self._open.get(t)), default=0):
+            while len(self._stack) > depth:
+                self._pop()
 
     def _read(self, source: str) -> None:
         at, lower = 0, None
@@ -179,15 +190,18 @@ class _Page:
         plain = self._plain_chars() if any(self.named) else [0] * n
         pieces = [0] * n  # article and main elements, each with those inside it
         for i in range(n - 1, 0, -1):
-            pieces[i] += self.tag[i] in ("article", "main")
+            pieces[i] += self.tag[i] in ("article", "main") and not self.beside[i]
             pieces[self.parent[i]] += pieces[i]
+        inside = [False] * n  # an article or main element
         for i in range(1, n):
+            p = self.parent[i]
+            inside[i] = inside[p] or self.tag[p] in ("article", "main")
             most = 2 * plain[i] > plain[0] and pieces[i] == pieces[0]
             own = (self.out[i] or self.named[i] and not most) and not (
                 self.has_head[i] and self.tag[i] not in _LEFT_OUT)
-            if self.tag[i] in ("header", "dialog") and not self._inside(i, ("article", "main")):
+            if self.tag[i] in ("header", "dialog") and not inside[i]:
                 own = True
-            self.out[i] = own or self.out[self.parent[i]]
+            self.out[i] = own or self.out[p]
 
     def _plain_chars(self) -> list[int]:
         """Characters outside links and outside elements that their tag or role leaves out."""
@@ -202,14 +216,6 @@ class _Page:
             chars[self.parent[i]] += chars[i]
         return chars
 
-    def _inside(self, node: int, tags) -> bool:
-        node = self.parent[node]
-        while node >= 0:
-            if self.tag[node] in tags:
-                return True
-            node = self.parent[node]
-        return False
-
 
 def densities(page: _Page):
     """Characters, those in links, composite density and density sum of every node that is not
@@ -263,6 +269,7 @@ def main_text(source: str) -> str:
     upper = path[:path.index(body) + 1] if body in path else path
     threshold = min(density[i] for i in upper)
     root = next((i for i in reversed(path) if page.tag[i] in ("article", "main")), root)
+    beside = page.parent[root]
     # within[i]: the node belongs to the text
     on_path = set(path)
     within = [False] * n
@@ -271,7 +278,8 @@ def main_text(source: str) -> str:
             continue
         p = page.parent[i]
         within[i] = (i == root or (p >= 0 and within[p])
-                     or (page.tag[i] == "article" and 2 * link_chars[i] < chars[i])
+                     or (page.tag[i] == "article" and 2 * link_chars[i] < chars[i]
+                         and (p == beside or density[i] >= threshold))
                      or (p in on_path and i not in on_path and density[i] >= threshold > 0))
     blocks, current = [], []
 
