@@ -3,11 +3,16 @@
 A word is a maximal run of bytes other than 0x20 and 0x09-0x0D, which for UTF-8 text is the
 pattern ``[^\\x20\\x09-\\x0D]+``.  All hashes are 64 bit and the same in every process: a
 polynomial over the bytes (or over the words of a window) taken from prefix sums, so a
-document costs a fixed number of numpy passes whatever the window length.
+document costs a fixed number of numpy passes whatever the window length.  A polynomial modulo
+2**64 is weak on long periodic inputs, so spans of more than ``LONG_SPAN`` bytes are hashed by
+BLAKE2 instead.  What is removed or merged is decided by ``digest`` (128 bits) of the content,
+where an operator says so.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
 _U = np.uint64
@@ -73,6 +78,15 @@ def spans(buf: np.ndarray, separators: np.ndarray = SPACE):
     return edges[0::2], edges[1::2]
 
 
+#: Bytes of a span that the polynomial hashes; longer ones go to BLAKE2.
+LONG_SPAN = 32
+
+
+def digest(content: bytes) -> bytes:
+    """128-bit digest that stands for the content."""
+    return hashlib.blake2b(content, digest_size=16).digest()
+
+
 def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of each byte span."""
     if not len(starts):
@@ -80,7 +94,11 @@ def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     up, down = _byte_powers.get(len(buf) + 1)
     sums = np.zeros(len(buf) + 1, dtype=_U)
     np.cumsum((buf.astype(_U) + _U(1)) * up[:-1], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(_U))
+    out = mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(_U))
+    for i in np.flatnonzero(ends - starts > LONG_SPAN).tolist():
+        span = hashlib.blake2b(buf[starts[i]:ends[i]], digest_size=8).digest()
+        out[i] = int.from_bytes(span, "little")
+    return out
 
 
 def word_hashes(text: bytes | None) -> np.ndarray:

@@ -1,13 +1,15 @@
 """Line dedup by winnowing over line hashes.
 
 A line is a ``\\n``-separated part of a text that holds a word; others (blank ones) are
-neutral and stay.  The hashes of ``gram`` consecutive lines are winnowed: every window of
-``window`` of them gives up its minimum, so two documents that share
-``gram + window - 1`` lines in a row share a fingerprint.  Fingerprints are joined by value;
-around those that occur more than once the matches are extended both ways, one run of
-``gram + window - 1`` lines after the other as long as the run occurs earlier.  Earlier means
-a smaller (doc_id, position); a line goes if it lies in a run that occurs earlier, in
-another document or in its own.
+neutral and stay.  From each line on, the shortest run of lines that holds ``min_words`` words
+is a window, so a window is one line that is long enough, or several short ones.  Winnowing
+takes the line with the smallest hash of every window as a fingerprint: documents that share
+``min_words`` words of consecutive lines share one, whatever stands around them.  Fingerprints
+are joined by value; around those that occur more than once the matches are extended to both
+sides, window by window, as long as the window occurs earlier.  Earlier means a smaller
+(doc_id, position); a line goes if it lies in a window that occurs earlier, in another document
+or in its own.  Fingerprints only find candidates; windows are equal by a 128-bit digest of
+their lines' digests.
 
 Defined results: a null text is empty and has no line; a null doc_id sorts first; rows that
 repeat a doc_id with the same text are one document and get the same result, with another
@@ -24,9 +26,10 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import (columns_of, document_key, map_batches, packed, scratch,
                                text_bytes, unpacked)
-from quarry.llm.hashing import NEWLINE, Windows, as_bytes, covered, span_hashes, spans, winnow
+from quarry.llm.hashing import covered, digest
 
-GRAM, WINDOW = 2, 2
+MIN_WORDS = 8
+_WIDE = 16  # bytes of a line's digest
 
 
 def split_lines(text: bytes) -> list[tuple[bytes, bool]]:
@@ -34,92 +37,117 @@ def split_lines(text: bytes) -> list[tuple[bytes, bool]]:
     return [(x, bool(x) and not x.isspace()) for x in text.split(b"\n")] if text else []
 
 
-def line_hashes(text: bytes) -> np.ndarray:
-    buf = as_bytes(text)
-    starts, ends = spans(buf, NEWLINE)
-    hashes = span_hashes(buf, starts, ends)
-    full = [not text[a:b].isspace() for a, b in zip(starts.tolist(), ends.tolist())]
-    return hashes[np.array(full, dtype=bool)] if len(hashes) else hashes
+def windows(words: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the shortest runs of lines that hold ``least`` words."""
+    upto = np.concatenate([[0], np.cumsum(words)])
+    ends = np.searchsorted(upto, upto[:-1] + least)
+    starts = np.flatnonzero(ends < len(upto))
+    return starts, ends[starts]
+
+
+def minima(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The place of the smallest hash of each window, the first of equal ones."""
+    return np.array([a if b == a + 1 else a + int(hashes[a:b].argmin())
+                     for a, b in zip(starts.tolist(), ends.tolist())], dtype=np.int64)
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   gram: int = GRAM, window: int = WINDOW) -> DataFrame:
-    """``_key, starts``: per document with repeated runs, the line numbers where a run of
-    ``gram + window - 1`` lines starts that occurs earlier."""
-    run_lines = gram + window - 1
+                   min_words: int = MIN_WORDS) -> DataFrame:
+    """``_key, found``: per document with repeated windows, the (start, length) in lines of
+    those that occur earlier."""
 
     def lines_of(batch: pa.RecordBatch) -> pa.RecordBatch:
         col = columns_of(batch, ["_key", "_id", "_text"])
-        rows, lines, at, prints = [], [], [], []
+        rows, lines, counts, prints = [], [], [], []
         for i, text in enumerate(text_bytes(col["_text"])):
-            hashes = line_hashes(text)
-            if len(hashes) >= run_lines:
-                grams = Windows(hashes).all(gram)
-                chosen = winnow(grams, window)
+            full = [x for x, is_line in split_lines(text) if is_line]
+            words = np.array([len(x.split()) for x in full], dtype=np.int32)
+            starts, ends = windows(words, min_words)
+            if len(starts):
+                digests = b"".join(digest(x) for x in full)
+                hashes = np.frombuffer(digests, dtype="<u8")[::2]
                 rows.append(i)
-                lines.append(hashes.view(np.int64))
-                at.append(chosen.astype(np.int32))
-                prints.append(grams[chosen].view(np.int64))
+                lines.append(digests)
+                counts.append(words)
+                prints.append(np.unique(hashes[minima(hashes, starts, ends)]).view(np.int64))
         take = pa.array(rows, pa.int64())
         return pa.RecordBatch.from_arrays(
-            [col["_key"].take(take), col["_id"].take(take), pa.array(lines, pa.list_(pa.int64())),
-             pa.array(at, pa.list_(pa.int32())), pa.array(prints, pa.list_(pa.int64()))],
-            names=["_key", "_id", "lines", "at", "prints"])
+            [col["_key"].take(take), col["_id"].take(take), pa.array(lines, pa.binary()),
+             pa.array(counts, pa.list_(pa.int32())), pa.array(prints, pa.list_(pa.int64()))],
+            names=["_key", "_id", "lines", "words", "prints"])
 
     id_type = docs.schema[id_col].dataType.simpleString()
     source = docs.select(document_key(id_col, text_col).alias("_key"), F.col(id_col).alias("_id"),
                          F.col(text_col).alias("_text"))
     lined = scratch(map_batches(
-        source, lines_of, f"_key long, _id {id_type}, lines array<long>, at array<int>, "
+        source, lines_of, f"_key long, _id {id_type}, lines binary, words array<int>, "
         "prints array<long>").dropDuplicates(["_key"]), "lines")
-    prints = lined.select("_key", F.explode(F.arrays_zip("at", "prints")).alias("p")).select(
-        "_key", F.col("p.at").alias("at"), F.col("p.prints").alias("print"))
+    prints = lined.select("_key", F.explode("prints").alias("print"))
+    # a print that one document holds may still be repeated inside it: its windows are compared
+    inside = lined.select("_key", "lines", "words", "prints")
+
+    def repeats(batch: pa.RecordBatch) -> pa.RecordBatch:
+        """Prints that several windows of one document with different places share."""
+        col = columns_of(batch, ["_key", "lines", "words"])
+        rows, own = [], []
+        for i in range(batch.num_rows):
+            hashes = np.frombuffer(col["lines"][i].as_py(), dtype="<u8")[::2]
+            at = minima(hashes, *windows(np.asarray(col["words"][i].values), min_words))
+            value, count = np.unique(hashes[np.unique(at)], return_counts=True)
+            rows += [i] * int((count > 1).sum())
+            own.append(value[count > 1].view(np.int64))
+        return pa.RecordBatch.from_arrays(
+            [col["_key"].take(pa.array(rows, pa.int64())),
+             pa.array(np.concatenate(own) if own else [], pa.int64())], names=["_key", "print"])
     shared = prints.groupBy("print").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("print")
-    positions = (prints.join(shared, "print").groupBy("_key")
-                 .agg(F.collect_list("at").alias("at")))
+    common = prints.join(shared, "print").select("_key", "print")
+    own = map_batches(inside, repeats, "_key long, print long")
+    chosen = (common.unionByName(own).groupBy("_key").agg(F.collect_set("print").alias("shared")))
 
     def extend(batch: pa.RecordBatch) -> pa.RecordBatch:
-        """Every run that holds a shared fingerprint, to both sides of it."""
-        col = columns_of(batch, ["_key", "_id", "lines", "at"])
-        rows, starts, runs = [], [], []
+        """Every window that holds a shared fingerprint, to both sides of it."""
+        col = columns_of(batch, ["_key", "_id", "lines", "words", "shared"])
+        rows, starts, lengths, runs = [], [], [], []
         for i in range(batch.num_rows):
-            hashes = np.array(col["lines"][i].values, dtype=np.int64).view(np.uint64)
-            found = np.array(col["at"][i].values, dtype=np.int64)
-            first = (found[:, None] - np.arange(run_lines - gram + 1)).ravel()
-            first = np.unique(first[(first >= 0) & (first + run_lines <= len(hashes))])
-            rows.append(np.full(len(first), i))
-            starts.append(first)
-            runs.append(Windows(hashes).all(run_lines)[first])
-        take = np.concatenate(rows) if rows else np.zeros(0, dtype=np.int64)
-        cat = lambda x: np.concatenate(x) if x else np.zeros(0, dtype=np.int64)
+            lines = col["lines"][i].as_py()
+            hashes = np.frombuffer(lines, dtype="<u8")[::2]
+            first, last = windows(np.asarray(col["words"][i].values), min_words)
+            known = np.asarray(col["shared"][i].values, dtype=np.int64).view(np.uint64)
+            hit = np.isin(hashes[minima(hashes, first, last)], known)
+            for a, b in zip(first[hit].tolist(), last[hit].tolist()):
+                rows.append(i)
+                starts.append(a)
+                lengths.append(b - a)
+                runs.append(digest(lines[a * _WIDE:b * _WIDE]))
+        take = pa.array(rows, pa.int64())
         return pa.RecordBatch.from_arrays(
-            [col["_key"].take(pa.array(take)), col["_id"].take(pa.array(take)),
-             pa.array(cat(starts).astype(np.int32)), pa.array(cat(runs).view(np.int64))],
-            names=["_key", "_id", "start", "run"])
+            [col["_key"].take(take), col["_id"].take(take), pa.array(starts, pa.int32()),
+             pa.array(lengths, pa.int32()), pa.array(runs, pa.binary())],
+            names=["_key", "_id", "start", "length", "run"])
 
-    runs = scratch(map_batches(lined.select("_key", "_id", "lines").join(positions, "_key"), extend,
-                               f"_key long, _id {id_type}, start int, run long"), "runs")
+    runs = scratch(map_batches(
+        lined.select("_key", "_id", "lines", "words").join(chosen, "_key"), extend,
+        f"_key long, _id {id_type}, start int, length int, run binary"), "runs")
     place = F.struct("_id", "_key", "start")
     first = (runs.groupBy("run").agg(F.min(place).alias("_first"), F.count(F.lit(1)).alias("n"))
              .where("n > 1").select("run", "_first"))
     return (runs.join(first, "run").where(~place.eqNullSafe(F.col("_first")))
-            .groupBy("_key").agg(F.collect_list("start").alias("starts")))
+            .groupBy("_key").agg(F.collect_list(F.struct("start", "length")).alias("found")))
 
 
-def _cut_lines(docs: DataFrame, id_col: str, text_col: str, gram: int, window: int) -> DataFrame:
+def _cut_lines(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
     """Packed rows with ``n_lines, n_removed, kept_text``."""
-    run_lines = gram + window - 1
-    found = repeated_lines(docs, id_col, text_col, gram, window)
+    found = repeated_lines(docs, id_col, text_col, min_words)
     joined = packed(docs, id_col, text_col).join(found, "_key", "left").select(
-        "_id", "_text", "_row", "starts")
+        "_id", "_text", "_row", F.col("found.start").alias("starts"), F.col("found.length").alias("lengths"))
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
-        col = columns_of(batch, ["_id", "_text", "_row", "starts"])
+        col = columns_of(batch, ["_id", "_text", "_row", "starts", "lengths"])
         counts, removed, kept = [], [], []
         for i, text in enumerate(text_bytes(col["_text"])):
             parts = split_lines(text)
             n = sum(full for _, full in parts)
-            gone = (covered(np.array(col["starts"][i].values), run_lines, n)
+            gone = (covered(np.array(col["starts"][i].values), np.array(col["lengths"][i].values), n)
                     if col["starts"][i].is_valid else np.zeros(n, dtype=bool))
             counts.append(n)
             removed.append(int(gone.sum()))
@@ -137,19 +165,18 @@ def _cut_lines(docs: DataFrame, id_col: str, text_col: str, gram: int, window: i
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                gram: int = GRAM, window: int = WINDOW) -> DataFrame:
+                min_words: int = MIN_WORDS) -> DataFrame:
     """``id_col, n_lines, n_removed, kept_text``, one row per document row."""
     slim = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
-    return _cut_lines(slim, id_col, text_col, gram, window).select(
+    return _cut_lines(slim, id_col, text_col, min_words).select(
         F.col("_id").alias(id_col), "n_lines", "n_removed", "kept_text")
 
 
 def dedup_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    length_col: str | None = "n_chars", gram: int = GRAM,
-                    window: int = WINDOW) -> DataFrame:
+                    length_col: str | None = "n_chars", min_words: int = MIN_WORDS) -> DataFrame:
     """Documents with their columns and the shortened text; one of which every line went is
     left out."""
-    rows = _cut_lines(docs, id_col, text_col, gram, window).where(
+    rows = _cut_lines(docs, id_col, text_col, min_words).where(
         "n_removed = 0 OR n_removed < n_lines")
     cut, row = F.col("n_removed") > 0, F.col("_row")
     changed = {text_col: F.when(cut, F.col("kept_text")).otherwise(row.getField(text_col))}

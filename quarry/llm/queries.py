@@ -107,7 +107,7 @@ def op5_toxicity(spark, sf_dir):
 
 @query
 def op6_line_dedup(spark, sf_dir):
-    """Later repeats of runs of three lines, removed from whole texts."""
+    """Later repeats of lines or runs of lines with eight words, removed from whole texts."""
     return linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
@@ -117,17 +117,19 @@ WITH parts AS (
   SELECT doc_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS place
   FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)),
 lines AS (
-  SELECT doc_id, part, place, row_number() OVER (PARTITION BY doc_id ORDER BY place) AS line
-  FROM parts WHERE regexp_matches(part, '[^\x20\x09-\x0D]')),
+  SELECT doc_id, part, place, row_number() OVER w AS line, sum(words) OVER w AS upto, words
+  FROM (SELECT *, len(regexp_extract_all(part, '[^\x20\x09-\x0D]+')) AS words FROM parts)
+  WHERE words > 0 WINDOW w AS (PARTITION BY doc_id ORDER BY place)),
+windows AS (
+  SELECT a.doc_id, a.line, min(b.line) AS last FROM lines a JOIN lines b
+    ON a.doc_id = b.doc_id AND b.line >= a.line AND b.upto >= a.upto - a.words + 8 GROUP BY ALL),
 runs AS (
-  SELECT doc_id, line, part || chr(10) || lead(part) OVER w || chr(10) || lead(part, 2) OVER w AS run
-  FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY place)),
+  SELECT w.doc_id, w.line, w.last, string_agg(l.part, chr(10) ORDER BY l.line) AS run
+  FROM windows w JOIN lines l ON l.doc_id = w.doc_id AND l.line BETWEEN w.line AND w.last
+  GROUP BY ALL),
 ranked AS (
-  SELECT doc_id, line, row_number() OVER (PARTITION BY run ORDER BY doc_id, line) AS n
-  FROM runs WHERE run IS NOT NULL),
-gone AS (
-  SELECT DISTINCT doc_id, line + d.x AS line
-  FROM ranked, (SELECT unnest([0, 1, 2]) AS x) d WHERE n > 1),
+  SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, line) AS n FROM runs),
+gone AS (SELECT DISTINCT doc_id, unnest(generate_series(line, last)) AS line FROM ranked WHERE n > 1),
 flags AS (
   SELECT p.doc_id, p.part, p.place, l.line IS NOT NULL AS is_line, g.line IS NOT NULL AS is_gone
   FROM parts p LEFT JOIN lines l USING (doc_id, place) LEFT JOIN gone g
