@@ -98,12 +98,15 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     takes a document, and one with its first words where the budget ends inside it (cut at
     the exact word; ``length_col`` then counts the cut text's characters)."""
     taken = mix(docs, id_col, text_col, source_col, **options)
-    per_key = (taken.where("taken > 0").groupBy("_key")
+    # the same document may stand in several sources, each with its own share
+    per_key = (taken.where("taken > 0").groupBy("_key", F.col("source").alias("_source"))
                .agg(F.sum("taken").alias("_taken"), F.first("size").alias("_size"),
                     F.count(F.lit(1)).alias("_rows")))
-    joined = packed(docs, id_col, text_col).join(per_key, "_key")
+    source = F.col("_row").getField(source_col)
+    joined = packed(docs, id_col, text_col).withColumnRenamed("_key", "_own_key").join(
+        per_key, (F.col("_own_key") == F.col("_key")) & source.eqNullSafe(F.col("_source")))
     # rows that repeat a document share its words evenly, the first ones take what is left
-    number = F.row_number().over(Window.partitionBy("_key").orderBy(F.lit(0)))
+    number = F.row_number().over(Window.partitionBy("_key", "_source").orderBy(F.lit(0)))
     single = joined.where("_rows = 1").withColumn("_own", F.col("_taken"))
     several = (joined.where("_rows > 1").withColumn("_n", number)
                .withColumn("_own", F.floor(F.col("_taken") / F.col("_rows"))

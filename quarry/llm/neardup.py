@@ -1,12 +1,12 @@
 """N-gram Jaccard join with a MinHash LSH forest.
 
 A document is its set of ``shingle``-word windows (of all its words if it has fewer).  Texts
-with the same word sequence form one representative with a multiplicity.  Each of ``trees``
+with the same word sequence (by a 128-bit digest) form one representative with a multiplicity.  Each of ``trees``
 trees indexes the representatives by their own MinHash values; a node of a tree is a prefix.
 The forest is read at one fixed depth, the longest prefix at which it finds a pair at the
 similarity threshold with the target recall (``prefix_depth``, the same for all data);
-documents that meet in a node of that depth are candidates.  A node of any size gives a star of candidate edges to its
-smallest member, never all its pairs.  The stars' components gather what can be linked, and
+documents that meet in a node of that depth are candidates.  A node of any size gives a star of
+candidate edges to its smallest member, never all its pairs.  The stars' components gather what can be linked, and
 inside each component every pair of representatives is verified exactly, block against
 block, by intersection counts; only counts and a spanning forest of the links leave a task.
 
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from quarry.llm.common import (columns_of, document_key, map_batches, packed, scratch,
                                text_bytes, unpacked)
 from quarry.llm.graphs import block_pairs, components, local_roots
-from quarry.llm.hashing import Windows, mix, word_hashes
+from quarry.llm.hashing import Windows, digest, mix, word_hashes
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -49,12 +49,10 @@ def shingles(text: bytes, k: int = SHINGLE) -> np.ndarray:
     return np.unique(Windows(words).all(min(k, len(words))))
 
 
-def sequence_hash(words: np.ndarray) -> tuple[int, int]:
-    """128-bit hash of a word sequence, as two signed numbers."""
-    n = np.array([len(words)])
-    first = mix(Windows(words).at(n * 0, n) + n.astype(_U))
-    second = mix(Windows(mix(words ^ _U(0x2545F4914F6CDD1D))).at(n * 0, n))
-    return int(first.view(np.int64)[0]), int(second.view(np.int64)[0])
+def sequence_hash(text: bytes) -> tuple[int, int]:
+    """128-bit digest of a text's word sequence, as two signed numbers."""
+    whole = digest(b" ".join(text.split()))
+    return tuple(int.from_bytes(whole[i:i + 8], "little", signed=True) for i in (0, 8))
 
 
 def prefix_depth(similarity: float = SIMILARITY, trees: int = TREES,
@@ -101,7 +99,7 @@ def _signed(source: DataFrame, id_type: str, shingle: int, forest: Forest) -> Da
         first, second, nodes = [], [], []
         for i, text in enumerate(text_bytes(col["_text"])):
             words = word_hashes(text)
-            a, b = sequence_hash(words)
+            a, b = sequence_hash(text)
             first.append(a)
             second.append(b)
             if len(words) and col["_id"][i].is_valid:
@@ -157,8 +155,9 @@ def _verify(similarity: float):
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = SHINGLE, similarity: float = SIMILARITY, trees: int = TREES,
                     recall: float = TARGET_RECALL, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """One row per document row: ``id_col, _key, class_id`` (smallest id reachable by links),
-    ``n_links`` (other rows linked directly) and ``kept`` (its id is the class's)."""
+    """One row per document row: ``id_col, _key, _class`` (one value per class), ``class_id``
+    (smallest id reachable by links), ``n_links`` (other rows linked directly) and ``kept`` (its
+    id is the class's)."""
     id_type = docs.schema[id_col].dataType.simpleString()
     forest = Forest(trees, prefix_depth(similarity, trees, recall=recall))
     source = _documents(docs, id_col, text_col)
@@ -203,24 +202,25 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = scratch(named, "named")
     lowest = named.groupBy("component").agg(F.min("rep").alias("class_id"))
     known = named.join(lowest, "component").select(
-        "s1", "s2", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1)
+        "s1", "s2", F.concat(F.lit("linked "), F.col("component")).alias("_class"), "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1)
         .cast("long").alias("n_links"))
     rows = signed.withColumn("_valid", F.col("nodes").isNotNull()).drop("nodes")
-    joined = rows.where("_valid").join(known, ["s1", "s2"]).select("_key", "_id", "class_id", "n_links")
-    alone = rows.where("NOT _valid").select("_key", "_id", F.col("_id").alias("class_id"),
-                                            F.lit(0).cast("long").alias("n_links"))
+    joined = rows.where("_valid").join(known, ["s1", "s2"]).select(
+        "_key", "_id", "_class", "class_id", "n_links")
+    alone = rows.where("NOT _valid").select(
+        "_key", "_id", F.concat(F.lit("alone "), F.col("_key")).alias("_class"),
+        F.col("_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
     return joined.unionByName(alone).select(
-        F.col("_id").alias(id_col), "_key", "class_id", "n_links",
+        F.col("_id").alias(id_col), "_key", "_class", "class_id", "n_links",
         F.col("_id").eqNullSafe(F.col("class_id")).alias("kept"))
 
 
 def one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   **options) -> DataFrame:
-    """The rows of ``docs`` with the smallest id of each class, columns unchanged; of rows that
-    repeat that id one stays."""
-    kept = (jaccard_classes(docs, id_col, text_col, **options).where("kept")
-            .groupBy(F.when(F.col("class_id").isNull(), F.concat(F.lit("null "), F.col("_key")))
-                     .otherwise(F.col("class_id").cast("string")).alias("_class"))
-            .agg(F.min("_key").alias("_key")).select("_key"))
+    """The row of ``docs`` with the smallest id of each class, columns unchanged (of rows that
+    repeat this id and the class the one with the smallest key); rows that share an id are
+    different documents unless they are in one class."""
+    kept = (jaccard_classes(docs, id_col, text_col, **options).groupBy("_class")
+            .agg(F.min(F.struct(id_col, "_key")).alias("_first")).select("_first._key"))
     once = packed(docs, id_col, text_col).join(kept, "_key").dropDuplicates(["_key"])
     return unpacked(once, docs.columns)

@@ -466,7 +466,10 @@ def score(docs: DataFrame, labels: DataFrame, learnable: Column, id_col: str = "
     picked = picked.withColumn("_row", draw).withColumn("_calibrates", F.pmod(draw, F.lit(5)) == 0)
     rows = docs.sparkSession.createDataFrame(picked.collect(), picked.schema)  # bounded by the sample
     sampled = (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-               .join(F.broadcast(rows), "_id"))
+               .join(F.broadcast(rows), "_id")
+               # of rows that repeat an id one is learned from, whatever their number
+               .groupBy("_id", "_row", "_label", "_calibrates")
+               .agg(F.min_by("_text", F.xxhash64("_text")).alias("_text")))
     fitting = sampled.where("NOT _calibrates").select("_row", "_label", "_text")
     net = train(_sample_windows(fitting, sample_windows), seed)
     texts = docs.select(F.col(id_col), F.col(text_col).alias("_text"))
