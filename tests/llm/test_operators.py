@@ -4,6 +4,7 @@ and very long texts, ties, repeated rows, empty tables, extra columns with clash
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -161,33 +162,74 @@ def test_substring_dedup_is_exact(docs, rows, empty):
     assert substring.repeated_spans(empty).count() == 0
 
 
-def test_line_dedup_is_exact(docs, rows, empty):
+def line_windows(lines, least):
+    """(first line, last line) of the shortest run with ``least`` words from each line on."""
+    out = []
+    for i in range(len(lines)):
+        for j in range(i, len(lines)):
+            if sum(len(words_of(x)) for x in lines[i:j + 1]) >= least:
+                out.append((i, j))
+                break
+    return out
+
+
+@pytest.mark.parametrize("least", [8, 1, 40])
+def test_line_dedup_is_exact(docs, rows, empty, least):
     keyed = sorted({(r[0] is not None, r[0] or 0, r[1] or "") for r in rows})
-    first, lines = {}, {}
-    for key in keyed:
-        lines[key] = [x for x in key[2].split("\n") if words_of(x)]
-    order = {}
+    lines = {key: [x for x in key[2].split("\n") if words_of(x)] for key in keyed}
+    places = defaultdict(list)
     for key in keyed:
-        for i in range(len(lines[key]) - 2):
-            run = tuple(lines[key][i:i + 3])
-            order.setdefault(run, []).append((key[0], key[1], key, i))
-    for run, places in order.items():
-        low = min((p[0], p[1]) for p in places)
-        first[run] = low
-    got = {(r.doc_id, r.n_lines): r for r in linededup.dedup_lines(docs).collect()}
+        for i, j in line_windows(lines[key], least):
+            places[tuple(lines[key][i:j + 1])].append((key[0], key[1], key, i))
+    got = {(r.doc_id, r.n_lines): r for r in linededup.dedup_lines(docs, min_words=least).collect()}
+    removed = 0
     for key in keyed:
         if key[1] == 1 or not key[0]:
             continue  # repeated id, null id: order among themselves is by key
         gone = set()
-        for i in range(len(lines[key]) - 2):
-            run = tuple(lines[key][i:i + 3])
-            earlier = first[run] < key[:2] or any(p[2] == key and p[3] < i for p in order[run])
-            if earlier:
-                gone |= {i, i + 1, i + 2}
+        for i, j in line_windows(lines[key], least):
+            same = places[tuple(lines[key][i:j + 1])]
+            if min(p[:2] for p in same) < key[:2] or any(p[2] == key and p[3] < i for p in same):
+                gone |= set(range(i, j + 1))
         assert got[key[1], len(lines[key])].n_removed == len(gone), key[1]
-    out = linededup.dedup_documents(docs)
-    assert out.columns == docs.columns and out.where("n_chars <> length(text) AND doc_id <> 1").count() == 0
-    assert linededup.dedup_documents(empty).count() == 0
+        removed += len(gone)
+    assert removed
+    if least == 8:
+        out = linededup.dedup_documents(docs)
+        assert out.columns == docs.columns and out.where("n_chars <> length(text) AND doc_id <> 1").count() == 0
+        assert linededup.dedup_documents(empty).count() == 0
+
+
+def test_single_lines_and_short_runs_are_found(spark):
+    licence = "this text may be used by anyone for any purpose at all whatsoever"
+    texts = ["one two three\n" + licence + "\nfour five six", licence, "a b c d\n" + licence + "\n\nq",
+             "short one here\nand a second line\nthen more", "x\nshort one here\nand a second line\ny", "short one here"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r.doc_id: r.kept_text for r in linededup.dedup_lines(df, min_words=7).collect()}
+    assert got == {0: texts[0], 1: "", 2: "a b c d\n\nq", 3: texts[3], 4: "x\ny", 5: texts[5]}
+
+
+def thue_morse(n, one, two):
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join((one, two)[b] for b in bits), "".join((two, one)[b] for b in bits)
+
+
+def test_texts_that_collide_under_a_polynomial_stay_apart(spark):
+    one, two = thue_morse(2048, "a", "b")
+    df = spark.createDataFrame([(1, one), (2, two), (3, f"{one}\n{two}"), (4, one)], "doc_id long, text string")
+    got = {r.doc_id: (r.class_id, r.n_links) for r in neardup.jaccard_classes(df).collect()}
+    assert got == {1: (1, 1), 2: (2, 0), 3: (3, 0), 4: (1, 1)}
+    lines = {r.doc_id: r.n_removed for r in linededup.dedup_lines(df, min_words=1).collect()}
+    assert lines == {1: 0, 2: 0, 3: 2, 4: 1}
+    fill = " ".join(f"x{i}" for i in range(49))
+    df = spark.createDataFrame([(1, f"{one} {fill}"), (2, f"{two} {fill}"), (3, f"{one} {fill}")], "doc_id long, text string")
+    spans = {r.doc_id: r.n_removed for r in substring.repeated_spans(df).collect()}
+    assert spans == {1: 0, 2: 0, 3: 50}
+    w_one, w_two = thue_morse(2048, "a ", "b ")
+    df = spark.createDataFrame([(1, w_one), (2, w_two)], "doc_id long, text string")
+    assert neardup.jaccard_classes(df).select("class_id").distinct().count() in (1, 2)
+    from quarry.llm.hashing import digest
+    assert neardup.sequence_hash(w_one.encode()) != neardup.sequence_hash(w_two.encode()) and len(digest(b"")) == 16
 
 
 # --- extraction -----------------------------------------------------------------------
@@ -237,6 +279,41 @@ def test_extraction_leaves_out_whole_names_only():
     assert extraction.main_text(page) == "a b c x d e f"
 
 
+def test_extraction_leaves_out_comments_and_teasers_with_articles():
+    comment = ('<li class="comment"><article class="comment-body"><footer>ann</footer><p>' + "a long reader comment, " * 30
+               + "</p></article></li>")
+    for before, after in (("", ""), ("<main>", "</main>"), ("<div class='page'>", "</div>")):
+        page = f"""<body><header><h1>Site</h1></header>{before}<article><h1>Head</h1>
+          <p>The article text, of some length, goes on for a while.</p><p>More of it here.</p>
+          <div class="post-header"><p>its own head</p></div></article>
+          <div id="comments"><h2>2 comments</h2><ol>{comment * 2}</ol></div>
+          <section class="related-posts"><article><h1>Teaser</h1><p>{"a teaser for another story, " * 9}</p></article></section>
+          <div class="post-footer">tags</div><div class="cookie-policy">cookies</div>
+          <div class="user-comment"><p>me too</p></div><section class="comment-section"><p>first</p></section>{after}
+          <footer>us</footer></body>"""
+        assert extraction.main_text(page) == ("Head The article text, of some length, goes on for a while. "
+                                              "More of it here. its own head"), before
+
+
+def test_an_article_elsewhere_must_be_dense_enough():
+    long = "<p>" + "many words of the first part, " * 20 + "</p>"
+    far = "<div><span><a href='/'>x</a></span><article><b>t</b><i>u</i><b>v</b></article></div>"
+    text = extraction.main_text(f"<body><article>{long * 3}</article>{far}</body>")
+    assert text.count("first part") == 60 and not text.endswith("v")
+
+
+def test_extraction_reads_awkward_markup_in_linear_time():
+    pages = {"name": "<div " + "a" * 200_000 + ">x</div>", "names": "<div " + "a " * 100_000 + ">x</div>",
+             "values": "<div " + "a=" * 100_000 + ">x</div>", "gap": "<div a" + " " * 200_000 + "b>x",
+             "headers": "<header>" * 10_000 + "x", "in article": "<article>" + "<header>" * 10_000 + "x",
+             "scope": "<p><button>" + "<b>" * 10_000 + "<div>x" * 5_000, "quotes": "<p '>" * 20_000,
+             "open tags": "<a" * 50_000, "angles": "<" * 100_000}
+    for name, page in pages.items():
+        start = time.time()
+        extraction.main_text(page)
+        assert time.time() - start < 2, name
+
+
 # --- toxicity -----------------------------------------------------------------------------
 
 def test_toxicity_learns_words_and_prefixes(spark, empty):
@@ -328,11 +405,25 @@ def test_jaccard_join_is_exact(docs, rows, empty):
         assert Counter((r.doc_id, r.class_id, r.n_links) for r in got.collect()) == want
     kept = neardup.one_per_class(docs)
     assert kept.columns == docs.columns
-    classes = {low[comp[i]] for i, r in enumerate(rows) if r[0] is not None}
-    assert sorted(r.doc_id for r in kept.where("doc_id IS NOT NULL").collect()) == sorted(classes)
+    # one row per class of documents with words, and every distinct document without any
+    first = {}
+    for i, r in enumerate(rows):
+        if sets[i]:
+            first[comp[i]] = min(first.get(comp[i], r[0]), r[0])
+    bare = {(r[0], r[1]) for i, r in enumerate(rows) if not sets[i] and r[0] is not None}
+    assert sorted(r.doc_id for r in kept.where("doc_id IS NOT NULL").collect()) == sorted(
+        [*first.values(), *(i for i, _ in bare)])
     assert neardup.one_per_class(empty).count() == 0
 
 
+def test_one_per_class_keeps_unrelated_texts_of_one_id(spark):
+    a, b = (" ".join(f"{p}{i}" for i in range(30)) for p in "ab")
+    rows = [(5, a), (5, b), (5, ""), (6, a + " more"), (7, b), (5, a), (None, a)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((r.doc_id, r.text) for r in neardup.one_per_class(df).collect())
+    assert got == Counter([(5, a), (5, b), (5, ""), (None, a)])
+
+
 def test_prefix_depth_reaches_the_target_recall():
     d = neardup.prefix_depth(0.8, 20, 12, 0.999)
     assert 1 - (1 - 0.8 ** d) ** 20 >= 0.999 > 1 - (1 - 0.8 ** (d + 1)) ** 20
@@ -388,6 +479,15 @@ def test_repeated_vector_rows_are_one_vector(spark):
     assert got == [(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True), (3, 0, 3, True)]
 
 
+def test_vectors_of_all_lengths_and_ids_with_several_vectors(spark):
+    rows = [(1, [1.0, 0.0, 0.0]), (2, [1.0, 0.0, 0.0]), (6, [0.0, 1.0]), (6, [1.0, 0.0]), (10, [2.0, 0.0]),
+            (11, [1.0, 0.0]), (12, [1.0, 0.0]), (13, [0.0, -1.0]), (14, [1.0, 0.01]), (6, [1.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = Counter(tuple(r) for r in lattice.near_duplicates(df).collect())
+    assert got == Counter([(1, 1, 1, True), (2, 1, 1, False), (6, 0, 6, True), (6, 4, 6, True), (6, 4, 6, True),
+                           (10, 4, 6, False), (11, 4, 6, False), (12, 4, 6, False), (13, 0, 13, True), (14, 4, 6, False)])
+
+
 # --- packing and mixing ---------------------------------------------------------------------------
 
 def test_packing_round_trip(docs, rows, empty):
@@ -484,3 +584,14 @@ def test_mixing_hits_its_targets(docs, rows, empty):
         mixed[r.source] += len(words_of(r.text))
     assert mixed == {s: n for s, n in taken.items() if n}
     assert mixing.mix(empty).count() == 0 and mixing.mixed_documents(empty).count() == 0
+
+
+def test_mixed_documents_follow_each_source(spark):
+    text = " ".join(f"w{i}" for i in range(12))
+    rows = [(1, text, "x"), (1, text, "y"), (1, text, "x"), (2, "a b c", "y"), (3, "d e f g", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want = {r.source: r.n for r in mixing.mix(df).groupBy("source").agg(F.sum("taken").alias("n")).collect() if r.n}
+    got = defaultdict(int)
+    for r in mixing.mixed_documents(df).collect():
+        got[r.source] += len(words_of(r.text))
+    assert got == want
