@@ -124,16 +124,35 @@ def pair_candidates(ratings: DataFrame, min_strength: float, user: str = "user",
                     F.col("a.n").alias("n1"), F.col("b.n").alias("n2")).distinct())
 
 
+def _prefixes_pay(r: DataFrame, min_strength: float) -> bool:
+    """Whether the lookups of all candidates are fewer than the pairs of all users' items."""
+    def pairs_of(rows: DataFrame):
+        return rows.groupBy("u").agg(F.count(F.lit(1)).cast("double").alias("_m")).agg(
+            F.sum(F.col("_m") * (F.col("_m") - 1))).first()[0] or 0.0
+    p = write_table(prefix_ratings(r, min_strength), "prefixes")
+    looked_up = p.agg(F.avg("n")).first()[0] or 0.0
+    return pairs_of(p) * looked_up < pairs_of(r)
+
+
 def similar_pairs(ratings: DataFrame, min_score: float, min_strength: float, user: str = "user",
-                  item: str = "item", rating: str = "rating", block_rows: int = 2000) -> DataFrame:
+                  item: str = "item", rating: str = "rating", block_rows: int = 2000,
+                  prefixes: bool | None = None) -> DataFrame:
     """All pairs ``item1 < item2`` with ``score > min_score and strength > min_strength``:
     ``item1, item2, score, strength``, without the table of all pairs.
 
     Candidates come from the prefixes (``pair_candidates``).  Each is verified exactly: the
     ratings of its smaller item are looked up among the larger one's, one join on
     ``(item, user)``, so an item that everybody rates is never read once per pair.
+
+    Where users rate few items each, all their pairs are fewer than those lookups, and the
+    filtered pair table costs less; two aggregates tell (``prefixes`` decides otherwise).
     """
     r = write_table(_norm(ratings, user, item, rating), "ratings")
+    if prefixes is None:
+        prefixes = _prefixes_pay(r, min_strength)
+    if not prefixes:
+        return item_pairs(r, "u", "i", "r", block_rows).where(
+            (F.col("score") > F.lit(min_score)) & (F.col("strength") > F.lit(min_strength)))
     pairs = pair_candidates(r, min_strength, "u", "i", "r", block_rows)
     first = F.col("n1") <= F.col("n2")
     pairs = pairs.select("item1", "item2", F.when(first, F.col("item1")).otherwise(F.col("item2")).alias("i"),

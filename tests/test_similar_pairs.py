@@ -44,7 +44,10 @@ def test_similar_pairs_equal_the_filtered_table(spark, strength, block_rows):
     df = spark.createDataFrame([(*k, v) for k, v in rows.items()], SCHEMA)
     want = {p: s for p, s in _all_pairs(rows).items() if s[0] > 0.8 and s[1] > strength}
     got = {(r.item1, r.item2): (r.score, r.strength)
-           for r in similarity.similar_pairs(df, 0.8, strength, block_rows=block_rows).collect()}
+           for r in similarity.similar_pairs(df, 0.8, strength, block_rows=block_rows,
+                                             prefixes=True).collect()}
+    by_cost = similarity.similar_pairs(df, 0.8, strength).select("item1", "item2").collect()
+    assert {tuple(r) for r in by_cost} == want.keys()
     assert got.keys() == want.keys() and want
     for p, (score, n) in want.items():
         assert math.isclose(got[p][0], score) and got[p][1] == n
@@ -75,3 +78,11 @@ def test_similar_items_by_share_of_raters(spark):
                    if 0 in (a, b) and s[0] > 0.7 and s[1] > 0.1 * raters))[:10]
     got = similarity.similar_items(df, 0, 0.7, min_share=0.1).collect()
     assert [r.item for r in got] == [w[2] for w in want] and got
+
+
+def test_the_cheaper_way_is_taken(spark):
+    few = spark.createDataFrame([(u, u + d, 1.0) for u in range(100) for d in (0, 1)], "u long, i long, r double")
+    assert not similarity._prefixes_pay(few, 0)
+    rows = [(u, i, 1.0) for u in range(6) for i in range(200)] + [(100 + i, i, 1.0) for i in range(200)]
+    many = spark.createDataFrame(rows, "u long, i long, r double")
+    assert similarity._prefixes_pay(many, 6)
