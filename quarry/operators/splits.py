@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition index << 33 | position
@@ -61,6 +61,27 @@ def contiguous_folds(df: DataFrame, order_cols: Sequence[str], k: int = 5,
     return indexed.withColumn(alias, fold).drop("_rn")
 
 
+def write_folds(folded: DataFrame, path: str, order_cols: Sequence[str], fold: str = "fold") -> None:
+    """Store rows tagged by ``contiguous_folds`` as one table, partitioned by fold and sorted by
+    ``order_cols`` inside each: every row is written once, and ``read_fold`` gives the test and
+    base tables of any split from it.
+
+    The sort ranges over (fold, order), so a fold is spread over tasks by order, and a file
+    holds one range of one fold."""
+    parts = int(folded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (folded.repartitionByRange(parts, fold, *order_cols).sortWithinPartitions(fold, *order_cols)
+     .write.mode("error").partitionBy(fold).parquet(path))
+
+
+def read_fold(spark: SparkSession, path: str, i: int, order_cols: Sequence[str], fold: str = "fold"
+              ) -> tuple[DataFrame, DataFrame]:
+    """``(test, base)`` of split ``i`` in ``order_cols`` order: the fold and all others, each
+    read through partition pruning."""
+    rows = spark.read.parquet(path)
+    test, base = rows.where(F.col(fold) == i), rows.where(F.col(fold) != i)
+    return test.drop(fold).orderBy(*order_cols), base.drop(fold).orderBy(*order_cols)
+
+
 def per_user_holdout(df: DataFrame, user: str, order_cols: Sequence[str], row_key: str,
                      start: int = 1, stop: int = 10, max_test: int = 0,
                      alias: str = "split") -> DataFrame:

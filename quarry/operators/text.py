@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions import line_tokens_jvm, word_tokens
+from quarry.functions import word_tokens
+from quarry.functions.expressions import NON_WORD
 
 
 def word_count(df: DataFrame, text_col: str = "value", keep_empty: bool = False) -> DataFrame:
@@ -19,8 +20,12 @@ def word_count(df: DataFrame, text_col: str = "value", keep_empty: bool = False)
     combined per partition before the shuffle, so frequent words do not skew.
     """
     if keep_empty:
+        # each line is split once: lines of separators only have no tokens, and of the others'
+        # empty tokens the one in front counts and the one at the end does not
         lines = df.select(F.explode(F.split(F.col(text_col), "\n")).alias("_line"))
-        words = lines.select(F.explode(line_tokens_jvm("_line")).alias("_w"))
+        words = (lines.where(~F.col("_line").rlike(rf"\A{NON_WORD}\z"))
+                 .select(F.posexplode(F.split("_line", NON_WORD)).alias("_at", "_w"))
+                 .where((F.col("_w") != F.lit("")) | (F.col("_at") == 0)))
     else:
         # explode all tokens, then drop empties: cheaper than an array filter
         words = (df.select(F.explode(word_tokens(text_col, keep_empty=True)).alias("_w"))

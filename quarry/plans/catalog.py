@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from quarry.operators import graph, lookup, recommend, relational, similarity, splits, text
 from quarry.operators.lineage import scratch_path, write_table
-from quarry.sources import (load_table, read_delimited, read_dimension, read_lines,
-                            read_quoted_dimension)
+from quarry.operators.exact import exact_sum_by_key
+from quarry.sources import (good_rows, load_table, parse_strict, quarantined, read_delimited,
+                            read_dimension, read_lines, read_numbered_lines, read_quoted_dimension)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -89,6 +90,56 @@ def total_revenue(spark, sf_dir):
     return relational.rounded_total_by_key(lines, "o_custkey", "amount", alias="revenue")
 
 
+@query
+def exact_mixed_totals(spark, sf_dir):
+    """Exact sums of quantities spread over 29 decimal orders of magnitude, with both signs."""
+    li = _t(spark, sf_dir, "lineitem")
+    sign = F.when(F.col("l_returnflag") == "R", -1).otherwise(1)
+    rows = li.select("l_suppkey", (sign * F.col("l_quantity") * F.pow(
+        F.lit(2.0), (F.col("l_linenumber") - 4) * 16)).alias("amount"))
+    return exact_sum_by_key(rows, "l_suppkey", "amount")
+
+
+def _station_lines(spark, sf_dir) -> DataFrame:
+    """Events as station lines, written as text and read back: every 7th without a number,
+    every 11th cut short, every 13th with a byte that is not UTF-8."""
+    ev, at = _t(spark, sf_dir, "events"), F.col("event_id")
+    station = F.concat(F.lit("S"), F.col("user_id").cast("string"),
+                       F.when(at % 13 == 0, F.expr("cast(X'E9' AS string)")).otherwise(""))
+    tenths = F.when(at % 7 == 0, "n/a").otherwise(F.floor(F.col("value") * 10).cast("string"))
+    head = F.concat_ws(",", at.cast("string"), station)
+    line = F.when(at % 11 == 0, head).otherwise(F.concat_ws(",", head, "event_type", tenths))
+    path = scratch_path(spark, "station-lines")
+    ev.select(line.alias("value")).write.text(path)
+    return parse_strict(read_lines(spark, path), [("event_id", 0, "bigint"), ("station", 1, "string"),
+                                                  ("kind", 2, "string"), ("tenths", 3, "float")])
+
+
+@query
+def station_lines_good(spark, sf_dir):
+    return good_rows(_station_lines(spark, sf_dir))
+
+
+@query
+def station_lines_quarantined(spark, sf_dir):
+    """What is wrong with the other lines, by problem."""
+    bad = quarantined(_station_lines(spark, sf_dir))
+    return bad.groupBy("problem").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+@query
+def numbered_lines_roundtrip(spark, sf_dir):
+    """Events written as lines that hold their place in their file, read back numbered."""
+    path = scratch_path(spark, "numbered-lines")
+    place = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33) + 1
+    (_t(spark, sf_dir, "events").select(F.concat_ws(" ", F.col("event_id").cast("string"), place.cast("string"))
+                                        .alias("value")).write.text(path))
+    parts = F.split("value", " ")
+    return read_numbered_lines(spark, path).select(
+        F.get(parts, 0).cast("bigint").alias("event_id"),
+        (F.get(parts, 1).cast("bigint") == F.col("line")).alias("in_place"))
+
+
 @query
 def read_lines_roundtrip(spark, sf_dir):
     """Document texts written as text and read back as lines: lines by length."""
@@ -391,6 +442,20 @@ def contiguous_folds(spark, sf_dir):
     return splits.contiguous_folds(od, ["o_orderkey"], FOLDS)
 
 
+@query
+def fold_tables(spark, sf_dir):
+    """Test and base table of every split, from one stored table, sorted by customer and order."""
+    od = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    path, order = scratch_path(spark, "folds"), ["o_custkey", "o_orderkey"]
+    splits.write_folds(splits.contiguous_folds(od, ["o_orderkey"], FOLDS), path, order)
+    out = None
+    for i in range(1, FOLDS + 1):
+        for part, rows in zip(("test", "base"), splits.read_fold(spark, path, i, order)):
+            tagged = rows.select(F.lit(i).alias("split"), F.lit(part).alias("part"), "o_orderkey", "o_custkey")
+            out = tagged if out is None else out.unionByName(tagged)
+    return out
+
+
 @query
 def per_user_holdout(spark, sf_dir):
     ev = _t(spark, sf_dir, "events").select("event_id", "user_id", "ts")

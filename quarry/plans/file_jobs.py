@@ -13,12 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators import graph, lookup, recommend, relational, similarity, splits, text
-from quarry.sources import read_delimited, read_dimension, read_lines, read_quoted_dimension
+from quarry.sources import (good_rows, parse_strict, quarantined, read_delimited, read_dimension,
+                            read_lines, read_numbered_lines, read_quoted_dimension)
 
 # The input schemas of the programs and the constants they use.
 ORDER_SCHEMA = "user_id int, item_id int, amt double"
 TEMPERATURE_SCHEMA = "stationID string, date int, measure_type string, temperature float"
 RATING_SCHEMA = "userID int, movieID int, rating int, timestamp bigint"
+RATING_FIELDS = [("userID", 0, "int"), ("movieID", 1, "int"), ("rating", 2, "int"), ("timestamp", 3, "bigint")]
 AGE_LIMIT, AGE_OFFSET, TEEN_MIN, TEEN_MAX = 23, 10, 13, 19
 MINIMUM_TYPE = "TMIN"
 SIMILAR_MIN_SCORE, SIMILAR_MIN_STRENGTH, SIMILAR_TOP = 0.97, 50.0, 10
@@ -175,15 +177,20 @@ def movie_recommendations(spark: SparkSession, ratings: str, user_id: int,
 
 def rating_splits(spark: SparkSession, ratings: str, folds: int = FOLD_COUNT,
                   holdout_start: int = HOLDOUT_FIRST, holdout_stop: int = HOLDOUT_LAST,
-                  max_test: int = 0) -> dict[str, DataFrame]:
-    """Contiguous folds and a per-user hold-out.  The input order is
-    taken as (timestamp, user, movie): a DataFrame has no file order."""
-    r = _ratings(spark, ratings)
-    order = ["timestamp", "userID", "movieID"]
+                  max_test: int = 0, file_order: bool = False) -> dict[str, DataFrame]:
+    """Contiguous folds and a per-user hold-out, in (timestamp, user, movie) order or
+    with ``file_order`` in that of the lines in the file; lines that do not parse are then a
+    result of their own."""
+    order, rest = ["timestamp", "userID", "movieID"], {}
+    if file_order:
+        parsed = parse_strict(read_numbered_lines(spark, ratings), RATING_FIELDS, sep="\t")
+        r, order, rest = good_rows(parsed), ["file", "line"], {"quarantined": quarantined(parsed)}
+    else:
+        r = _ratings(spark, ratings)
     keyed = splits.row_index(r, order, "row_key")  # unique, also for repeated lines
     return {"folds": splits.contiguous_folds(r, order, folds),
             "holdout": splits.per_user_holdout(keyed, "userID", order, "row_key", holdout_start,
-                                               holdout_stop, max_test).drop("row_key")}
+                                               holdout_stop, max_test).drop("row_key"), **rest}
 
 
 JOBS = {

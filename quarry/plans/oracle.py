@@ -76,6 +76,21 @@ ORACLE_SQL: dict[str, str] = {
                CAST(round(sum(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(30,10))), 2)
                     AS DOUBLE) AS revenue
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey""",
+    "exact_mixed_totals": """
+        SELECT l_suppkey, CAST(CAST(sum(
+            (CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END)::HUGEINT * l_quantity::HUGEINT
+            * power(2::DOUBLE, 16 * (l_linenumber - 1))::HUGEINT) AS VARCHAR) AS DOUBLE)
+          / power(2::DOUBLE, 48) AS total
+        FROM lineitem GROUP BY l_suppkey""",
+    "station_lines_good": """
+        SELECT event_id, 'S' || user_id AS station, event_type AS kind,
+               CAST(floor(value * 10) AS FLOAT) AS tenths
+        FROM events WHERE event_id % 7 <> 0 AND event_id % 11 <> 0 AND event_id % 13 <> 0""",
+    "station_lines_quarantined": """
+        SELECT CASE WHEN event_id % 13 = 0 THEN 'malformed bytes' WHEN event_id % 11 = 0 THEN 'missing fields'
+                    ELSE 'bad tenths' END AS problem, count(*) AS n_lines
+        FROM events WHERE event_id % 7 = 0 OR event_id % 11 = 0 OR event_id % 13 = 0 GROUP BY 1""",
+    "numbered_lines_roundtrip": "SELECT event_id, TRUE AS in_place FROM events",
     "read_lines_roundtrip": """
         SELECT CAST(length(line) AS INTEGER) AS chars, count(*) AS n_lines
         FROM (SELECT unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents)
@@ -206,6 +221,14 @@ ORACLE_SQL: dict[str, str] = {
         FROM c LEFT JOIN {_LINE_NAMES} d ON c.item = d.line
         ORDER BY c.score DESC, c.strength DESC, c.item LIMIT 10""",
 
+    "fold_tables": """
+        WITH f AS (
+          SELECT o_orderkey, o_custkey,
+                 (row_number() OVER (ORDER BY o_orderkey) - 1)
+                   // CAST(ceil(count(*) OVER () / 5.0) AS BIGINT) + 1 AS fold FROM orders)
+        SELECT CAST(i AS INTEGER) AS split, CASE WHEN fold = i THEN 'test' ELSE 'base' END AS part,
+               o_orderkey, o_custkey
+        FROM f, (SELECT unnest([1, 2, 3, 4, 5]) AS i)""",
     "contiguous_folds": """
         SELECT o_orderkey, o_custkey,
                CAST((row_number() OVER (ORDER BY o_orderkey) - 1)

@@ -8,8 +8,9 @@ and a single ``value`` column of raw text lines that later stages parse.
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -46,10 +47,71 @@ _POS = "_file_pos"
 
 def _with_position(df: DataFrame) -> DataFrame:
     """Tag rows straight after the scan with their place in file order: the
-    file name, then the id Spark numbers rows with inside each split (splits
-    follow the file, so it grows with the line position)."""
-    return df.withColumn(_POS, F.struct(F.input_file_name().alias("f"),
-                                        F.monotonically_increasing_id().alias("p")))
+    file, the start of the block they were read from, and the id Spark numbers
+    rows with, which grows with the line inside a block whatever order the
+    blocks are dealt to tasks in."""
+    return df.select("*", F.struct(F.col("_metadata.file_path").alias("f"),
+                                   F.col("_metadata.file_block_start").alias("b"),
+                                   F.monotonically_increasing_id().alias("p")).alias(_POS))
+
+
+def read_numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Text lines with their true position: ``value, file, line`` (``line`` from 1 in each
+    file), however many blocks a file is read in.
+
+    A block's lines are numbered where they are read; the numbers of the lines before it are
+    sums over one count per block.  The tagged lines are stored once, so the counts and the
+    numbers see the same blocks."""
+    from quarry.operators.lineage import write_table
+    tagged = write_table(_with_position(spark.read.text(path)).select(
+        "value", F.col(f"{_POS}.f").alias("file"), F.col(f"{_POS}.b").alias("_block"),
+        F.col(f"{_POS}.p").alias("_at")), "numbered-lines")
+    counts = tagged.groupBy("file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    before = Window.partitionBy("file").orderBy("_block")  # one row per block
+    offsets = counts.select("file", "_block", (F.sum("_n").over(before) - F.col("_n") - F.col("_first") + 1)
+                            .alias("_shift"))
+    return tagged.join(offsets, ["file", "_block"]).select(
+        "value", "file", (F.col("_at") + F.col("_shift")).alias("line"))
+
+
+def parse_strict(lines: DataFrame, fields: Sequence[tuple[str, int, str]], sep: str = ",",
+                 col: str = "value", malformed: str = "quarantine") -> DataFrame:
+    """Lines parsed field by field: other columns of ``lines``, the fields' columns, the line
+    itself and ``problem``.
+
+    ``fields`` holds (name, position from 0, type).  A line is good (``problem`` null) if it is
+    valid UTF-8, reaches the last position asked for and every typed field parses; otherwise
+    ``problem`` names the first thing wrong and the fields are null.  ``malformed="replace"``
+    puts replacement characters for malformed bytes and parses on.  Nothing is dropped:
+    ``good_rows`` and ``quarantined`` split the result.
+    """
+    line = F.col(col)
+    valid = F.is_valid_utf8(line)
+    if malformed == "replace":
+        line, valid = F.make_valid_utf8(line), F.lit(True)
+    elif malformed != "quarantine":
+        raise ValueError(f"malformed must be 'quarantine' or 'replace', not {malformed!r}")
+    raw = lines.select("*", valid.alias("_valid"), F.split(line, re.escape(sep), -1).alias("_f"))
+    typed = [(name, F.get("_f", F.lit(at)).try_cast(kind)) for name, at, kind in fields]
+    most = max(at for _, at, _ in fields)
+    problem = F.when(~F.col("_valid"), F.lit("malformed bytes")).when(
+        F.size("_f") <= most, F.lit("missing fields"))
+    for name, value in typed:
+        problem = problem.when(value.isNull(), F.lit(f"bad {name}"))
+    other = [c for c in lines.columns if c != col]
+    return (raw.withColumn("problem", problem)
+            .select(*other, *(F.when(F.col("problem").isNull(), value).alias(name) for name, value in typed),
+                    F.col(col), "problem"))
+
+
+def good_rows(parsed: DataFrame, col: str = "value") -> DataFrame:
+    """The typed columns of the lines without a problem."""
+    return parsed.where(F.col("problem").isNull()).drop(col, "problem")
+
+
+def quarantined(parsed: DataFrame, col: str = "value") -> DataFrame:
+    """The other lines as they were read, with their problem."""
+    return parsed.where(F.col("problem").isNotNull()).select(col, "problem")
 
 
 def _unique_key(dim: DataFrame, id_col: str, name_col: str, keep: str) -> DataFrame:
