@@ -11,6 +11,7 @@ import argparse
 import inspect
 import sys
 
+from quarry.operators.lineage import scratch_scope
 from quarry.plans.file_jobs import JOBS
 
 
@@ -44,14 +45,15 @@ def main(argv: list[str] | None = None) -> int:
     out, fmt, show = args.pop("out"), args.pop("format"), args.pop("show")
     from quarry.session import get_session
     spark = get_session(app_name=f"quarry-{job}")
-    for name, df in JOBS[job](spark, **args).items():
-        if out:
-            writer = df.write.mode("overwrite")
-            path = f"{out.rstrip('/')}/{name}"
-            (writer.option("header", "true").csv(path) if fmt == "csv" else writer.parquet(path))
-        else:
-            print(f"== {name}")
-            df.show(show, truncate=False)
+    with scratch_scope(spark):  # the results are consumed inside; intermediate tables go then
+        for name, df in JOBS[job](spark, **args).items():
+            if out:
+                writer = df.write.mode("overwrite")
+                path = f"{out.rstrip('/')}/{name}"
+                (writer.option("header", "true").csv(path) if fmt == "csv" else writer.parquet(path))
+            else:
+                print(f"== {name}")
+                df.show(show, truncate=False)
     return 0
 
 

@@ -16,6 +16,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Rows of a bounded side up to which its keys are broadcast by hint.
+MAX_HINTED_ROWS = 100_000
+
+
 def attach_name(df: DataFrame, dim: DataFrame, key: str, dim_key: str,
                 name_col: str, small_side_rows: int | None = None) -> DataFrame:
     """Left join ``dim[name_col]`` onto ``df`` by ``key = dim_key``; a missing
@@ -26,10 +30,11 @@ def attach_name(df: DataFrame, dim: DataFrame, key: str, dim_key: str,
     side, so then the ≤ k keys are broadcast into an inner join that streams
     the dimension once without shuffling it, and the ≤ k rows are left-joined
     with their ≤ k names (both sides bounded).  ``df`` is read twice then, so
-    it must be deterministic (top-k results here always break ties by id).
+    it must be deterministic (top-k results here always break ties by id).  A bound
+    above ``MAX_HINTED_ROWS`` is no reason to broadcast and goes the ordinary way.
     """
     right = dim.select(F.col(dim_key).alias("_dim_key"), F.col(name_col))
-    if small_side_rows is None:
+    if small_side_rows is None or small_side_rows > MAX_HINTED_ROWS:
         return df.join(right, df[key] == right["_dim_key"], "left").drop("_dim_key")
     keys = df.select(F.col(key).alias("_want")).distinct()
     names = (right.join(F.broadcast(keys), right["_dim_key"] == keys["_want"])

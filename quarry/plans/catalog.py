@@ -197,6 +197,16 @@ def adjacency_multi(spark, sf_dir):
     return graph.degree(li.unionByName(bare), trim=False)
 
 
+@query
+def adjacency_spaced(spark, sf_dir):
+    """The same lines with runs of spaces and tabs between, before and after the ids, trimmed
+    and split on white space."""
+    li = _t(spark, sf_dir, "lineitem").select(F.format_string(
+        "  %d \t%d   %d ", "l_partkey", supplier_node("l_suppkey"), "l_orderkey").alias("value"))
+    bare = _t(spark, sf_dir, "part").select(F.format_string(" %d ", "p_partkey").alias("value"))
+    return graph.degree(li.unionByName(bare))
+
+
 @query
 def min_converted(spark, sf_dir):
     ev = _t(spark, sf_dir, "events")
@@ -239,10 +249,11 @@ def popular_items_named(spark, sf_dir):
 
 @query
 def popular_items_unmatched(spark, sf_dir):
-    """Strict lookup check: rated items that found no name (one row)."""
+    """Strict lookup check: rated items that found no name (one row), with the names of
+    parts above size 5."""
     counts = lookup.popularity(_t(spark, sf_dir, "lineitem"), "l_partkey")
-    named = lookup.attach_name(counts, _t(spark, sf_dir, "part"), "l_partkey", "p_partkey",
-                               "p_name")
+    named = lookup.attach_name(counts, _t(spark, sf_dir, "part").where("p_size > 5"), "l_partkey",
+                               "p_partkey", "p_name")
     return lookup.count_unmatched(named, "p_name")
 
 
@@ -497,6 +508,17 @@ def als_recommend(spark, sf_dir):
                               small_side_rows=recommend.TOP_N)
 
 
+@query
+def als_recommend_ranks(spark, sf_dir):
+    """What is determined of ``als_recommend``: the requested user, ranks 1 to 10, rated parts,
+    their names."""
+    recs = als_recommend(spark, sf_dir)
+    rated = _t(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("_part")).distinct()
+    return recs.join(rated, recs["movieID"] == rated["_part"], "left").select(
+        "userID", F.col("rank").cast("long").alias("rank"), F.col("_part").isNotNull().alias("rated"),
+        F.col("p_name").isNotNull().alias("named"))
+
+
 # Ratings with structure, for evidence about training: a part's size less what the customer
 # was granted on it, in tens.  A tenth of them, told by the keys, is held out.
 

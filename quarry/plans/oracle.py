@@ -45,6 +45,14 @@ _SIZED = """WITH p AS (SELECT DISTINCT o_custkey AS u, l_partkey AS i, (o_custke
         t AS (SELECT u, i FROM p WHERE NOT held)"""
 
 ORACLE_SQL: dict[str, str] = {
+    "adjacency_spaced": """
+        SELECT id, CAST(sum(d) AS BIGINT) AS degree FROM (
+          SELECT l_partkey AS id, 2 AS d FROM lineitem
+          UNION ALL SELECT p_partkey, 0 FROM part) GROUP BY id""",
+    "als_recommend_ranks": """
+        SELECT (SELECT min(o_custkey) FROM orders) AS "userID", CAST(r AS BIGINT) AS rank,
+               TRUE AS rated, TRUE AS named
+        FROM (SELECT unnest(generate_series(1, 10)) AS r)""",
     # models are not SQL: what is determined about them is
     "als_fit_evidence": f"""
         {_SIZED}
@@ -256,7 +264,7 @@ ORACLE_SQL: dict[str, str] = {
     "popular_items_unmatched": """
         SELECT CAST(count(*) FILTER (WHERE p.p_partkey IS NULL) AS BIGINT) AS unmatched
         FROM (SELECT DISTINCT l_partkey FROM lineitem) c
-        LEFT JOIN part p ON c.l_partkey = p.p_partkey""",
+        LEFT JOIN part p ON c.l_partkey = p.p_partkey AND p.p_size > 5""",
     "read_delimited_roundtrip_tsv": "SELECT * FROM part",
     "read_delimited_roundtrip_quoted": "SELECT p_partkey, p_name FROM part",
     "read_delimited_roundtrip_inferred": "SELECT * FROM part",
