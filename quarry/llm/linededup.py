@@ -99,7 +99,10 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return pa.RecordBatch.from_arrays(
             [col["_key"].take(pa.array(rows, pa.int64())),
              pa.array(np.concatenate(own) if own else [], pa.int64())], names=["_key", "print"])
-    shared = prints.groupBy("print").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("print")
+    # stored, like the first places below: a join of two plain tables lets Spark split the rows
+    # of a line or window that very many documents hold
+    shared = scratch(prints.groupBy("print").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+                     .select("print"), "prints")
     common = prints.join(shared, "print").select("_key", "print")
     own = map_batches(inside, repeats, "_key long, print long")
     chosen = (common.unionByName(own).groupBy("_key").agg(F.collect_set("print").alias("shared")))
@@ -129,8 +132,8 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         lined.select("_key", "_id", "lines", "words").join(chosen, "_key"), extend,
         f"_key long, _id {id_type}, start int, length int, run binary"), "runs")
     place = F.struct("_id", "_key", "start")
-    first = (runs.groupBy("run").agg(F.min(place).alias("_first"), F.count(F.lit(1)).alias("n"))
-             .where("n > 1").select("run", "_first"))
+    first = scratch(runs.groupBy("run").agg(F.min(place).alias("_first"), F.count(F.lit(1)).alias("n"))
+                    .where("n > 1").select("run", "_first"), "first-runs")
     return (runs.join(first, "run").where(~place.eqNullSafe(F.col("_first")))
             .groupBy("_key").agg(F.collect_list(F.struct("start", "length")).alias("found")))
 
