@@ -429,6 +429,36 @@ def test_prefix_depth_reaches_the_target_recall():
     assert 1 - (1 - 0.8 ** d) ** 20 >= 0.999 > 1 - (1 - 0.8 ** (d + 1)) ** 20
 
 
+def test_tries_link_every_entry_to_the_first_of_its_node(spark):
+    r = random.Random(9)
+    entries = [(t, bytes(r.choice([0, 0, 0, 1]) for _ in range(16)), 1000 * t + i) for t in range(3) for i in range(400)]
+    df = spark.createDataFrame(entries, "tree int, key binary, rep long")
+    for depth in (1, 3, 8):
+        got = neardup._tries(df, depth).collect()
+        nodes = defaultdict(list)
+        for t, key, rep in entries:
+            nodes[t, key[:2 * depth]].append(rep)
+        names = {x: k for k, xs in nodes.items() for x in xs}
+        assert all(names[e.rep] == names[e.hub] and e.level >= depth for e in got)
+        linked = components(3000, [(e.rep, e.hub) for e in got])
+        assert all(len({linked[x] for x in xs}) == 1 for xs in nodes.values())
+        assert len(got) == sum(len(xs) - 1 for xs in nodes.values())
+
+
+def test_forest_finds_similar_sets_at_its_depth():
+    r = np.random.default_rng(3)
+    forest = neardup.Forest(neardup.TREES, neardup.LONGEST_PREFIX)
+    depth = neardup.prefix_depth(longest=neardup.LONGEST_PREFIX)
+    found, matches = [], []
+    for _ in range(150):
+        items = r.integers(0, 1 << 63, 130, dtype=np.uint64)
+        a, b = items[:115], items[13:128]  # similarity 102 / 128 = 0.797
+        ka, kb = (np.frombuffer(forest.keys(x), ">u2").reshape(neardup.TREES, -1) for x in (a, b))
+        found.append((ka[:, :depth] == kb[:, :depth]).all(axis=1).any())
+        matches.append((ka == kb).mean())
+    assert depth == 5 and np.mean(found) > 0.98 and abs(np.mean(matches) - 102 / 128) < 0.02
+
+
 def test_components_of_paths_stars_and_loops(spark):
     r = random.Random(2)
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(7, 7)]
