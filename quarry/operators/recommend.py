@@ -85,7 +85,7 @@ def recommend_any_ids(ratings: DataFrame, users: DataFrame, user: str, item: str
     indexed, uidx, iidx = dense_ratings(ratings, user, item, rating)
     model = fit_als(indexed, "_u", "_i", "_r", seed=seed)
     wanted = users.select(user).join(uidx, user).select("_u")
-    recs = recommend(model, wanted, n)
+    recs, _ = recommend_pruned(model, wanted, n)  # MLlib's rows without its cartesian product
     # n rows per requested user: no hint, the requested set may be large;
     # Spark's size check / AQE broadcasts it when it is small
     return recs.join(uidx, "_u").join(iidx, "_i").select(user, "rank", item, "rating")
