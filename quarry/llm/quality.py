@@ -1,9 +1,10 @@
 """Weak supervision over quality rules.
 
 Every rule looks at one feature of a whole text and votes good (+1) or bad (-1) or abstains
-(0).  A latent two-class model gives each rule its own vote probabilities per class;
-expectation-maximisation estimates them together with the class prior, and the posterior
-probability of "good" replaces an all-rules-must-pass filter.  The documents enter the
+(0).  A latent two-class model gives each rule one accuracy, the probability that a vote of it
+is right, the same for both classes and kept between 0.6 and 0.995;
+expectation-maximisation estimates the accuracies together with the class prior, and the
+posterior probability of "good" replaces an all-rules-must-pass filter.  The documents enter the
 estimation only through the number of documents per vote pattern, a table of at most
 3 ** rules rows whatever the corpus size, so all documents count and nothing is sampled.
 

@@ -128,6 +128,31 @@ def test_quality_features_match_their_definition(docs, rows):
     assert got == Counter((r[0], *plain_features(r[1])) for r in rows)
 
 
+def test_quality_posteriors_equal_a_plain_estimation(docs):
+    judged = quality.judge(quality.quality_features(docs)).collect()
+    votes = [[int(d) - 1 for d in r.votes] for r in judged]
+    accuracy, prior, good, before = [0.85] * len(quality.RULES), 0.8, None, None
+    for _ in range(100):
+        good = []
+        for v in votes:  # document by document
+            up, down = prior, 1 - prior
+            for a, x in zip(accuracy, v):
+                if x:
+                    up, down = up * (a if x > 0 else 1 - a), down * (1 - a if x > 0 else a)
+            good.append(up / (up + down))
+        moved = before is None or max(abs(a - b) for a, b in zip(good, before)) > 1e-9
+        before = good
+        for k in range(len(accuracy)):
+            cast = [(g if v[k] > 0 else 1 - g) for v, g in zip(votes, good) if v[k]]
+            accuracy[k] = min(max((sum(cast) + 20 * 0.85) / (len(cast) + 20), 0.6), 0.995)
+        prior = min(max((sum(good) + 20 * 0.8) / (len(good) + 20), 0.05), 0.95)
+        if not moved:
+            break
+    assert len({r.votes for r in judged}) > 3
+    for r, g in zip(judged, good):
+        assert abs(r.posterior - g) < 1e-6 and r.kept == (not r.base_failed and r.posterior >= 0.5)
+
+
 def test_quality_keeps_prose_and_rejects_junk(spark, empty):
     r = random.Random(5)
     good = [sentence(r, 90) + "." for _ in range(60)]
