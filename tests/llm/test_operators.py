@@ -526,6 +526,23 @@ def test_lattice_links_match_brute_force(spark):
     assert lattice.near_duplicates(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("rows", [100, 50_000, 10_000_000])
+def test_candidate_recall_of_every_setting(rows):
+    r = np.random.default_rng(6)
+    one, other = r.standard_normal((2, 700, 64))
+    one /= np.linalg.norm(one, axis=1, keepdims=True)
+    other -= (other * one).sum(axis=1, keepdims=True) * one
+    other /= np.linalg.norm(other, axis=1, keepdims=True)
+    other = 0.9 * one + np.sqrt(1 - 0.81) * other  # cosine 0.9 exactly
+    tables, blocks, probes = lattice.settings(rows)
+    net = lattice.Tables(64, tables, blocks, lattice.SCALE, probes, lattice.SEED)
+    met = np.zeros(700, dtype=bool)
+    for t in range(tables):
+        a, b = (np.concatenate([own[:, None], near], axis=1) for own, near in (net.cells(x, t) for x in (one, other)))
+        met |= (a[:, :, None] == b[:, None, :]).any(axis=(1, 2))
+    assert met.mean() > 0.98
+
+
 def test_repeated_vector_rows_are_one_vector(spark):
     rows = [(1, [1.0, 0.5, 0.0]), (1, [1.0, 0.5, 0.0]), (2, [1.0, 0.5, 0.01]), (3, [-1.0, 0.2, 3.0]),
             (3, [-1.0, 0.2, 3.0])]
