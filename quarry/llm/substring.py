@@ -172,8 +172,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         "places array<int>, windows array<long>, text string"), "parsed")
     checks = parsed.select("_key", "_id", F.explode(F.arrays_zip("places", "windows")).alias("w")) \
         .select("_key", "_id", F.col("w.places").alias("place"), F.col("w.windows").alias("window"))
-    known = (checks.groupBy("window").agg(F.min("_id").alias("_low"), F.max("_id").alias("_high"))
-             .where("_low < _high").select("window", "_low"))
+    # stored for the same reason: one window may be in very many documents
+    known = scratch(checks.groupBy("window").agg(F.min("_id").alias("_low"), F.max("_id").alias("_high"))
+                    .where("_low < _high").select("window", "_low"), "windows")
     repeats = (checks.join(known, "window").where("_id > _low")
                .groupBy("_key").agg(F.collect_set("place").alias("found")))
 
