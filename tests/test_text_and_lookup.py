@@ -102,3 +102,13 @@ def test_dimension_last_line_wins_across_splits(spark, write_text):
         assert {r.id: r.name for r in q.collect()} == {3: "Alpha", 4: "Four"}
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_unmatched_lookup_reads_every_part(spark, tmp_path):
+    """Small parts have names too: only the id without a part is unmatched."""
+    from quarry.plans import QUERIES
+    spark.createDataFrame([(1, "a", 1), (2, "b", 5), (3, "c", 50)], "p_partkey long, p_name string, p_size long"
+                          ).write.parquet(str(tmp_path / "part.parquet"))
+    spark.createDataFrame([(1,), (2,), (2,), (3,), (4,)], "l_partkey long").write.parquet(
+        str(tmp_path / "lineitem.parquet"))
+    assert QUERIES["popular_items_unmatched"](spark, str(tmp_path)).first().unmatched == 1
