@@ -3,7 +3,7 @@
 Adding doubles rounds after every step, so a sum depends on how rows meet in tasks, and one
 over mixed magnitudes loses the small ones.  Here a double is cut, exactly, into at most
 three whole numbers on a fixed grid of 32-bit places (bins); the whole numbers of a bin are
-added as decimals, which is exact and combined map-side, and the bins of a key (at most 68)
+added in two halves as longs, which is exact and combined map-side, and the bins of a key (at most 68)
 are put together and rounded once, to the nearest double.
 """
 
@@ -19,11 +19,6 @@ _PLACE = float(1 << _BITS)
 _LIMB = "decimal(38,0)"
 
 
-def _whole(x: Column) -> Column:
-    """``x`` without its fraction, as a long."""
-    return F.when(x < 0, F.ceil(x)).otherwise(F.floor(x)).cast("bigint")
-
-
 def _scaled(x: Column, places: Column) -> Column:
     """``x`` times 2 ** (32 * places), exactly unless the result has no exact double; in two
     steps, since one factor may not be a double."""
@@ -31,25 +26,34 @@ def _scaled(x: Column, places: Column) -> Column:
     return x * half * half
 
 
-def _pieces(x: Column) -> Column:
-    """``array<struct<bin, limb, special>>`` of one value."""
-    bin_ = F.floor(F.floor(F.log2(F.abs(x))) / _BITS).cast("int")
-    top = _scaled(x, -bin_)
-    first = _whole(top)
-    middle = (top - first) * _PLACE
-    second = _whole(middle)
-    third = _whole((middle - second) * _PLACE)
+def _pieces(df: DataFrame, key: str, value: str) -> DataFrame:
+    """``_key, _p`` (``struct<bin, limb, special>``), one to three rows per value.
+
+    Each step is a column of its own: a step is used several times by the next, and written
+    as one expression the first would be computed some hundred times per row."""
+    x, v = F.col("_x"), F.col("_v")
+    steps = (df.select(F.col(key).alias("_key"), F.col(value).cast("double").alias("_x"))
+             .withColumn("_finite", ~F.isnan(x) & (F.abs(x) != float("inf")))
+             .withColumn("_v", F.when(F.col("_finite") & (x != 0), x))
+             .withColumn("_at", F.floor(F.floor(F.log2(F.abs(v))) / _BITS).cast("int"))
+             .withColumn("_half", F.pow(F.lit(2.0), F.col("_at") * (-_BITS // 2)))
+             .withColumn("_top", v * F.col("_half") * F.col("_half"))
+             .withColumn("_first", F.col("_top").cast("bigint"))  # drops the fraction
+             .withColumn("_middle", (F.col("_top") - F.col("_first")) * _PLACE)
+             .withColumn("_second", F.col("_middle").cast("bigint"))
+             .withColumn("_third", ((F.col("_middle") - F.col("_second")) * _PLACE).cast("bigint")))
 
     def piece(at: Column, limb: Column, special: Column) -> Column:
         return F.struct(at.cast("int").alias("bin"), limb.cast("bigint").alias("limb"),
                         special.cast("double").alias("special"))
-    none, zero = F.lit(None), F.lit(0)
-    finite = ~F.isnan(x) & (F.abs(x) != float("inf"))
-    return (F.when(x.isNull(), F.array(piece(F.lit(_NULL), zero, none)))
-            .when(~finite, F.array(piece(F.lit(_NOT_FINITE), zero, x)))
-            .when(x == 0, F.array(piece(zero, zero, none)))
-            .otherwise(F.array(piece(bin_, first, none), piece(bin_ - 1, second, none),
-                               piece(bin_ - 2, third, none))))
+    none, at = F.lit(None), F.col("_at")
+    bin_ = (F.when(x.isNull(), _NULL).when(~F.col("_finite"), _NOT_FINITE).when(x == 0, 0).otherwise(at))
+    # outer: no filter that would repeat the pieces is inferred
+    pieces = F.explode_outer(F.array(
+        piece(bin_, F.coalesce(F.col("_first"), F.lit(0)), F.when(~F.col("_finite"), x)),
+        piece(F.when(F.col("_second") != 0, at - 1), F.col("_second"), none),
+        piece(F.when(F.col("_third") != 0, at - 2), F.col("_third"), none)))
+    return steps.select("_key", pieces.alias("_p")).where(F.col("_p.bin").isNotNull())
 
 
 def _carried(totals: Column) -> Column:
@@ -74,10 +78,11 @@ def exact_sum_by_key(df: DataFrame, key: str, value: str, alias: str = "total")
     them gives; sums beyond the largest double are infinite (below 2**-1022 the last bit may
     be off).  Two aggregates: per key and bin, combined map-side, then at most 68 rows a key.
     """
-    x = F.col(value).cast("double")
-    bins = (df.select(F.col(key).alias("_key"), F.explode(_pieces(x)).alias("_p"))
-            .groupBy("_key", F.col("_p.bin").alias("_bin"))
-            .agg(F.sum(F.col("_p.limb").cast("decimal(20,0)")).cast(_LIMB).alias("_total"),
+    # the halves of a limb are added as longs, which would take 2**46 rows to overflow
+    limb, half = F.col("_p.limb"), _BITS // 2
+    high, low = F.sum(F.shiftright(limb, half)), F.sum(limb.bitwiseAND((1 << half) - 1))
+    bins = (_pieces(df, key, value).groupBy("_key", F.col("_p.bin").alias("_bin"))
+            .agg((high.cast("decimal(20,0)") * F.lit(1 << half).cast("decimal(10,0)") + low).cast(_LIMB).alias("_total"),
                  F.sum("_p.special").alias("_special")))
     normal = F.col("_bin") < _NULL
     keys = bins.groupBy("_key").agg(

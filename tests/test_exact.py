@@ -40,3 +40,10 @@ def test_special_values(spark):
     assert got["a"] == inf and math.isnan(got["b"]) and math.isnan(got["c"]) and got["d"] is None
     assert got["e"] == 2.5 and got[None] == 1.5 and got["f"] == inf
     assert exact_sum_by_key(df.limit(0), "k", "x").count() == 0
+
+
+def test_the_cuts_of_a_value_are_computed_once(spark):
+    """Written as one expression, the pieces of a value repeated its logarithm some hundred times."""
+    df = spark.createDataFrame([("a", 1.5)], "k string, x double")
+    plan = exact_sum_by_key(df, "k", "x")._jdf.queryExecution().optimizedPlan().toString()
+    assert 1 <= plan.count("LOG2(") <= 2
