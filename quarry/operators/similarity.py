@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import cosine_score
 from quarry.operators.lineage import write_table
-from quarry.operators.skew import block_tags
+from quarry.operators.skew import block_tags, sized_shuffles
 
 
 def _norm(ratings: DataFrame, user: str, item: str, rating: str) -> DataFrame:
@@ -114,24 +114,35 @@ def pair_candidates(ratings: DataFrame, min_strength: float, user: str = "user",
                     item: str = "item", rating: str = "rating",
                     block_rows: int = 2000) -> DataFrame:
     """Item pairs that may have more than ``min_strength`` common raters: ``item1, item2, n1,
-    n2`` (raters of each).  No such pair is missing; the others share a rare rater."""
-    p = prefix_ratings(_norm(ratings, user, item, rating), min_strength)
-    left, right = block_tags(write_table(p, "prefixes"), "u", "i", block_rows)
+    n2`` (raters of each).  No such pair is missing; the others share a rare rater.  The pairs
+    are written, by a job whose tasks are as many as the prefixes' pairs need."""
+    p = write_table(prefix_ratings(_norm(ratings, user, item, rating), min_strength), "prefixes")
+    left, right = block_tags(p, "u", "i", block_rows)
     a, b = left.alias("a"), right.alias("b")
-    return (a.join(b, (F.col("a.u") == F.col("b.u")) & (F.col("a._x") == F.col("b._x"))
-                   & (F.col("a._y") == F.col("b._y")) & (F.col("a.i") < F.col("b.i")))
-            .select(F.col("a.i").alias("item1"), F.col("b.i").alias("item2"),
-                    F.col("a.n").alias("n1"), F.col("b.n").alias("n2")).distinct())
+    pairs = (a.join(b, (F.col("a.u") == F.col("b.u")) & (F.col("a._x") == F.col("b._x"))
+                    & (F.col("a._y") == F.col("b._y")) & (F.col("a.i") < F.col("b.i")))
+             .select(F.col("a.i").alias("item1"), F.col("b.i").alias("item2"),
+                     F.col("a.n").alias("n1"), F.col("b.n").alias("n2")).distinct())
+    with sized_shuffles(p.sparkSession, _user_pairs(p)):
+        return write_table(pairs, "pair-candidates")
+
+
+def _user_pairs(rows: DataFrame) -> float:
+    """The pairs of all users' items."""
+    m = F.col("_m")
+    return rows.groupBy("u").agg(F.count(F.lit(1)).cast("double").alias("_m")).agg(
+        F.sum(m * (m - 1) / 2)).first()[0] or 0.0
+
+
+def _prefix_lookups(r: DataFrame, min_strength: float) -> float:
+    """The lookups that verify all candidates."""
+    p = write_table(prefix_ratings(r, min_strength), "prefixes")
+    return _user_pairs(p) * (p.agg(F.avg("n")).first()[0] or 0.0)
 
 
 def _prefixes_pay(r: DataFrame, min_strength: float) -> bool:
     """Whether the lookups of all candidates are fewer than the pairs of all users' items."""
-    def pairs_of(rows: DataFrame):
-        return rows.groupBy("u").agg(F.count(F.lit(1)).cast("double").alias("_m")).agg(
-            F.sum(F.col("_m") * (F.col("_m") - 1))).first()[0] or 0.0
-    p = write_table(prefix_ratings(r, min_strength), "prefixes")
-    looked_up = p.agg(F.avg("n")).first()[0] or 0.0
-    return pairs_of(p) * looked_up < pairs_of(r)
+    return _prefix_lookups(r, min_strength) < _user_pairs(r)
 
 
 def similar_pairs(ratings: DataFrame, min_score: float, min_strength: float, user: str = "user",
@@ -146,13 +157,23 @@ def similar_pairs(ratings: DataFrame, min_score: float, min_strength: float, use
 
     Where users rate few items each, all their pairs are fewer than those lookups, and the
     filtered pair table costs less; two aggregates tell (``prefixes`` decides otherwise).
+    The result is written, by a job whose tasks are as many as those pairs or lookups need.
     """
     r = write_table(_norm(ratings, user, item, rating), "ratings")
+    work = {False: _user_pairs(r)}
+    if prefixes is not False:
+        work[True] = _prefix_lookups(r, min_strength)
     if prefixes is None:
-        prefixes = _prefixes_pay(r, min_strength)
-    if not prefixes:
-        return item_pairs(r, "u", "i", "r", block_rows).where(
-            (F.col("score") > F.lit(min_score)) & (F.col("strength") > F.lit(min_strength)))
+        prefixes = work[True] < work[False]
+    passes = (F.col("score") > F.lit(min_score)) & (F.col("strength") > F.lit(min_strength))
+    with sized_shuffles(r.sparkSession, work[prefixes]):
+        scored = (_verified(r, min_strength, block_rows) if prefixes
+                  else item_pairs(r, "u", "i", "r", block_rows))
+        return write_table(scored.where(passes), "similar-pairs")
+
+
+def _verified(r: DataFrame, min_strength: float, block_rows: int) -> DataFrame:
+    """The candidates' scores and strengths."""
     pairs = pair_candidates(r, min_strength, "u", "i", "r", block_rows)
     first = F.col("n1") <= F.col("n2")
     pairs = pairs.select("item1", "item2", F.when(first, F.col("item1")).otherwise(F.col("item2")).alias("i"),
@@ -164,6 +185,5 @@ def similar_pairs(ratings: DataFrame, min_score: float, min_strength: float, use
     sums = common.groupBy("item1", "item2").agg(
         F.sum(x * y).alias("_xy"), F.sum(x * x).alias("_xx"), F.sum(y * y).alias("_yy"),
         F.count(F.lit(1)).alias("strength"))
-    return (sums.select("item1", "item2", cosine_score(F.col("_xy"), F.col("_xx"), F.col("_yy"))
-                        .alias("score"), "strength")
-            .where((F.col("score") > F.lit(min_score)) & (F.col("strength") > F.lit(min_strength))))
+    return sums.select("item1", "item2", cosine_score(F.col("_xy"), F.col("_xx"), F.col("_yy"))
+                       .alias("score"), "strength")

@@ -1,4 +1,4 @@
-"""Hot keys, split by their size.
+"""Hot keys, split by their size, and shuffles sized by the rows they move.
 
 A single key may hold a large share of all rows (one user, one node).  Its rows
 are cut into ``ceil(rows / block_rows)`` blocks, whatever the share, so the work
@@ -8,7 +8,11 @@ there is one plan for all of them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -40,3 +44,27 @@ def block_tags(df: DataFrame, key: str, spread: str, block_rows: int
     left = tagged.withColumn("_x", own).withColumn("_y", every)
     right = tagged.withColumn("_y", own).withColumn("_x", every)
     return left.drop("_blocks", "_b"), right.drop("_blocks", "_b")
+
+
+#: Rows that one task of a sized shuffle takes, and the most partitions it is cut into.
+ROWS_PER_TASK, MAX_PARTITIONS = 1_000_000, 20_000
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, rows: float) -> Iterator[None]:
+    """Jobs run inside the block shuffle into as many partitions as ``rows`` need at about
+    ``ROWS_PER_TASK`` each (the session's number at least), so the memory of a task does not
+    grow with the input.  What adaptive execution would coalesce by bytes stays apart: rows
+    of few bytes may meet many others.  Only jobs are bound, so results are written inside."""
+    wanted = {"spark.sql.shuffle.partitions": str(max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")),
+        min(math.ceil(rows / ROWS_PER_TASK), MAX_PARTITIONS))),
+        "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    usual = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in usual.items():
+            spark.conf.set(key, value)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from quarry.operators import graph, lookup, recommend, relational, similarity, splits, text
 from quarry.operators.lineage import scratch_path, write_table
 from quarry.operators.exact import exact_sum_by_key
+from quarry.operators.skew import sized_shuffles
 from quarry.sources import (good_rows, load_table, parse_strict, quarantined, read_delimited,
                             read_dimension, read_lines, read_numbered_lines, read_quoted_dimension)
 
@@ -400,15 +401,17 @@ def item_pair_similarity(spark, sf_dir):
 @query
 def similar_item_pairs(spark, sf_dir):
     """Every pair of parts bought together more than once in like quantities."""
-    pairs = similarity.similar_pairs(basket_ratings(spark, sf_dir), PAIR_SCORE, PAIR_STRENGTH)
+    with sized_shuffles(spark, _t(spark, sf_dir, "lineitem").count()):
+        pairs = similarity.similar_pairs(basket_ratings(spark, sf_dir), PAIR_SCORE, PAIR_STRENGTH)
     return pairs.withColumn("score", F.round("score", SCORE_DIGITS))
 
 
 @query
 def similar_pair_candidates(spark, sf_dir):
     """What the prefixes leave of all pairs: items, their pairs, candidates (one row)."""
-    ratings = write_table(basket_ratings(spark, sf_dir), "baskets")
-    found = similarity.pair_candidates(ratings, PAIR_STRENGTH).select(F.lit(1).alias("_c"))
+    with sized_shuffles(spark, _t(spark, sf_dir, "lineitem").count()):
+        ratings = write_table(basket_ratings(spark, sf_dir), "baskets")
+        found = similarity.pair_candidates(ratings, PAIR_STRENGTH).select(F.lit(1).alias("_c"))
     items = ratings.select("item").distinct().select(F.lit(0).alias("_c"))
     n, c = F.count_if(F.col("_c") == 0), F.count_if(F.col("_c") == 1)
     return items.unionByName(found).agg(

@@ -86,3 +86,20 @@ def test_the_cheaper_way_is_taken(spark):
     rows = [(u, i, 1.0) for u in range(6) for i in range(200)] + [(100 + i, i, 1.0) for i in range(200)]
     many = spark.createDataFrame(rows, "u long, i long, r double")
     assert similarity._prefixes_pay(many, 6)
+
+
+@pytest.mark.parametrize("prefixes", [False, True])
+def test_tasks_grow_with_the_pairs(spark, monkeypatch, prefixes):
+    """The memory of a task is bounded: more pairs are cut into more tasks than the session has."""
+    from quarry.operators import skew
+    rows = _ratings(5, users=200)
+    df = spark.createDataFrame([(*k, v) for k, v in rows.items()], SCHEMA)
+    want = {p for p, s in _all_pairs(rows).items() if s[0] > 0.5 and s[1] > 1}
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 1500 if prefixes else 100)
+    found = similarity.similar_pairs(df, 0.5, 1, prefixes=prefixes)
+    assert len(found.inputFiles()) > 1.5 * int(usual)
+    assert {(r.item1, r.item2) for r in found.collect()} == want
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 100)
+    assert len(similarity.pair_candidates(df, 1).inputFiles()) > 1.5 * int(usual)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == usual
