@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions import adjacency_neighbour_count, adjacency_tokens
+from quarry.functions import adjacency_tokens
 from quarry.operators.lineage import write_bucketed, write_table
 from quarry.operators.skew import block_counts, block_of
 
@@ -21,35 +21,33 @@ WHITE, GRAY, BLACK = "WHITE", "GRAY", "BLACK"
 UNREACHED = 9999
 
 
-def _first_token(c: str, trim: bool) -> F.Column:
-    """The first token of the line, computed without splitting the line, so a
-    filter on it that the optimiser pushes down stays cheap."""
-    if trim:
-        return F.regexp_extract(F.trim(F.col(c)), r"^(\S*)", 1)
-    return F.substring_index(F.col(c), " ", 1)
-
-
 def parse_lines(lines: DataFrame, col: str = "value", trim: bool = True) -> DataFrame:
     """One row per line: ``id`` (bigint; lines without a numeric id dropped)
-    and ``n_tokens`` (neighbour tokens on the line, non-numeric ones included)."""
-    return (lines.select(_first_token(col, trim).try_cast("bigint").alias("id"),
-                         adjacency_neighbour_count(col, trim).alias("n_tokens"))
-                 .where(F.col("id").isNotNull()))
+    and ``n_tokens`` (neighbour tokens on the line, non-numeric ones included).
+
+    A line is split once: a filter on the id itself would be pushed below the split and
+    repeat it, one on what a generator gives out is not."""
+    toks = lines.select(adjacency_tokens(col, trim).alias("_t"))
+    line = F.struct(F.get("_t", F.lit(0)).try_cast("bigint").alias("id"),
+                    (F.size("_t") - 1).alias("n_tokens"))
+    return (toks.select(F.explode_outer(F.array(line)).alias("_p"))
+                .where(F.col("_p.id").isNotNull()).select("_p.id", "_p.n_tokens"))
 
 
 def occurrences(lines: DataFrame, col: str = "value", trim: bool = True) -> DataFrame:
     """One row per neighbour token: ``src, dst`` (non-numeric tokens dropped).
 
     The token array is built once per line and exploded with an outer
-    generator followed by explicit filters; this keeps the optimiser from
-    re-evaluating the split inside an inferred pre-filter."""
-    toks = lines.select(_first_token(col, trim).alias("_id"),
-                        adjacency_tokens(col, trim).alias("_t"))
-    return (toks.select("_id", F.posexplode_outer("_t").alias("_pos", "_tok"))
-                .where(F.col("_pos") > 0)
-                .select(F.col("_id").try_cast("bigint").alias("src"),
-                        F.col("_tok").try_cast("bigint").alias("dst"))
-                .where(F.col("src").isNotNull() & F.col("dst").isNotNull()))
+    generator; one filter on ``dst``, null also without a numeric id, keeps the
+    optimiser from re-evaluating the split in a pre-filter, and columns that
+    cannot be null keep joins from inferring another one."""
+    toks = lines.select(adjacency_tokens(col, trim).alias("_t"))
+    ids = toks.select(F.get("_t", F.lit(0)).try_cast("bigint").alias("_id"), "_t")
+    dst = F.when(F.col("_id").isNotNull(), F.col("_tok").try_cast("bigint"))
+    return (ids.select("_id", F.posexplode_outer("_t").alias("_pos", "_tok"))
+               .where((F.col("_pos") > 0) & dst.isNotNull())
+               .select(F.coalesce("_id", F.lit(0)).alias("src"),
+                       F.coalesce(F.col("_tok").try_cast("bigint"), F.lit(0)).alias("dst")))
 
 
 def edges(lines: DataFrame, col: str = "value", trim: bool = True) -> DataFrame:
@@ -96,12 +94,13 @@ def _edge_table(edge_table: DataFrame, block_edges: int) -> tuple[DataFrame, Dat
     one block (``_hub, _blocks``).
 
     One write: a source's edge count and its edges come from the same aggregate, whose
-    exchange Spark reuses within the plan.  A source with more than ``block_edges`` edges is
+    exchange Spark reuses within the plan (the count reads ``n``, or the two aggregates would
+    differ).  A source with more than ``block_edges`` edges is
     cut into blocks by destination before anything is gathered by source."""
     raw = edge_table.select("src", "dst", "n")
     blocks = F.coalesce(F.col("_blocks"), F.lit(1))
     e = write_bucketed(
-        raw.join(block_counts(raw, "src", block_edges), "src", "left")
+        raw.join(block_counts(raw, "src", block_edges, F.col("n") > 0), "src", "left")
         .select("src", "dst", "n", blocks.alias("_blocks"), block_of(F.col("dst"), blocks).alias("_block")),
         "bfs-edges", ["src", "_block"], _buckets(raw))
     hubs = write_table(e.where("_blocks > 1").select(F.col("src").alias("_hub"), "_blocks").distinct(),

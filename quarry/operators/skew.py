@@ -16,11 +16,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def block_counts(df: DataFrame, key: str, block_rows: int) -> DataFrame:
+def block_counts(df: DataFrame, key: str, block_rows: int, counted: Column | None = None) -> DataFrame:
     """``key, _blocks`` for the keys that need more than one block (at most
-    ``rows / block_rows`` of them); the count is combined map-side."""
+    ``rows / block_rows`` of them); the count (of all rows, or of ``counted`` ones) is
+    combined map-side."""
+    count = F.count(F.lit(1)) if counted is None else F.count_if(counted)
     blocks = F.ceil(F.col("_n") / F.lit(block_rows)).cast("int")
-    return (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return (df.groupBy(key).agg(count.alias("_n"))
               .where(F.col("_n") > F.lit(block_rows)).select(key, blocks.alias("_blocks")))
 
 

@@ -5,6 +5,8 @@ from collections import defaultdict
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from quarry.operators import graph, lineage
 
 
@@ -97,3 +99,17 @@ def test_scratch_scope_removes_its_tables(spark):
     folder = lambda f: os.path.dirname(f.removeprefix("file://").replace("file:", ""))
     assert not os.path.exists(folder(one)) and not os.path.exists(folder(two))
     assert outside.count() == 3
+
+
+def test_each_line_is_split_once(spark):
+    """Parsing took the id out of a line three times; and the edge counts parsed all lines again."""
+    lines = spark.createDataFrame([("1 2 3",), ("2 x 1",), ("y 1",), (" 4 ",), (None,), ("",)], "value string")
+    split = lambda df: df._jdf.queryExecution().optimizedPlan().toString().lower()
+    for parsed in (graph.parse_lines(lines), graph.occurrences(lines)):
+        assert split(parsed).count("split(") == 1 and "regexp" not in split(parsed)
+    raw = graph.edges(lines)
+    joined = raw.join(graph.block_counts(raw, "src", 1, F.col("n") > 0), "src", "left")
+    joined.collect()
+    assert "ReusedExchange" in joined._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, graph.parse_lines(lines).collect())) == [(1, 2), (2, 2), (4, 0)]
+    assert sorted(map(tuple, graph.occurrences(lines).collect())) == [(1, 2), (1, 3), (2, 1)]
