@@ -157,15 +157,18 @@ def _norm_of(features: str) -> Column:
 
 
 def _user_chunks(users: DataFrame, chunk_users: int) -> DataFrame:
-    """Users with equal ``_last`` packed into rows of about ``chunk_users``: ``_last, members``."""
+    """Users (``_user, _x, _floor``) with equal ``_last`` packed into rows of about
+    ``chunk_users``: ``_last, members``."""
     counts = users.groupBy("_last").agg(F.ceil(F.count(F.lit(1)) / chunk_users).alias("_chunks"))
     return (users.join(counts, "_last")
             .withColumn("_chunk", F.pmod(F.xxhash64("_user"), F.col("_chunks")))
-            .groupBy("_last", "_chunk").agg(F.collect_list(F.struct("_user", "_x")).alias("members")))
+            .groupBy("_last", "_chunk").agg(F.collect_list(F.struct("_user", "_x", "_floor")).alias("members")))
 
 
 def _score_pairs(pairs: DataFrame, n: int) -> DataFrame:
-    """Top ``n`` items of each user among one block, for every (chunk of users, block) row."""
+    """Top ``n`` items of each user among one block, less those below the user's floor, for
+    every (chunk of users, block) row.  A comparison with the floor costs a fraction of a
+    selection of the best, which only users with more than ``n`` items left still need."""
     def matrix(cell, name):
         values = cell.values.field(name)
         return np.asarray(values.flatten(), dtype=np.float32).reshape(len(values), -1)
@@ -177,10 +180,12 @@ def _score_pairs(pairs: DataFrame, n: int) -> DataFrame:
             for users, block in zip(members, items):
                 ids = np.asarray(block.values.field("_item"))
                 scores = matrix(users, "_x") @ matrix(block, "_v").T
-                if scores.shape[1] > n:  # ties with the n-th best stay in
-                    row, col = np.nonzero(scores >= np.partition(scores, -n, axis=1)[:, -n, None])
-                else:
-                    row, col = (x.ravel() for x in np.indices(scores.shape))
+                keep = scores >= np.asarray(users.values.field("_floor"), dtype=np.float32)[:, None]
+                many = np.flatnonzero(np.count_nonzero(keep, axis=1) > n)
+                if len(many):  # ties with the n-th best stay in
+                    some = scores[many]
+                    keep[many] &= some >= np.partition(some, -n, axis=1)[:, -n, None]
+                row, col = np.nonzero(keep)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.asarray(users.values.field("_user"))[row], pa.int32()),
                      pa.array(ids[col], pa.int32()), pa.array(scores[row, col], pa.float32())],
@@ -195,9 +200,11 @@ def recommend_pruned(model: ALSModel, users: DataFrame, n: int = TOP_N,
     item) without the product of all users and items, and a report of what was scored.
 
     Items are sorted by the length of their factors (``row_index``) and cut into blocks.  Every
-    user first scores the block of the longest items, whose n-th best score is a floor; by
+    user first scores the block of the longest items, whose n-th best score is a floor (lower
+    scores of later blocks are not handed on); by
     Cauchy-Schwarz an item reaches it only if its length times the user's does, so the user
-    needs just the blocks up to the last one whose longest item does.  Users with the same last
+    needs just the blocks up to the last one whose longest item does, and of them hands on what
+    reaches the floor.  Users with the same last
     block are packed into chunks, chunks joined with their blocks by block number, and one
     task scores one chunk against one block at a time.  The longest length of each block, one
     number per ``block_items`` items, is the only thing the driver sees.
@@ -220,7 +227,8 @@ def recommend_pruned(model: ALSModel, users: DataFrame, n: int = TOP_N,
     known = write_table(
         wanted.join(model.userFactors.select(F.col("id").alias("_user"), F.col("features").alias("_x")),
                     "_user").withColumn("_last", F.lit(0)), "als-wanted")
-    first = _user_chunks(known, chunk_users).withColumn("_block", F.explode(F.sequence("_last", "_last")))
+    nothing = F.lit(float("-inf")).cast("float")
+    first = _user_chunks(known.withColumn("_floor", nothing), chunk_users).withColumn("_block", F.explode(F.sequence("_last", "_last")))
     head = write_table(_score_pairs(first.join(blocks, "_block"), n), "als-head")
     # ties may leave more than n rows, all at the floor
     floor = head.groupBy("_user").agg(F.min("_score").alias("_floor"), F.count(F.lit(1)).alias("_n"))
@@ -235,7 +243,8 @@ def recommend_pruned(model: ALSModel, users: DataFrame, n: int = TOP_N,
         return pa.array(len(longest) - np.searchsorted(longest[::-1], need, side="left") - 1, pa.int32())
     rest = write_table(
         known.drop("_last").join(floor, "_user")
-        .withColumn("_last", last_block("_floor", _norm_of("_x"), "_n")), "als-limits")
+        .withColumn("_last", last_block("_floor", _norm_of("_x"), "_n"))
+        .withColumn("_floor", F.when(F.col("_n") < n, nothing).otherwise(F.col("_floor"))), "als-limits")
     more = (_user_chunks(rest.where("_last >= 1"), chunk_users)
             .withColumn("_block", F.explode(F.sequence(F.lit(1), F.col("_last")))))
     scored = head.unionByName(_score_pairs(more.join(blocks, "_block"), n))

@@ -68,3 +68,14 @@ def test_pruned_search_equals_the_exhaustive_one(spark, model, ratings, block_it
 def test_pruned_search_for_more_items_than_there_are(model, ratings):
     top, _ = recommend.recommend_pruned(model, ratings.select("_u").distinct().limit(2), 1000, 64)
     assert top.count() == 2 * 300
+
+
+def test_scores_below_the_floor_are_not_handed_on(spark):
+    """Every block gave n rows per user, whatever the user's n-th best of the first block was."""
+    items = [(i, [float(i), 0.0]) for i in range(6)]
+    users = [(1, [1.0, 0.0], 3.0), (2, [1.0, 0.0], float("-inf")), (3, [1.0, 0.0], 9.0), (4, [1.0, 0.0], 5.0)]
+    pairs = spark.createDataFrame(
+        [(users, items)], "members array<struct<_user:int,_x:array<float>,_floor:float>>, "
+        "items array<struct<_item:int,_v:array<float>>>")
+    got = sorted((r._user, r._item) for r in recommend._score_pairs(pairs, 4).collect())
+    assert got == [(1, 3), (1, 4), (1, 5), (2, 2), (2, 3), (2, 4), (2, 5), (4, 5)]
