@@ -12,7 +12,7 @@ planner choose a broadcast for small results.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,9 +20,12 @@ from pyspark.sql import DataFrame, SparkSession
 from quarry.session import checkpoint_dir
 
 
+_FOLDER = "quarry-tables"
+
+
 def scratch_path(df_or_spark, name: str) -> str:
     spark = getattr(df_or_spark, "sparkSession", df_or_spark)
-    path = f"{checkpoint_dir(spark).rstrip('/')}/quarry-tables/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{_FOLDER}/{name}-{uuid.uuid4().hex}"
     for scope in _scopes:
         scope.append(path)
     return path
@@ -42,13 +45,51 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _scopes[:] = [s for s in _scopes if s is not paths]
-        jvm = spark._jvm
         for path in paths:
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+            _remove(spark, spark._jvm.org.apache.hadoop.fs.Path(path))
             spark.sql(f"DROP TABLE IF EXISTS `{_table_name(path)}`")
 
 
+def _remove(spark: SparkSession, at) -> None:
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def remove_table(table: DataFrame) -> None:
+    """Deletes a table just as ``write_table`` or ``write_through`` returned it, once nothing
+    reads it any more."""
+    spark = table.sparkSession
+    for file in table.inputFiles()[:1]:
+        at = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(file)).getParent()
+        if at.getParent().getName() != _FOLDER:
+            raise ValueError(f"{at} is not a table of the shared folder")
+        _remove(spark, at)
+
+
+#: Spark's own setting; off by default.
+_REMOVE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries run inside the block remove their shuffle files when they end.  Otherwise these
+    stay until the driver happens to collect garbage, and the jobs of a query add up on disk."""
+    usual = spark.conf.get(_REMOVE_SHUFFLES, "false")
+    spark.conf.set(_REMOVE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_REMOVE_SHUFFLES, usual)
+
+
+def write_through(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """``write_table`` of what ``build()`` returns; tables written inside ``build`` and the
+    shuffles behind the result go as soon as it is stored."""
+    path = scratch_path(spark, name)  # before the scope, which removes what is named inside it
+    with scratch_scope(spark), shuffles_removed(spark):
+        build().write.mode("error").parquet(path)
+    return spark.read.parquet(path)
+
+
 def _table_name(path: str) -> str:
     return "quarry_" + path.rsplit("-", 1)[-1]
 

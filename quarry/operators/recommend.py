@@ -7,15 +7,21 @@ scoring every item (``recommend_pruned``).
 
 from __future__ import annotations
 
+import functools
+import gc
+import math
+import time
 from collections.abc import Iterator
+from contextlib import nullcontext
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators.lineage import write_table
+from quarry.operators.lineage import remove_table, scratch_path, write_through
+from quarry.operators.skew import ROWS_PER_TASK, sized_shuffles
 from quarry.session import checkpoint_dir
 
 # Fixed values of the original job: explicit feedback, 5 iterations,
@@ -23,18 +29,44 @@ from quarry.session import checkpoint_dir
 MAX_ITER, REG_PARAM, RANK, TOP_N = 5, 0.01, 10, 10
 
 
+#: MLlib's number of user and of item blocks, and the ratings from which there are more: a task
+#: builds a block in memory, at about 50 bytes a rating.
+BLOCKS, RATINGS_PER_BLOCK = 10, 10_000_000
+
+
 def fit_als(ratings: DataFrame, user: str, item: str, rating: str, *, max_iter: int = MAX_ITER,
             reg_param: float = REG_PARAM, rank: int = RANK, seed: int = 42) -> ALSModel:
     """Train explicit-feedback ALS.  Ids must fit in a 32-bit int (MLlib rule).
 
     The seed is always set: without it PySpark derives one from a hash that
-    changes per process.  Factor blocks checkpoint to the shared folder of
-    ``spark.checkpoint.dir`` every ``checkpointInterval`` iterations.
+    changes per process.  Item factors checkpoint to the shared folder of
+    ``spark.checkpoint.dir`` every iteration: MLlib then removes the factor messages of the
+    iterations before, which would else all stay on disk until the end of the training.  The
+    model returned reads its factors from there too: one that holds the RDDs of the training
+    holds their cached blocks and shuffle files.  Blocks are MLlib's ten, or more when they
+    would hold more than ``RATINGS_PER_BLOCK`` ratings.
     """
-    checkpoint_dir(ratings.sparkSession)
+    spark = ratings.sparkSession
+    checkpoint_dir(spark)
+    blocks = max(BLOCKS, math.ceil(ratings.count() / RATINGS_PER_BLOCK))
     als = ALS(maxIter=max_iter, regParam=reg_param, rank=rank, userCol=user, itemCol=item,
-              ratingCol=rating, seed=seed, checkpointInterval=10)
-    return als.fit(ratings)
+              ratingCol=rating, seed=seed, checkpointInterval=1, numUserBlocks=blocks, numItemBlocks=blocks)
+    path, cached = scratch_path(spark, "als-model"), spark.sparkContext._jsc.getPersistentRDDs().size()
+    als.fit(ratings).save(path)
+    _release_training(spark, cached)
+    return ALSModel.load(path)
+
+
+def _release_training(spark: SparkSession, cached: int) -> None:
+    """Has the driver collect garbage until no more than ``cached`` RDDs are kept, so that Spark's
+    cleaner removes the blocks and shuffles of a training nothing refers to any more now, not
+    whenever the driver's memory is full.  A few tries: other jobs may keep RDDs of their own."""
+    for _ in range(4):
+        gc.collect()
+        time.sleep(1.2)  # py4j hands dropped references on once a second
+        spark._jvm.System.gc()
+        if spark.sparkContext._jsc.getPersistentRDDs().size() <= cached:
+            break
 
 
 def recommend(model: ALSModel, users: DataFrame, n: int = TOP_N) -> DataFrame:
@@ -67,13 +99,17 @@ def dense_ratings(ratings: DataFrame, user: str, item: str, rating: str
                   ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(_u, _i, _r)`` ratings on dense ids, and the user and item indexes
     (``user → _u``, ``item → _i``).  The ratings are stored first: the two
-    indexes and the join read the table, not the jobs behind the ratings."""
-    ratings = write_table(ratings.select(user, item, F.col(rating).cast("float").alias("_r")),
-                          "als-ratings")
-    uidx = write_table(dense_index(ratings, user, "_u"), "als-users")
-    iidx = write_table(dense_index(ratings, item, "_i"), "als-items")
-    indexed = ratings.join(uidx, user).join(iidx, item).select("_u", "_i", "_r")
-    return write_table(indexed, "als-indexed"), uidx, iidx
+    indexes and the join read the table, not the jobs behind the ratings; it goes
+    once they are stored."""
+    spark = ratings.sparkSession
+    stored = write_through(spark, "als-ratings", lambda: ratings.select(
+        user, item, F.col(rating).cast("float").alias("_r")))
+    uidx = write_through(spark, "als-users", lambda: dense_index(stored, user, "_u"))
+    iidx = write_through(spark, "als-items", lambda: dense_index(stored, item, "_i"))
+    indexed = write_through(spark, "als-indexed", lambda: stored.join(uidx, user).join(iidx, item)
+                            .select("_u", "_i", "_r"))
+    remove_table(stored)
+    return indexed, uidx, iidx
 
 
 def recommend_any_ids(ratings: DataFrame, users: DataFrame, user: str, item: str,
@@ -147,6 +183,9 @@ def prediction_error(model: ALSModel, held_out: DataFrame, rating: str, mean: fl
 
 BLOCK_ITEMS = 1024
 CHUNK_USERS = 1024
+#: Item blocks sent to every executor at once (about 90 KB each), in the first rounds and later:
+#: few rounds on small tables, and better floors before many blocks are met.
+ROUND_BLOCKS = (16, 64, 256)
 #: What float32 dot products may add to the Cauchy-Schwarz bound.
 _SLACK = 1e-4
 
@@ -156,46 +195,98 @@ def _norm_of(features: str) -> Column:
                               lambda total, f: total + f.cast("double") * f.cast("double")))
 
 
+def _bound():
+    """The floors less what rounding may add to scores with items up to a length.  A function
+    made here is sent to the workers whole: they need not have this package."""
+    def reach(floors: np.ndarray, norms: np.ndarray, longest: float) -> np.ndarray:
+        return floors - _SLACK * (np.abs(floors) + norms * longest * 1e-2)
+    return reach
+
+
 def _user_chunks(users: DataFrame, chunk_users: int) -> DataFrame:
     """Users (``_user, _x, _floor``) with equal ``_last`` packed into rows of about
     ``chunk_users``: ``_last, members``."""
     counts = users.groupBy("_last").agg(F.ceil(F.count(F.lit(1)) / chunk_users).alias("_chunks"))
-    return (users.join(counts, "_last")
+    return (users.join(F.broadcast(counts), "_last")  # at most one row per block of a round
             .withColumn("_chunk", F.pmod(F.xxhash64("_user"), F.col("_chunks")))
             .groupBy("_last", "_chunk").agg(F.collect_list(F.struct("_user", "_x", "_floor")).alias("members")))
 
 
+def _chunk_type(n: int) -> type:
+    """A chunk of users in a task; made here for the reason given in ``_bound``."""
+    reach = _bound()
+
+    class Chunk:
+        """The best ``n`` items so far of the users of a chunk, with scores not below their floors."""
+
+        def __init__(self, users: np.ndarray, x: np.ndarray, floors: np.ndarray):
+            self.users, self.x = users, x
+            self.floors = np.array(floors, dtype=np.float32)
+            self.norms = np.sqrt((x.astype(np.float64) ** 2).sum(axis=1))
+            self.rows, self.items, self.scores = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.float32)
+
+        def meet(self, items: np.ndarray, v: np.ndarray) -> None:
+            """Scores one block.  A comparison with the floor costs a fraction of a selection of the
+            best, which only users with more than ``n`` items left still need."""
+            longest = np.sqrt((v.astype(np.float64) ** 2).sum(axis=1).max(initial=0.0))
+            # users whom no item of the block can give a score at the floor are left out
+            near = np.flatnonzero(reach(self.floors.astype(np.float64), self.norms, longest) <= self.norms * longest)
+            scores = self.x[near] @ v.T
+            keep = scores >= self.floors[near, None]
+            many = np.flatnonzero(np.count_nonzero(keep, axis=1) > n)
+            if len(many):  # ties with the n-th best stay in
+                some = scores[many]
+                keep[many] &= some >= np.partition(some, -n, axis=1)[:, -n, None]
+            row, col = np.nonzero(keep)
+            if not len(row):
+                return
+            rows = np.concatenate([self.rows, near[row]])
+            found, best = np.concatenate([self.items, items[col]]), np.concatenate([self.scores, scores[row, col]])
+            order = np.lexsort((found, -best, rows))  # ties to the smaller item
+            rows, found, best = rows[order], found[order], best[order]
+            place = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
+            full = place == n - 1
+            self.floors[rows[full]] = np.maximum(self.floors[rows[full]], best[full])
+            first = place < n
+            self.rows, self.items, self.scores = rows[first], found[first], best[first]
+
+        def batch(self) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(self.users[self.rows], pa.int32()), pa.array(self.items, pa.int32()),
+                 pa.array(self.scores, pa.float32())], names=["_user", "_item", "_score"])
+    return Chunk
+
+
 def _score_pairs(pairs: DataFrame, n: int) -> DataFrame:
-    """Top ``n`` items of each user among one block, less those below the user's floor, for
-    every (chunk of users, block) row.  A comparison with the floor costs a fraction of a
-    selection of the best, which only users with more than ``n`` items left still need."""
+    """Top ``n`` items of each user, less those below the user's floor, for every (chunk of
+    users, block) row.  Consecutive rows of one chunk raise its floors and give one result."""
     def matrix(cell, name):
         values = cell.values.field(name)
         return np.asarray(values.flatten(), dtype=np.float32).reshape(len(values), -1)
 
+    chunk_type = _chunk_type(n)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk = None
         for batch in batches:
             members = batch.column(batch.schema.get_field_index("members"))
             items = batch.column(batch.schema.get_field_index("items"))
             for users, block in zip(members, items):
-                ids = np.asarray(block.values.field("_item"))
-                scores = matrix(users, "_x") @ matrix(block, "_v").T
-                keep = scores >= np.asarray(users.values.field("_floor"), dtype=np.float32)[:, None]
-                many = np.flatnonzero(np.count_nonzero(keep, axis=1) > n)
-                if len(many):  # ties with the n-th best stay in
-                    some = scores[many]
-                    keep[many] &= some >= np.partition(some, -n, axis=1)[:, -n, None]
-                row, col = np.nonzero(keep)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.asarray(users.values.field("_user"))[row], pa.int32()),
-                     pa.array(ids[col], pa.int32()), pa.array(scores[row, col], pa.float32())],
-                    names=["_user", "_item", "_score"])
+                ids = np.asarray(users.values.field("_user"))
+                if chunk is None or not np.array_equal(chunk.users, ids):
+                    if chunk is not None:
+                        yield chunk.batch()
+                    chunk = chunk_type(ids.copy(), matrix(users, "_x").copy(),
+                                       np.asarray(users.values.field("_floor"), dtype=np.float32))
+                chunk.meet(np.asarray(block.values.field("_item")), matrix(block, "_v"))
+        if chunk is not None:
+            yield chunk.batch()
     return pairs.select("members", "items").mapInArrow(run, "_user int, _item int, _score float")
 
 
 def recommend_pruned(model: ALSModel, users: DataFrame, n: int = TOP_N,
-                     block_items: int = BLOCK_ITEMS, chunk_users: int = CHUNK_USERS
-                     ) -> tuple[DataFrame, DataFrame]:
+                     block_items: int = BLOCK_ITEMS, chunk_users: int = CHUNK_USERS,
+                     round_blocks: tuple[int, ...] = ROUND_BLOCKS) -> tuple[DataFrame, DataFrame]:
     """The exact top-``n`` of ``recommend`` (user, rank, item, rating; ties to the smaller
     item) without the product of all users and items, and a report of what was scored.
 
@@ -204,56 +295,91 @@ def recommend_pruned(model: ALSModel, users: DataFrame, n: int = TOP_N,
     scores of later blocks are not handed on); by
     Cauchy-Schwarz an item reaches it only if its length times the user's does, so the user
     needs just the blocks up to the last one whose longest item does, and of them hands on what
-    reaches the floor.  Users with the same last
-    block are packed into chunks, chunks joined with their blocks by block number, and one
-    task scores one chunk against one block at a time.  The longest length of each block, one
-    number per ``block_items`` items, is the only thing the driver sees.
+    reaches the floor.
+
+    The blocks are met in rounds.  A round broadcasts its next few blocks; users with the same
+    last block are packed into chunks, and the task that holds a chunk scores it against one
+    block after the other, so neither chunks nor blocks are copied into a shuffle, whatever the
+    number of pairs.  The n best items so far of every user then give floors for the next
+    round, which only users who still need blocks take part in; the others' rows are stored
+    and done.  Tables of a round go with the next, so the disk needed is that of a few rows
+    of n items per user.  The driver passes the blocks of one round on and sees the longest length
+    of each block, one number per ``block_items`` items.
 
     The report has one row: ``users``, ``blocks`` (of items), ``pairs`` (user, block) of an
     exhaustive search and the ``scored`` ones.
     """
     from quarry.operators.splits import row_index
     user_col, item_col = model.getUserCol(), model.getItemCol()
+    spark = users.sparkSession
     lengths = model.itemFactors.select(F.col("id").alias("_item"), F.col("features").alias("_v"),
                                        (-_norm_of("features")).alias("_down"))
-    placed = row_index(lengths, ["_down", "_item"], "_at")
-    blocks = write_table(
-        placed.withColumn("_block", F.floor((F.col("_at") - 1) / block_items).cast("int"))
-        .groupBy("_block").agg(F.max(-F.col("_down")).alias("longest"),
-                               F.collect_list(F.struct("_item", "_v")).alias("items")), "als-blocks")
+    blocks = write_through(spark, "als-blocks", lambda: row_index(lengths, ["_down", "_item"], "_at")
+                           .withColumn("_block", F.floor((F.col("_at") - 1) / block_items).cast("int"))
+                           .groupBy("_block").agg(F.max(-F.col("_down")).alias("longest"),
+                                                  F.collect_list(F.struct("_item", "_v")).alias("items")))
     longest = np.array([r["longest"] for r in
                         blocks.select("_block", "longest").orderBy("_block").collect()])
     wanted = users.select(F.col(user_col).alias("_user")).distinct()
-    known = write_table(
-        wanted.join(model.userFactors.select(F.col("id").alias("_user"), F.col("features").alias("_x")),
-                    "_user").withColumn("_last", F.lit(0)), "als-wanted")
     nothing = F.lit(float("-inf")).cast("float")
-    first = _user_chunks(known.withColumn("_floor", nothing), chunk_users).withColumn("_block", F.explode(F.sequence("_last", "_last")))
-    head = write_table(_score_pairs(first.join(blocks, "_block"), n), "als-head")
-    # ties may leave more than n rows, all at the floor
-    floor = head.groupBy("_user").agg(F.min("_score").alias("_floor"), F.count(F.lit(1)).alias("_n"))
+    # the best items so far as (score, minus the item): falling, ties to the smaller item
+    best_type = "array<struct<_score:float,_minus:bigint>>"
+    state = write_through(spark, "als-wanted", lambda: wanted.join(
+        model.userFactors.select(F.col("id").alias("_user"), F.col("features").alias("_x")), "_user")
+        .select("_user", "_x", nothing.alias("_floor"), F.array().cast(best_type).alias("_best"),
+                F.lit(0).alias("_last"), F.lit(0).alias("_scored")))
+
+    reach_of = _bound()
 
     @F.arrow_udf("int")
     def last_block(floors: pa.Array, norms: pa.Array, counts: pa.Array) -> pa.Array:
         floors, norms = np.asarray(floors, dtype=np.float64), np.asarray(norms)
-        reach = floors - _SLACK * (np.abs(floors) + norms * (longest[0] if len(longest) else 0.0) * 1e-2)
+        reach = reach_of(floors, norms, longest[0] if len(longest) else 0.0)
         need = np.where((np.asarray(counts) < n) | (reach <= 0), -np.inf,
                         reach / np.maximum(norms, 1e-30))
         # blocks are sorted by falling length: count those at least as long as needed
         return pa.array(len(longest) - np.searchsorted(longest[::-1], need, side="left") - 1, pa.int32())
-    rest = write_table(
-        known.drop("_last").join(floor, "_user")
-        .withColumn("_last", last_block("_floor", _norm_of("_x"), "_n"))
-        .withColumn("_floor", F.when(F.col("_n") < n, nothing).otherwise(F.col("_floor"))), "als-limits")
-    more = (_user_chunks(rest.where("_last >= 1"), chunk_users)
-            .withColumn("_block", F.explode(F.sequence(F.lit(1), F.col("_last")))))
-    scored = head.unionByName(_score_pairs(more.join(blocks, "_block"), n))
-    best = Window.partitionBy("_user").orderBy(F.desc("_score"), F.asc("_item"))
-    top = scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= n).select(
-        F.col("_user").alias(user_col), "rank", F.col("_item").alias(item_col),
-        F.col("_score").alias("rating"))
-    report = rest.agg(
+
+    def next_state(active: DataFrame, start: int, stop: int) -> DataFrame:
+        """``active`` after the blocks ``start`` to ``stop - 1``."""
+        to = F.least(F.col("_last"), F.lit(stop - 1))
+        chunks = _user_chunks(active.select("_user", "_x", "_floor", to.alias("_last")), chunk_users)
+        some = blocks.where(F.col("_block").between(start, stop - 1)).select("_block", "items")
+        pairs = chunks.withColumn("_block", F.explode(F.sequence(F.lit(start), F.col("_last"))))
+        found = _score_pairs(pairs.join(F.broadcast(some), "_block"), n).groupBy("_user").agg(
+            F.collect_list(F.struct("_score", (-F.col("_item").cast("bigint")).alias("_minus"))).alias("_found"))
+        both = F.concat("_best", F.coalesce("_found", F.array().cast(best_type)))
+        return (active.join(found, "_user", "left")
+                .withColumn("_best", F.slice(F.sort_array(both, asc=False), 1, n))
+                .withColumn("_floor", F.when(F.size("_best") < n, nothing)
+                            .otherwise(F.get(F.col("_best"), F.lit(n - 1))["_score"]))
+                .withColumn("_scored", F.col("_scored") + to - start + 1)
+                .withColumn("_last", last_block("_floor", _norm_of("_x"), F.size("_best")))
+                .select("_user", "_x", "_floor", "_best", "_last", "_scored"))
+
+    done, start, rounds = [], 0, iter([1, *round_blocks])
+    size = 1
+    while True:
+        finished = F.col("_last") < start if start < len(longest) else F.lit(True)
+        if start or not len(longest):
+            done.append(write_through(spark, "als-done", lambda: state.where(finished).select("_user", "_best", "_scored")))
+        active = state.where(~finished)
+        stop = min(start + (size := next(rounds, size)), len(longest))
+        user_blocks = active.agg(F.sum(F.least(F.col("_last"), F.lit(stop - 1)) - start + 1)).first()[0]
+        if not user_blocks:
+            break
+        # a million (user, block) pairs a task; few pairs are left to adaptive execution
+        with sized_shuffles(spark, user_blocks) if user_blocks > ROWS_PER_TASK else nullcontext():
+            after = write_through(spark, "als-state", lambda: next_state(active, start, stop))
+        remove_table(state)
+        state, start = after, stop
+    remove_table(state)
+    found = functools.reduce(DataFrame.unionByName, done)
+    top = found.select(F.col("_user").alias(user_col), F.posexplode("_best").alias("_pos", "_b")).select(
+        user_col, (F.col("_pos") + 1).alias("rank"), (-F.col("_b._minus")).cast("int").alias(item_col),
+        F.col("_b._score").alias("rating"))
+    report = found.agg(
         F.count(F.lit(1)).alias("users"), F.lit(len(longest)).cast("long").alias("blocks"),
         (F.count(F.lit(1)) * len(longest)).alias("pairs"),
-        F.coalesce(F.sum(F.greatest(F.col("_last"), F.lit(0)) + 1), F.lit(0)).cast("long").alias("scored"))
+        F.coalesce(F.sum("_scored"), F.lit(0)).cast("long").alias("scored"))
     return top, report

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.operators import graph, lookup, recommend, relational, similarity, splits, text
-from quarry.operators.lineage import scratch_path, write_table
+from quarry.operators.lineage import remove_table, scratch_path, write_table, write_through
 from quarry.operators.exact import exact_sum_by_key
 from quarry.operators.skew import sized_shuffles
 from quarry.sources import (good_rows, load_table, parse_strict, quarantined, read_delimited,
@@ -538,22 +538,24 @@ def sized_ratings(spark, sf_dir) -> DataFrame:
 
 
 def _sized_model(spark, sf_dir):
-    rows = write_table(sized_ratings(spark, sf_dir), "sized-ratings")
-    trained = rows.where("NOT held_out")
-    indexed, uidx, iidx = recommend.dense_ratings(trained, "userID", "movieID", "rating")
-    return rows, indexed, uidx, iidx, recommend.fit_als(indexed, "_u", "_i", "_r")
+    """Held-out rows, the others on dense ids, the indexes and the model."""
+    rows = write_through(spark, "sized-ratings", lambda: sized_ratings(spark, sf_dir))
+    indexed, uidx, iidx = recommend.dense_ratings(rows.where("NOT held_out"), "userID", "movieID", "rating")
+    held_out = write_through(spark, "held-out", lambda: rows.where("held_out").drop("held_out"))
+    remove_table(rows)
+    return held_out, indexed, uidx, iidx, recommend.fit_als(indexed, "_u", "_i", "_r")
 
 
 @query
 def als_fit_evidence(spark, sf_dir):
     """What training must satisfy, in one row: every user's factors solve the regularised
     normal equations, and held-out ratings are predicted better than by the mean."""
-    rows, indexed, uidx, iidx, model = _sized_model(spark, sf_dir)
+    held_out, indexed, uidx, iidx, model = _sized_model(spark, sf_dir)
     solved = recommend.normal_equation_residuals(model, indexed, "_r").agg(
         F.count(F.lit(1)).alias("n_users"), F.sum("n_ratings").alias("n_ratings"),
         (F.max("residual") < RESIDUAL_BOUND).alias("solved"))
     mean = indexed.agg(F.avg("_r")).first()[0] or 0.0
-    held = rows.where("held_out").join(uidx, "userID").join(iidx, "movieID").select(
+    held = held_out.join(uidx, "userID").join(iidx, "movieID").select(
         "_u", "_i", F.col("rating").alias("_r"))
     error = recommend.prediction_error(model, held, "_r", mean).select(
         F.col("n").alias("n_held_out"), (F.col("rmse") < F.col("rmse_mean")).alias("beats_mean"))
