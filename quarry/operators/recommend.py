@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators.lineage import remove_table, scratch_path, write_through
-from quarry.operators.skew import ROWS_PER_TASK, sized_shuffles
+from quarry.operators.skew import ROWS_PER_TASK, block_counts, sized_shuffles
 from quarry.session import checkpoint_dir
 
 # Fixed values of the original job: explicit feedback, 5 iterations,
@@ -129,39 +129,71 @@ def recommend_any_ids(ratings: DataFrame, users: DataFrame, user: str, item: str
 
 # --- evidence about a model ---------------------------------------------------
 
+#: Ratings that meet their items' factors at once, and those of one user above which the
+#: user's are summed before they are sent.
+SLICE_RATINGS, HOT_RATINGS = 64_000_000, 1_000_000
+
+
 def normal_equation_residuals(model: ALSModel, ratings: DataFrame, rating: str,
-                              reg_param: float = REG_PARAM) -> DataFrame:
+                              reg_param: float = REG_PARAM, slice_ratings: int = SLICE_RATINGS,
+                              hot_ratings: int = HOT_RATINGS) -> DataFrame:
     """Per user how far the factors are from solving the user's regularised least squares:
     ``user, n_ratings, residual``.
 
     ALS ends with the users: given the item factors ``v``, user factors ``x`` solve
     ``(sum v v' + reg * n * I) x = sum r v`` over the user's n ratings.  Both sums are plain
-    aggregates of products, k (k + 1) / 2 + k of them, combined map-side, so a user with any
-    number of ratings costs one partial row per task.  ``residual`` is the largest component
+    aggregates of products, k (k + 1) / 2 + k of them.  A user's few ratings fall into as many
+    tasks, so sums made there would be sent as rows of 65 numbers for every rating; ratings
+    are sent with their k factors instead, and added up where the user is.  Only users of more
+    than ``hot_ratings`` are combined map-side, one partial row per task.  Users are taken in
+    slices of about ``slice_ratings`` ratings whose shuffles go before the next: the
+    disk needed at once does not grow with the ratings.  ``residual`` is the largest component
     of ``A x - b`` over the largest of ``b``.
     """
     user, item, k = model.getUserCol(), model.getItemCol(), model.rank
+    spark = ratings.sparkSession
     v = model.itemFactors.select(F.col("id").alias("_item"), F.col("features").alias("_v"))
-    rows = ratings.join(v, ratings[item] == v["_item"]).select(
-        F.col(user).alias("_user"), F.col(rating).cast("double").alias("_r"),
-        *(F.col("_v")[j].cast("double").alias(f"_v{j}") for j in range(k)))
-    sums = rows.groupBy("_user").agg(
-        F.count(F.lit(1)).alias("n_ratings"),
-        *(F.sum(F.col(f"_v{j}") * F.col(f"_v{m}")).alias(f"_g{j}_{m}")
-          for j in range(k) for m in range(j, k)),
-        *(F.sum(F.col("_r") * F.col(f"_v{j}")).alias(f"_b{j}") for j in range(k)))
     x = model.userFactors.select(F.col("id").alias("_id"), F.col("features").alias("_x"))
-    both = sums.join(x, sums["_user"] == x["_id"])
+    rated = ratings.select(F.col(user).alias("_user"), F.col(item).alias("_rated"),
+                           F.col(rating).cast("double").alias("_r"))
+
+    def with_factors(some: DataFrame) -> DataFrame:
+        return some.join(v, some["_rated"] == v["_item"]).select("_user", "_r", "_v")
+
+    def sums(rows: DataFrame) -> DataFrame:
+        wide = rows.select("_user", "_r", *(F.col("_v")[j].cast("double").alias(f"_v{j}") for j in range(k)))
+        return wide.groupBy("_user").agg(
+            F.count(F.lit(1)).alias("n_ratings"),
+            *(F.sum(F.col(f"_v{j}") * F.col(f"_v{m}")).alias(f"_g{j}_{m}")
+              for j in range(k) for m in range(j, k)),
+            *(F.sum(F.col("_r") * F.col(f"_v{j}")).alias(f"_b{j}") for j in range(k)))
 
     def component(j: int) -> Column:
         total = F.lit(reg_param) * F.col("n_ratings") * F.col("_x")[j] - F.col(f"_b{j}")
         for m in range(k):
             total = total + F.col(f"_g{min(j, m)}_{max(j, m)}") * F.col("_x")[m]
         return F.abs(total)
-    off = F.array_max(F.array(*(component(j) for j in range(k))))
-    size = F.array_max(F.array(*(F.abs(F.col(f"_b{j}")) for j in range(k))))
-    return both.select(F.col("_user").alias(user), "n_ratings",
-                       (off / F.greatest(size, F.lit(1e-30))).alias("residual"))
+
+    def residuals(summed: DataFrame) -> DataFrame:
+        both = summed.join(x, summed["_user"] == x["_id"])
+        off = F.array_max(F.array(*(component(j) for j in range(k))))
+        size = F.array_max(F.array(*(F.abs(F.col(f"_b{j}")) for j in range(k))))
+        return both.select(F.col("_user").alias(user), "n_ratings",
+                           (off / F.greatest(size, F.lit(1e-30))).alias("residual"))
+
+    hot = write_through(spark, "als-hot", lambda: block_counts(rated, "_user", hot_ratings))
+    any_hot = not hot.isEmpty()
+    slices = max(1, math.ceil(rated.count() / slice_ratings))
+
+    def one_slice(s: int) -> DataFrame:
+        mine = rated.where(F.pmod(F.xxhash64("_user"), F.lit(slices)) == s) if slices > 1 else rated
+        few = mine.join(hot, "_user", "left_anti") if any_hot else mine
+        out = residuals(sums(with_factors(few).repartition("_user")))
+        if any_hot:
+            out = out.unionByName(residuals(sums(with_factors(mine.join(hot, "_user", "left_semi")))))
+        return out
+    out = [write_through(spark, "als-residuals", lambda: one_slice(s)) for s in range(slices)]
+    return functools.reduce(DataFrame.unionByName, out)
 
 
 def prediction_error(model: ALSModel, held_out: DataFrame, rating: str, mean: float) -> DataFrame:

@@ -92,6 +92,31 @@ def test_training_leaves_no_shuffle_files_and_no_cached_blocks(spark, ratings):
     assert model.userFactors.count() == 60 and model.rank == 10 and model.getUserCol() == "_u"
 
 
+def test_residuals_send_ratings_not_sums(model, ratings, plans):
+    """Partial sums, 65 numbers of nearly every rating, went through a shuffle."""
+    got = recommend.normal_equation_residuals(model, ratings, "_r")
+    stored = [p for name, some in plans.items() for p in some] + [got._jdf.queryExecution().executedPlan().toString()]
+    lines = [p.splitlines() for p in stored]
+    assert not any("Exchange" in a and "partial_sum" in b for p in lines for a, b in zip(p, p[1:]))
+    assert any("partial_sum" in line for p in lines for line in p)
+
+
+@pytest.mark.parametrize("slice_ratings, hot_ratings", [(300, 10**6), (10**9, 100), (400, 100)])
+def test_residuals_by_slices_and_of_hot_users(model, ratings, slice_ratings, hot_ratings):
+    got = {r._u: r for r in recommend.normal_equation_residuals(
+        model, ratings, "_r", slice_ratings=slice_ratings, hot_ratings=hot_ratings).collect()}
+    items = {r.id: np.array(r.features, dtype=float) for r in model.itemFactors.collect()}
+    users = {r.id: np.array(r.features, dtype=float) for r in model.userFactors.collect()}
+    assert got.keys() == users.keys()
+    rows = [tuple(r) for r in ratings.collect()]
+    for u, x in users.items():
+        v = np.array([items[i] for a, i, _ in rows if a == u])
+        b = v.T @ np.array([s for a, _, s in rows if a == u])
+        off = (v.T @ v + recommend.REG_PARAM * len(v) * np.eye(10)) @ x - b
+        assert got[u].n_ratings == len(v)
+        assert abs(got[u].residual - abs(off).max() / abs(b).max()) < 1e-9
+
+
 def _whole_numbers(spark, n_users, n_items):
     """A model of small whole factors, so that scores are exact and many are equal."""
     r = random.Random(9)
